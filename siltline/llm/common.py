@@ -20,7 +20,7 @@ ALNUM = bytes(
 )
 
 #: Text handled at once inside a task, in bytes; bounds a task's working memory.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def tune(spark: SparkSession) -> None:

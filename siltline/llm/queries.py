@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltline.llm.packing import pack
 from siltline.llm.sharding import shards
+from siltline.llm.simhash import near_duplicates
+from siltline.llm.suffix_dedup import remove_repeats
 from siltline.llm.token_counts import token_counts
 
 
@@ -19,10 +21,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir)).drop("kept")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(_documents(spark, sf_dir))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
@@ -30,7 +40,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op6_sharding, op8_packing)
+        for f in (op1_token_counts, op2_suffix_dedup, op6_sharding, op7_simhash, op8_packing)
     }
 
 

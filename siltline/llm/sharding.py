@@ -81,9 +81,9 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), pa.schema([("key", pa.binary()), ("bytes", pa.int64())]))
-        if held.num_rows:
-            held = held.sort_by([("bytes", "descending"), ("key", "ascending")])
+        batches = [b for b in batches if len(b)]
+        if batches:
+            held = pa.Table.from_batches(batches).sort_by([("bytes", "descending"), ("key", "ascending")])
             sizes = held["bytes"].to_pylist()
             rest = [0] * (bins - 1)
             bin_ = difference([[s, *rest] for s in sizes], bins)[:, 0]
