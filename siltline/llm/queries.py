@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltline.llm.decontamination import contamination
+from siltline.llm.language_id import language_ids
+from siltline.llm.license_scan import license_scan
 from siltline.llm.packing import pack
 from siltline.llm.sharding import shards
 from siltline.llm.simhash import near_duplicates
@@ -25,6 +28,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir)).drop("kept")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_documents(spark, sf_dir))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(_documents(spark, sf_dir))
 
@@ -37,10 +44,19 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_run")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_suffix_dedup, op6_sharding, op7_simhash, op8_packing)
+        for f in (op1_token_counts, op2_suffix_dedup, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination, op10_language_id)
     }
 
 
