@@ -10,6 +10,7 @@ from siltline.llm.decontamination import contamination
 from siltline.llm.language_id import language_ids
 from siltline.llm.license_scan import license_scan
 from siltline.llm.packing import pack
+from siltline.llm.quality import quality_scores
 from siltline.llm.sharding import shards
 from siltline.llm.simhash import near_duplicates
 from siltline.llm.suffix_dedup import remove_repeats
@@ -28,6 +29,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_documents(spark, sf_dir)).drop("kept")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_documents(spark, sf_dir))
 
@@ -56,7 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_suffix_dedup, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination, op10_language_id)
+        for f in (op1_token_counts, op2_suffix_dedup, op3_quality, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination, op10_language_id)
     }
 
 
