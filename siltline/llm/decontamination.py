@@ -171,6 +171,7 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     width: int = 13,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """How far each row repeats the benchmark verbatim.
 
@@ -180,8 +181,8 @@ def contamination(
     of the places where a test suffix could begin, and looks every test suffix up by
     binary search. A word inside a window's occurrence is hit. Returns the id, n_words,
     n_hit, n_items (items with such windows), items_sha256 (of their ids as text,
-    sorted, comma-joined), items (those ids), longest_run (of hit words) and
-    contaminated (n_hit > 0 and 20 * n_hit >= n_words).
+    sorted, comma-joined), items (those ids), longest_run (of hit words),
+    contaminated (n_hit > 0 and 20 * n_hit >= n_words) and the columns named in carry.
 
     The benchmark is broadcast up to BROADCAST_BYTES of text and refused beyond, so that
     no executor can be swamped; split a larger one and combine the results.
@@ -195,9 +196,11 @@ def contamination(
         raise ValueError(f"the benchmark has {size} bytes of text; at most {BROADCAST_BYTES} can be broadcast")
     items = [tuple(r) for r in benchmark.select(F.col(item_col), F.col(item_text_col).cast("string")).collect()]
     probe = docs.sparkSession.sparkContext.broadcast(build_probe(items, width))
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    schema = f"id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest_run long"
-    out = rows.mapInArrow(_search(probe, width), schema)
+    carried = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
+    rows = docs.select(F.col(id_col).alias("id"), *carried, F.col(text_col).cast("string").alias("t"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    more = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest_run long"
+    out = rows.mapInArrow(_search(probe, width), f"{fields}, {more}")
     flag = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run", flag.alias("contaminated"))
+    carried = [F.col(f"c{k}").alias(c) for k, c in enumerate(carry)]
+    return out.select(F.col("id").alias(id_col), *carried, "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run", flag.alias("contaminated"))

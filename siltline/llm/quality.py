@@ -21,7 +21,7 @@ from siltline.llm.suffix_dedup import Hashes
 PASSAGE, BUCKETS, MEASURES = 128, 256, 9
 #: At most about this many labelled documents are learned from, chosen by a hash of their id.
 SAMPLE_ROWS = 3_000
-HIDDEN, ATTENTION, EPOCHS, BATCH, RATE, DECAY = 32, 16, 30, 64, 3e-3, 1e-4
+HIDDEN, ATTENTION, EPOCHS, STEPS, BATCH, RATE, DECAY = 32, 16, 30, 800, 64, 3e-3, 1e-2
 
 _LOWER = np.frombuffer(LOWER, np.uint8)
 _KIND = np.full(256, 3, np.uint8)  # 0 lower-case or other letter, 1 upper-case, 2 digit, 3 mark, 4 space
@@ -122,7 +122,7 @@ class Attention:
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         r, step = np.random.default_rng(seed), 0
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, STEPS * BATCH // len(n))):  # few documents are seen more often
             order = r.permutation(len(n))
             for lo in range(0, len(order), BATCH):
                 docs = order[lo : lo + BATCH]
@@ -178,9 +178,10 @@ def _score(model):
 
 def quality_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id",
-    label_col: str = "quality", threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS,
+    label_col: str = "quality", threshold: float = 0.7, sample_rows: int = SAMPLE_ROWS, carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Every row's quality: the id, held_out (crc32 of the id mod 4 is 2), score (0 to 1) and predicted (1 from threshold on).
+    """Every row's quality: the id, held_out (crc32 of the id mod 4 is 2), score (0 to 1) predicted (1 from threshold on)
+    and the columns named in carry.
 
     The score comes from the text alone. It is learned from labelled rows that are
     not held out: all, or about sample_rows chosen by a hash of their id. Their passage
@@ -196,7 +197,9 @@ def quality_scores(
     named = labels.select(F.col(label_id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     rows = docs.select(F.col(id_col).alias("id"), text)
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, named, sample_rows))
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), text)
-    out = out.mapInArrow(_score(model), f"id {kind}, held_out boolean, score double")
-    return out.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    carried = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
+    out = docs.select(F.col(id_col).alias("id"), *carried, held_out(F.col(id_col)).alias("held_out"), text)
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields[:-1])
+    out = out.mapInArrow(_score(model), f"{fields}, score double")
+    carried = [F.col(f"c{k}").alias(c) for k, c in enumerate(carry)]
+    return out.select(F.col("id").alias(id_col), *carried, "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltline.llm import embedding_dedup
 from siltline.llm.decontamination import contamination
 from siltline.llm.language_id import language_ids
 from siltline.llm.license_scan import license_scan
@@ -26,13 +27,17 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_documents(spark, sf_dir)).drop("kept")
+    return remove_repeats(_documents(spark, sf_dir))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(_documents(spark, sf_dir))
 
@@ -61,7 +66,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_suffix_dedup, op3_quality, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination, op10_language_id)
+        for f in (op1_token_counts, op2_suffix_dedup, op3_quality, op4_embedding_dedup, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination, op10_language_id)
     }
 
 

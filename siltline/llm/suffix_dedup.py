@@ -395,47 +395,52 @@ def repeated_spans(keyed: DataFrame, span: int, gram: int, hot: int) -> DataFram
     return whole.unionAll(sorted_).unionAll(split)
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds n_bytes, n_removed, n_spans, kept_sha256 and kept to rows that end with t and spans."""
-    for batch in batches:
-        texts, spans = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-        n_bytes, removed, runs, digest, kept = [], [], [], [], []
-        for text, found in zip(utf8(texts), spans, strict=True):
-            gone = 0
-            rest = text
-            n = 0
-            if found.is_valid and len(found):
-                values = found.values
-                at = [np.frombuffer(x, ">i4") for x in values.field("at").to_pylist()]
-                start = np.concatenate(at).astype(np.int64)
-                size = np.repeat(values.field("size").to_numpy(), [len(x) for x in at])
-                cover = np.zeros(len(text) + 1, np.int32)
-                np.add.at(cover, start, 1)
-                np.add.at(cover, start + size, -1)
-                out = np.cumsum(cover[:-1]) > 0
-                gone = int(out.sum())
-                n = int(out[0]) + int((out[1:] & ~out[:-1]).sum())
-                rest = np.frombuffer(text, np.uint8)[~out].tobytes()
-            n_bytes.append(len(text))
-            removed.append(gone)
-            runs.append(n)
-            digest.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest)
-        more = [*(pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)), pa.array(digest, pa.string()), pa.array(kept, pa.binary())]
-        names = [*batch.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *more], names)
+def _cut(texts_too: bool):
+    """Adds n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept_text to rows that end with the text and its spans."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            n_bytes, removed, runs, digest, kept = [], [], [], [], []
+            for text, found in zip(utf8(texts), spans, strict=True):
+                gone = 0
+                rest = text
+                n = 0
+                if found.is_valid and len(found):
+                    values = found.values
+                    at = [np.frombuffer(x, ">i4") for x in values.field("at").to_pylist()]
+                    start = np.concatenate(at).astype(np.int64)
+                    size = np.repeat(values.field("size").to_numpy(), [len(x) for x in at])
+                    cover = np.zeros(len(text) + 1, np.int32)
+                    np.add.at(cover, start, 1)
+                    np.add.at(cover, start + size, -1)
+                    out = np.cumsum(cover[:-1]) > 0
+                    gone = int(out.sum())
+                    n = int(out[0]) + int((out[1:] & ~out[:-1]).sum())
+                    rest = np.frombuffer(text, np.uint8)[~out].tobytes()
+                n_bytes.append(len(text))
+                removed.append(gone)
+                runs.append(n)
+                digest.append(hashlib.sha256(rest).hexdigest())
+                kept.append(rest.decode("utf-8", "ignore") if texts_too else None)
+            more = [*(pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
+            names = [*batch.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *more], names)
+
+    return rows
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, gram: int = GRAM, hot: int = HOT,
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] = (), texts: bool = False,
 ) -> DataFrame:
     """Every row with the bytes of its text that no repeated string of span bytes covers.
 
     A byte goes if some string of span bytes over it also starts anywhere else: in
     another row or in the same text, overlaps counted, judged on the texts as given.
     Matches never cross rows. Returns the id, the columns named in carry, n_bytes,
-    n_removed, n_spans (runs of removed bytes), kept_sha256 (hex) and kept (binary).
+    n_removed, n_spans (runs of removed bytes), kept_sha256 (hex, of the remaining bytes)
+    and, with texts, kept_text: what remains, without characters that were cut in half.
 
     A null text counts as empty. Rows that repeat as a whole, or under a null id, are
     rows of their own and lose what they share. Texts shorter than span keep
@@ -453,5 +458,6 @@ def remove_repeats(
     joined = rows.join(spans, near, "left").drop("id", "th", "_th")
     joined = joined.select("_id", *(f"_c{k}" for k in range(len(carry))), "_t", "spans")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields[:-2])
-    out = joined.mapInArrow(_cut, f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return out.select(F.col("_id").alias(id_col), *(F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    out = joined.mapInArrow(_cut(texts), f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    more = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * texts]
+    return out.select(F.col("_id").alias(id_col), *(F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)), *more)

@@ -45,11 +45,19 @@ def test_equals_brute_force(spark, seed, hot):
     texts = corpus(seed)
     rows = [(k if k % 9 else None, t, "n", 1.5) for k, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_bytes string, n double").repartition(3)
-    got = remove_repeats(docs, span=40, gram=12, hot=hot).drop("kept").collect()
+    got = remove_repeats(docs, span=40, gram=12, hot=hot).collect()
     want = [(r[0], *b) for r, b in zip(rows, brute(texts, 40), strict=True)]
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+def test_kept_texts_and_carried_columns(spark):
+    same = "é" * 30
+    docs = spark.createDataFrame([(1, "a" + same + "b", "x"), (2, "cd" + same, "y"), (3, None, None)], "doc_id long, text string, lang string")
+    got = remove_repeats(docs, span=25, gram=7, carry=("lang",), texts=True)
+    assert got.columns == ["doc_id", "lang", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+    assert sorted((x["doc_id"], x["lang"], x["kept_text"]) for x in got.collect()) == [(1, "x", "ab"), (2, "y", "cd"), (3, None, "")]
+
+
 def test_long_texts_are_read_in_parts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 500)
     texts = corpus(4)
