@@ -44,7 +44,7 @@ def all_hits(checks: Sequence[tuple[str, Column]]) -> Column:
 def fixed4(value: Column) -> Column:
     """Four decimals; empty for null and non-finite values."""
     v = number(value)
-    return F.coalesce(F.format_string("%.4f", v), F.lit(""))
+    return F.when(v.isNotNull(), F.format_string("%.4f", v)).otherwise("")
 
 
 def stem(path: Column) -> Column:
@@ -83,7 +83,7 @@ def hours(seconds: Column) -> Column:
 
 def shard_list(spec: Column) -> Column:
     """'1-4,7,9' as its sorted distinct numbers; blanks and bad parts are left out."""
-    parts = F.filter(F.transform(F.split(F.coalesce(spec, F.lit("")), ","), F.trim), lambda p: p.rlike(r"^\d+\s*(-\s*\d+)?$"))
+    parts = F.filter(F.transform(F.split(F.coalesce(spec, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p.rlike(r"^\d+\s*(-\s*\d+)?$"))
 
     def span(p: Column) -> Column:
         ends = F.split(p, r"\s*-\s*")
