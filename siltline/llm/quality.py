@@ -46,8 +46,6 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     word_passage = first[text_of[start]] + (np.arange(len(start)) - np.repeat(np.cumsum(words) - words, words)) // PASSAGE
     total = int(n.sum())
     out = np.zeros((total, BUCKETS + MEASURES), np.float32)
-    if not len(start):
-        return out, n
     # every byte belongs to the passage of the last word that began, or its text's first
     mark = np.zeros(len(raw), np.int64)
     mark[start] = np.diff(word_passage, prepend=0)
@@ -55,14 +53,15 @@ def encode(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     low = _LOWER[raw].astype(np.uint32)
     tri = (low[:-2] * 65599 + low[1:-1]) * 65599 + low[2:]
     bucket = (tri * np.uint32(2654435761)) >> np.uint32(24)
-    counts = np.bincount(passage[:-2] * BUCKETS + bucket, minlength=total * BUCKETS).reshape(total, BUCKETS)
+    inside = text_of[2:] == text_of[:-2]
+    counts = np.bincount((passage[:-2] * BUCKETS + bucket)[inside], minlength=total * BUCKETS).reshape(total, BUCKETS)
     counts = np.sqrt(counts)
     out[:, :BUCKETS] = counts / np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
     kinds = np.bincount(passage * 5 + kind, minlength=total * 5).reshape(total, 5)
     solid_bytes = np.maximum(kinds[:, :4].sum(1), 1)
     key = Hashes(raw).of(start, end - start)
     order = np.lexsort((key, word_passage))
-    new = np.append(True, (np.diff(word_passage[order]) != 0) | (key[order][1:] != key[order][:-1]))
+    new = np.append(True, (np.diff(word_passage[order]) != 0) | (key[order][1:] != key[order][:-1]))[: len(order)]
     in_passage = np.maximum(np.bincount(word_passage, minlength=total), 1)
     again = np.flatnonzero((key[1:] == key[:-1]) & (word_passage[1:] == word_passage[:-1]))
     lone = np.flatnonzero((end - start == 1) & (kind[start] == 3))
