@@ -7,14 +7,22 @@ short waveforms at 1,000 samples a second, and events for repeated writes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltline.functions import expr, signal
+from siltline.functions import audio, expr, scores, signal
 from siltline.operators import analytics, batches, gates, manifest, prepare
+from siltline.operators.measure import measure_clips
+from siltline.plans import curation
 from siltline.schema import KEEP
+from siltline.shared import shared_folder
+from siltline.sources.manifest_files import read_json, write_json
+from siltline.streaming import ingest
 
 RATE = 1000.0
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -504,6 +512,57 @@ def vad_trim_bounds(spark, d):
     return c.select("uid", start.alias("trim_start"), F.round(end, 6).alias("trim_end"), F.round(F.element_at(moved, -1)[0], 6).alias("last_from"))
 
 
+# ---- scores, bytes, files and streams ------------------------------------------------------
+
+_RAW = {"sig": "2.5e0 + 4 * x[1]", "bak": "3.0e0 + 4 * x[2]", "ovrl": "2.0e0 + 4 * x[3]"}
+_HORNER = {k: f"(({a!r}e0 * r.{k} + {b!r}e0) * r.{k} + {c!r}e0)" for k, (a, b, c) in scores.STANDARD.items()}
+_FINE = " AND ".join(f"{h} BETWEEN 0.5e0 AND 5.5e0" for h in _HORNER.values())
+
+
+@query(f"""WITH {WAVES}, r AS (SELECT vec_id, {", ".join(f"{v} AS {k}" for k, v in _RAW.items())} FROM waves)
+ SELECT vec_id, {", ".join(f"CASE WHEN {_FINE} THEN round({h}, 6) END AS dnsmos_{k}" for k, h in _HORNER.items())} FROM r""")
+def opinion_scores(spark, d):
+    x = F.col("x")
+    raw = {"sig": 2.5 + 4 * x[0], "bak": 3.0 + 4 * x[1], "ovrl": 2.0 + 4 * x[2]}
+    return waves(spark, d).select("vec_id", *(F.round(v, 6).alias(k) for k, v in scores.opinion_scores(raw).items()))
+
+
+@query("""SELECT doc_id, CAST(CASE WHEN n = 0 THEN 0 ELSE greatest(CAST(trunc(floor((CASE WHEN n < 144160 THEN n * ceil(144160.0e0 / n) ELSE n END) / 16000.0e0) - 9.01e0) AS INTEGER) + 1, 1) END AS INTEGER) AS windows
+ FROM (SELECT doc_id, n_chars * 100 AS n FROM documents)""")
+def scoring_windows(spark, d):
+    return table(spark, d, "documents").select("doc_id", scores.window_count(F.col("n_chars") * 100).alias("windows"))
+
+
+@query()
+def wav_measures(spark, d):
+    """Every vector, repeated to 3,200 samples, as a WAV clip at 1,000 samples a second, measured from its bytes."""
+
+    @F.pandas_udf("binary")
+    def wav(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: audio.encode_wav(np.tile(v, 50), int(RATE)))
+
+    return measure_clips(table(spark, d, "embeddings").select("vec_id", wav("embedding").alias("content")), "vec_id").drop("spans")
+
+
+@query(f"WITH {RECORDS} SELECT source, status, count(*) AS n, sum(len(reasons)) AS reasons FROM records GROUP BY source, status")
+def manifest_round_trip(spark, d):
+    """The records, written as JSON lines and read again."""
+    folder = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
+    write_json(curation.nested(records(spark, d).withColumnRenamed("doc_id", "_doc")), folder)
+    kept = read_json(spark, folder)
+    return kept.groupBy("source", "status").agg(F.count("*").alias("n"), F.sum(F.size("reasons")).alias("reasons"))
+
+
+@query("SELECT source, count(DISTINCT doc_id) AS n FROM documents GROUP BY source")
+def stream_ingest(spark, d):
+    """Documents as a stream of files, each id taken once, whatever batch it comes in."""
+    folder = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    docs = table(spark, d, "documents")
+    incoming = spark.readStream.schema(docs.schema).parquet(f"{d}/documents.parque[t]")  # as a pattern it may be one file or a folder
+    ingest.ingest_stream(incoming.select("doc_id", "source"), f"{folder}/table", f"{folder}/checkpoint", "doc_id", "source").awaitTermination()
+    return spark.read.parquet(f"{folder}/table").groupBy("source").agg(F.count("*").alias("n"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 
