@@ -18,6 +18,21 @@ from siltline.llm.suffix_dedup import remove_repeats
 from siltline.llm.token_counts import token_counts
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+DECONTAMINATION_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+ b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+ win AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
+ dw AS (SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+ m AS (SELECT r, i, n, item FROM dw JOIN win USING (n, key)),
+ h AS (SELECT DISTINCT r, unnest(range(i, i + n)) AS pos FROM m),
+ runs AS (SELECT r, count(*) AS c FROM (SELECT r, pos - row_number() OVER (PARTITION BY r ORDER BY pos) AS g FROM h) GROUP BY r, g),
+ hits AS (SELECT r, sum(c) AS n_hit, max(c) AS longest FROM runs GROUP BY r),
+ items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(longest, 0) AS longest_run
+ FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -71,4 +86,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of the one operator that it can express; the tests hold the others against brute force, libraries and held-out rows."""
+    return {"op9_decontamination": DECONTAMINATION_SQL}
