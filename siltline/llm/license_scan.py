@@ -32,8 +32,8 @@ TEMPLATES = {
     "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
     "unlicense": ("this is free and unencumbered software released into the public domain", ["free and unencumbered software released into the public domain"]),
 }
-#: A template needs this share of its words in place, looked up by so many of a text's rarest licence words.
-SHARE, RAREST = 0.8, 8
+#: A template needs this share of its words in place.
+SHARE = 0.8
 
 
 class Index:
@@ -43,19 +43,27 @@ class Index:
         self.names = sorted(templates)
         self.words = [templates[n][0].encode().split() for n in self.names]
         self.keys = [[p.encode().split() for p in templates[n][1]] for n in self.names]
+        self.vocabulary = {w for words in self.words for w in words}
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
-        for t, words in enumerate(self.words):
-            for place, w in enumerate(words):
-                self.postings.setdefault(w, []).append((t, place))
+        self.rarest({})
         self.base = [(p.encode().split(), label) for p, label in base.items()]
         self.ends = {p[-1] for p, _ in self.base}
 
+    def rarest(self, idf: dict[bytes, float]) -> None:
+        """Keeps each template's rarest places only, as many as any SHARE of its places must meet."""
+        self.postings = {}
+        for t, words in enumerate(self.words):
+            n = len(words)
+            least = next((h for h in range(n + 1) if h >= (SHARE - 1e-9) * n), n)
+            for place in sorted(range(n), key=lambda k: (-idf.get(words[k], 0.0), k))[: n - least + 1]:
+                self.postings.setdefault(words[place], []).append((t, place))
+
     def places(self, words: list[bytes], phrase: list[bytes], at: dict[bytes, list[int]]) -> list[int]:
         """Where a phrase starts, given the places of its last word."""
         n = len(phrase)
         return [k - n + 1 for k in at.get(phrase[-1], ()) if k >= n - 1 and words[k - n + 1 : k + 1] == phrase]
 
-    def scan(self, text: bytes, idf: dict[bytes, float]) -> tuple[int, int, int | None, int | None, set[str], dict[str, float]]:
+    def scan(self, text: bytes) -> tuple[int, int, int | None, int | None, set[str], dict[str, float]]:
         """Words, places of base phrases, their first and last, base labels, and each label found with its share."""
         words = text.translate(ALNUM).split()
         known = self.postings.keys() | self.ends
@@ -72,15 +80,10 @@ class Index:
             if found := self.places(words, phrase, at):
                 starts += found
                 base.add(label)
-        # the rarest licence words of the text propose templates at relative positions
-        rare = sorted((w for w in at if w in self.postings), key=lambda w: (-idf.get(w, 0.0), w))
-        votes: Counter[tuple[int, int]] = Counter()
-        for w in rare[:RAREST]:
-            for t, place in self.postings[w]:
-                for k in at[w]:
-                    votes[t, k - place] += 1
+        # a template that stands here has one of its rarest places right
+        starting = {(t, k - place) for w in at.keys() & self.postings.keys() for t, place in self.postings[w] for k in at[w]}
         shares: dict[str, float] = {}
-        for (t, offset), _ in votes.items():
+        for t, offset in starting:
             own = self.words[t]
             lo = max(offset, 0)
             window = words[lo : offset + len(own)]
@@ -100,19 +103,20 @@ def _document_counts(index: Index):
         counts: Counter[bytes] = Counter()
         for batch in batches:
             for text in utf8(batch.column(0)):
-                counts.update(index.postings.keys() & set(text.translate(ALNUM).split()))
+                counts.update(index.vocabulary & set(text.translate(ALNUM).split()))
                 counts[b""] += 1
         yield pa.RecordBatch.from_pydict({"w": list(counts), "n": list(counts.values())}, pa.schema([("w", pa.binary()), ("n", pa.int64())]))
 
     return rows
 
 
-def _scan(index: Index, idf):
+def _scan(index_of):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: Index = index_of.value
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for text in utf8(batch.column(1)):
-                n, n_base, first, last, base, shares = index.scan(text, idf.value)
+                n, n_base, first, last, base, shares = index.scan(text)
                 row = (n, n_base, first, last, ",".join(sorted(base)), ",".join(sorted(base | shares.keys())), max([*shares.values(), 1.0 if base else 0.0]))
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
@@ -134,9 +138,10 @@ def license_scan(
 
     Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of the text with A-Z lower-cased. A
     first pass counts in how many texts of the whole table each licence word stands.
-    Then a text's rarest licence words look up the templates that hold them; each gives
-    a place where the template would begin, and a template is found if SHARE of its
-    words stand there and its key phrases are among them. Returns the id, n_words,
+    Then each template is looked up by its own rarest words, one more than may be wrong,
+    so that a match must agree in one of them; each gives a place where the template
+    would begin, and a template is found if SHARE of its words stand there and its key
+    phrases are among them, whatever else the text holds. Returns the id, n_words,
     n_base (places of base phrases), first_word and last_word (their smallest and largest
     start, else null), base_labels, labels (base and found) and score (the best share;
     1 for a base phrase; else 0).
@@ -150,8 +155,9 @@ def license_scan(
     counted = docs.select(text).mapInArrow(_document_counts(index), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n"))
     counts = {bytes(r["w"]): r["n"] for r in counted.collect()}  # a row for each licence word
     total = counts.pop(b"", 0)
-    idf = docs.sparkSession.sparkContext.broadcast({w: math.log((1 + total) / (1 + n)) for w, n in counts.items()})
+    index.rarest({w: math.log((1 + total) / (1 + counts.get(w, 0))) for w in index.vocabulary})
+    index_of = docs.sparkSession.sparkContext.broadcast(index)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    out = docs.select(F.col(id_col).alias("id"), text).mapInArrow(_scan(index, idf), schema)
+    out = docs.select(F.col(id_col).alias("id"), text).mapInArrow(_scan(index_of), schema)
     return out.withColumnRenamed("id", id_col)

@@ -48,3 +48,15 @@ def test_near_template_and_missing_key_phrase(spark):
     got = {x["doc_id"]: x["labels"] for x in license_scan(docs).collect()}
     assert got == {1: "bsd", 2: "", None: "bsd"}
     assert license_scan(docs.limit(0)).count() == 0
+
+
+def test_several_notices_in_one_text(spark):
+    r = random.Random(2)
+    names = sorted(TEMPLATES)
+    rows = [["bsd", "mit-notice"], ["bsd", "cc-by-nc"], *(r.sample(names, k) for k in (2, 3, 4, 5) for _ in range(15)), names]
+    # words that stand in no other text must not push common ones out
+    texts = [" filler ".join(TEMPLATES[n][0] for n in x) for x in rows] + ["this work is under the license"] * 50
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: set(x["labels"].split(",")) for x in license_scan(docs).collect()}
+    for k, x in enumerate(rows):
+        assert set(x) <= got[k], (k, x, got[k])
