@@ -19,8 +19,10 @@ from siltline.llm.common import checkpointed, tune
 from siltline.llm.components import components
 from siltline.llm.simhash import forest
 
-#: Rows the codebooks are learned from, rows whose links are measured by brute force, and the recall they must reach.
+#: Rows the codebooks are learned from, rows whose links are first measured by brute force, and the recall they must reach.
 TRAIN_ROWS, PROBE_ROWS, TARGET = 16_384, 512, 0.995
+#: Probing goes on, in blocks of so many components at most, until so many probe classes have links or all are probed.
+LINKED, PROBE_VALUES = 200, 1 << 19
 #: Vectors of one cell held at once, and visitors met by one task.
 MEMBERS, VISITORS = 1024, 65_536
 
@@ -83,35 +85,81 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _true_links(probe, grid, least: float):
-    """The number of cells that each link of a probe vector needs: the better of its two directions."""
+    """(q, rank, n): the n links of probe vector q that need the cells nearest to it up to rank."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors = probe.value
         unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        every = grid.value.k ** 2
-        ranks: list[int] = []
-        orders: dict[int, np.ndarray] = {}
+        books, k = grid.value.books, grid.value.k
+        near: dict[int, list[np.ndarray]] = {}
         for batch in batches:
+            if not len(batch):
+                continue
             own = batch.column(0).to_numpy()
             x = _matrix(batch.column(1))
-            y, q = np.nonzero((x / np.linalg.norm(x, axis=1, keepdims=True)) @ unit.T >= least)
-            ok = own[y] != ids[q]
-            y, q = y[ok], q[ok]
-            if not len(y):
-                continue
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
             cell = grid.value.visits(x, 1)[:, 0]
-            for k in np.unique(q).tolist():
-                if k not in orders:
-                    orders[k] = grid.value.visits(vectors[k : k + 1], every)[0]
-                there = cell[y[q == k]]
-                place = np.empty(every, np.int64)
-                place[orders[k]] = np.arange(every)
-                ranks += place[there].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(ranks, pa.int64())], ["rank"])
+            met = []
+            for lo in range(0, len(x), 256):
+                y, q = np.nonzero(x[lo : lo + 256] @ unit.T >= least)
+                y += lo
+                ok = own[y] != ids[q]
+                met.append(np.stack([q[ok], cell[y[ok]]], 1))
+            pairs, n = np.unique(np.concatenate(met), axis=0, return_counts=True)
+            ranks = []
+            for q, c in pairs.tolist():
+                if q not in near:
+                    near[q] = [distances(h, b)[0] for h, b in zip(halves(vectors[q : q + 1]), books, strict=True)]
+                    near[q].append(np.sort(near[q][1]))
+                first, second, ordered = near[q]
+                far = first[c // k] + second[c % k] + 1e-12  # a tie counts as nearer
+                ranks.append(int(np.searchsorted(ordered, far - first, "right").sum()) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[pairs[:, 0]], pa.int64()), pa.array(ranks, pa.int64()), pa.array(n, pa.int64())], ["q", "rank", "n"])
 
     return rows
 
 
+def _at(ranks: np.ndarray, weights: np.ndarray, target: float) -> int:
+    """The least rank up to which the share target of the weights lies."""
+    order = ranks.argsort(kind="stable")
+    total = np.cumsum(weights[order])
+    return int(ranks[order][min(np.searchsorted(total, target * total[-1]), len(order) - 1)])
+
+
+def cells_needed(classes: DataFrame, grid, total: int, width: int, least: float, target: float, probe_rows: int) -> int:
+    """How many cells each class must visit so that the share target of the probes' links is met.
+
+    Blocks of classes, in the order of a hash, are compared with all until LINKED of them
+    have links, or none is left to probe: then all links are known, and without any a
+    class need visit its own cell only. The share must hold over all links and also with
+    each linked class weighing the same, so that a few large groups don't settle it.
+    """
+    spark, every = classes.sparkSession, 1 << 40
+    place = F.pmod(F.xxhash64("rep", F.lit(2)), F.lit(every))
+    found, linked, done, size = [], 0, 0, probe_rows
+    while done < every and linked < LINKED:
+        size = max(1, min(size, PROBE_VALUES // width))
+        upto = min(every, done + max(1, int(size / total * every)))
+        asked = classes.where((place >= done) & (place < upto)).orderBy("rep").select("rep", "vec").toArrow()  # about size rows
+        done, size = upto, size * 4
+        if not len(asked):
+            continue
+        probe = spark.sparkContext.broadcast((asked["rep"].to_numpy(), _matrix(asked["vec"].combine_chunks())))
+        links = classes.select("rep", "vec").mapInArrow(_true_links(probe, grid, least), "q long, rank long, n long")
+        links = links.groupBy("q", "rank").agg(F.sum("n").alias("n"))
+        shares = links.join(links.groupBy("q").agg(F.sum("n").alias("all")), "q")
+        per = shares.groupBy("rank").agg(F.sum("n").alias("n"), F.sum(F.col("n") / F.col("all")).alias("share"))
+        per = per.toArrow()  # a row for each rank
+        probe.destroy()
+        if len(per):
+            found.append(np.stack([per[c].to_numpy().astype(np.float64) for c in ("rank", "n", "share")]))
+            linked += round(found[-1][2].sum())
+    if not found:
+        return 1
+    ranks, n, share = np.concatenate(found, 1)
+    return 1 + max(_at(ranks, n, target), _at(ranks, share, target))
+
+
 def _place(grid, most: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,6 +230,30 @@ def _meet(least: float):
     return rows
 
 
+def _found(classes: DataFrame, total: int, width: int, least: float, target: float, train_rows: int, probe_rows: int) -> DataFrame:
+    """The links of classes of one length, as _meet gives them."""
+    spark = classes.sparkSession
+    chosen = F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(1 << 40)) < int(min(1.0, train_rows / total) * (1 << 40))
+    sample = classes.where(chosen).orderBy("rep").select("vec").toArrow()["vec"].combine_chunks()  # about train_rows rows
+    sample = _matrix(sample) if len(sample) else _matrix(classes.limit(1).select("vec").toArrow()["vec"].combine_chunks())
+    k = max(1, min(1024, int(np.sqrt(total / 32)), len(sample)))
+    grid = spark.sparkContext.broadcast(Grid(*(codebook(h, k, seed) for seed, h in enumerate(halves(sample)))))
+    most = cells_needed(classes, grid, total, width, least, target, probe_rows)
+    placed = checkpointed(classes.select("rep", "n", "vec").mapInArrow(_place(grid, most), "rep long, n long, vec array<double>, visits array<long>"))
+    members = placed.withColumn("cell", F.col("visits")[0])
+    visitors = placed.withColumn("cell", F.explode("visits"))
+    parts = members.groupBy("cell").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
+    parts = parts.join(visitors.groupBy("cell").agg(F.ceil(F.count("*") / VISITORS).alias("lanes")), "cell")
+    block = F.pmod(F.xxhash64("rep", F.lit(3)), "blocks")
+    lane = F.pmod(F.xxhash64("rep", F.lit(4)), "lanes")
+    columns = ["cell", "part", "role", "rep", "n", "vec", "visits"]
+    left = members.join(parts, "cell").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1), lambda x: block * F.col("lanes") + x)))
+    right = visitors.join(parts, "cell").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x * F.col("lanes") + lane)))
+    both = left.withColumn("role", F.lit(0).cast("long")).select(columns).unionAll(right.withColumn("role", F.lit(1).cast("long")).select(columns))
+    both = both.repartition("cell", "part").sortWithinPartitions("cell", "part", "role")
+    return checkpointed(both.mapInArrow(_meet(least), "a long, b long, n long"))
+
+
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = 0.9, target: float = TARGET,
     train_rows: int = TRAIN_ROWS, probe_rows: int = PROBE_ROWS,
@@ -190,55 +262,30 @@ def near_duplicates(
 
     Equal vectors are one class and count as links of each other without being paired.
     The codebooks are learned from about train_rows classes; the links of about
-    probe_rows classes are found by brute force against all, and each class then visits
-    as many cells as the share target of those links needs. Every class is indexed and
-    is a query; a link is verified in double precision. Full cells and busy cells are
-    split over several tasks.
-
-    Vectors that are null, empty, zero, of another length than most, or that hold a null
-    or non-finite component link with nothing and keep themselves. Rows that repeat an id
-    and vector are vectors of their own. Null ids never name a component unless it holds
-    nothing else. An empty table gives no rows; other columns are not read.
+    probe_rows classes, or of as many more as it takes to find enough links, are found
+    by brute force against all, and each class then visits as many cells as the share
+    target of those links needs. Every class is indexed and is a query; a link is
+    verified in double precision. Full cells and busy cells are split over several tasks.
+
+    Vectors link with those of their own length; each length has a grid of its own.
+    Vectors that are null, empty, zero, or that hold a null or non-finite component link
+    with nothing and keep themselves. Rows that repeat an id and vector are vectors of
+    their own. Null ids never name a component unless it holds nothing else. An empty
+    table gives no rows; other columns are not read.
     """
     spark = vectors.sparkSession
     tune(spark)
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    rows = rows.withColumn("vec", F.when(F.size("vec") == 1, F.transform("vec", F.signum)).otherwise(F.col("vec")))  # one component: only its sign counts
     fine = F.col("vec").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fine = fine & F.exists("vec", lambda x: x != 0)
     good = rows.where(fine)
     classes = good.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("least"))
     classes = checkpointed(classes.withColumn("rep", F.xxhash64("vec")))
-    sizes = classes.groupBy(F.size("vec").alias("size")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.desc("size")).first()
-    nothing = rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    if sizes is None or sizes["size"] < 2:
-        return nothing
-    classes = classes.where(F.size("vec") == sizes["size"])
-    total = classes.count()
-    chosen = lambda most, salt: classes.where(F.pmod(F.xxhash64("rep", F.lit(salt)), F.lit(1 << 40)) < int(min(1.0, most / total) * (1 << 40)))
-    sample = chosen(train_rows, 1).orderBy("rep").select("vec").toArrow()["vec"].combine_chunks()  # about train_rows rows
-    sample = _matrix(sample) if len(sample) else _matrix(classes.limit(1).select("vec").toArrow()["vec"].combine_chunks())
-    k = max(1, min(1024, int(np.sqrt(total / 32)), len(sample)))
-    grid = spark.sparkContext.broadcast(Grid(*(codebook(h, k, seed) for seed, h in enumerate(halves(sample)))))
-    asked = chosen(probe_rows, 2).orderBy("rep").select("rep", "vec").toArrow()  # about probe_rows rows
-    probe = spark.sparkContext.broadcast((asked["rep"].to_numpy(), _matrix(asked["vec"].combine_chunks()))) if len(asked) else None
-    most = 1
-    if probe is not None:
-        need = classes.select("rep", "vec").mapInArrow(_true_links(probe, grid, least), "rank long")
-        need = need.agg(F.percentile("rank", F.lit(target))).first()[0]
-        most = int(np.ceil(need or 0)) + 1
-    placed = checkpointed(classes.select("rep", "n", "vec").mapInArrow(_place(grid, most), "rep long, n long, vec array<double>, visits array<long>"))
-    members = placed.withColumn("cell", F.col("visits")[0])
-    visitors = placed.withColumn("cell", F.explode("visits"))
-    parts = members.groupBy("cell").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
-    parts = parts.join(visitors.groupBy("cell").agg(F.ceil(F.count("*") / VISITORS).alias("lanes")), "cell")
-    block = F.pmod(F.xxhash64("rep", F.lit(3)), "blocks")
-    lane = F.pmod(F.xxhash64("rep", F.lit(4)), "lanes")
-    columns = ["cell", "part", "role", "rep", "n", "vec", "visits"]
-    left = members.join(parts, "cell").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1), lambda x: block * F.col("lanes") + x)))
-    right = visitors.join(parts, "cell").withColumn("part", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda x: x * F.col("lanes") + lane)))
-    both = left.withColumn("role", F.lit(0).cast("long")).select(columns).unionAll(right.withColumn("role", F.lit(1).cast("long")).select(columns))
-    both = both.repartition("cell", "part").sortWithinPartitions("cell", "part", "role")
-    found = checkpointed(both.mapInArrow(_meet(least), "a long, b long, n long"))
+    sizes = classes.groupBy(F.size("vec").alias("size")).agg(F.count("*").alias("total")).where("size > 1 and total > 1").collect()
+    found = spark.createDataFrame([], "a long, b long, n long")
+    for size, total in sizes:
+        found = found.unionAll(_found(classes.where(F.size("vec") == size), total, size, least, target, train_rows, probe_rows))
     counts = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("more"))
     roots = components(found.where("n = 0").select("a", "b"))
     classes = classes.join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep"))

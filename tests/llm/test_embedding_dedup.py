@@ -67,3 +67,19 @@ def test_empty_and_useless_tables(spark):
     docs = spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "vec_id long, embedding array<float>")
     assert [tuple(x) for x in near_duplicates(docs).orderBy("vec_id").collect()] == [(1, 0, 1, True), (2, 0, 2, True)]
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_sparse_links_and_other_lengths(spark):
+    r = np.random.default_rng(5)
+    base = r.standard_normal((2400, 16))
+    # no class of the first few probes has a link; the few links cross borders of cells
+    near = base[::300] + 0.28 * r.standard_normal((8, 16))
+    rows = [x.tolist() for x in np.concatenate([base, near])]
+    other = [[3.0], [0.5], [-1.0], [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 1.0, 0.0], [2.0, 1.0, 5.0], [2.0, 1.0, 5.0]]
+    docs = spark.createDataFrame(list(enumerate(rows + other)), "vec_id long, embedding array<double>").repartition(3)
+    got = {x["vec_id"]: x["n_links"] for x in near_duplicates(docs, least=0.9, probe_rows=16).collect()}
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(1) - 1
+    assert 0 < want.sum() < 40
+    assert [got[k] for k in range(len(rows))] == want.tolist()
+    assert [got[len(rows) + k] for k in range(len(other))] == [1, 1, 0, 1, 1, 0, 1, 1]
