@@ -5,18 +5,19 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import ALNUM, in_chunks, tune, utf8
+from siltline.llm.common import ALNUM, checkpointed, in_chunks, tune, utf8
 
 #: Bits of a word number in a packed key and words in one key.
-_WORD_BITS, _PACKED = 21, 3
-#: Bytes of benchmark text that may be broadcast; a larger benchmark is split into rounds.
-BROADCAST_BYTES = 32 << 20
+_WORD_BITS, _PACKED = 31, 2
+#: Words of one round's probe, about, which bound its windows; and of one piece of an item.
+ROUND_WORDS, PIECE_WORDS = 1 << 19, 4096
 
 
 @dataclass
@@ -32,8 +33,19 @@ class Probe:
     pairs: np.ndarray  # the first two word numbers of windows, packed and sorted; one-word windows apart
     singles: np.ndarray
 
-    def keys(self) -> np.ndarray:
-        return packed(self.windows)
+    @cached_property
+    def bounds(self) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the greatest key that starts with each window."""
+        top = np.where(np.arange(self.windows.shape[1]) < self.lengths[:, None], self.windows, (1 << _WORD_BITS) - 1)
+        return packed(self.windows), packed(top)
+
+    @cached_property
+    def pair_of(self) -> np.ndarray:
+        """The place in pairs of each window's first two words; one beyond the last for one-word windows."""
+        if not len(self.pairs):
+            return np.zeros(len(self.windows), np.int64)
+        pair = (self.windows[:, 0] << _WORD_BITS) | self.windows[:, 1]
+        return np.where(self.lengths > 1, np.searchsorted(self.pairs, pair), len(self.pairs))
 
 
 def packed(columns: np.ndarray) -> np.ndarray:
@@ -55,8 +67,6 @@ def build_probe(items: Sequence[tuple[object, str | None]], width: int) -> Probe
             at = windows.setdefault(tuple(ids[k : k + width]), [])
             if not at or at[-1] != place:
                 at.append(place)
-    if len(words) >= 1 << _WORD_BITS:
-        raise ValueError("too many different words for one round")
     table = np.zeros((len(windows), width), np.int64)
     for k, w in enumerate(windows):
         table[k, : len(w)] = w
@@ -67,23 +77,26 @@ def build_probe(items: Sequence[tuple[object, str | None]], width: int) -> Probe
     return Probe(words, table, lengths, list(windows.values()), names, order, pairs, np.unique(table[lengths == 1, 0]))
 
 
-def suffix_array(ids: np.ndarray, probe: Probe) -> np.ndarray:
-    """Places in ids whose suffixes could start with a test window, in the order of their first words."""
+def suffix_array(ids: np.ndarray, probe: Probe) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ids whose suffixes could start with a test window, in the order of their first words; their keys; windows to look up."""
     n, width = len(ids), probe.windows.shape[1]
     follow = np.append(ids[1:], 0)
     pair = (ids << _WORD_BITS) | follow
     start = np.flatnonzero(ids)
     keep = np.zeros(len(start), bool)
+    seen = np.zeros(len(probe.pairs) + 1, bool)
     if len(probe.pairs):
         k = np.minimum(np.searchsorted(probe.pairs, pair[start]), len(probe.pairs) - 1)
         keep |= probe.pairs[k] == pair[start]
+        seen[k[keep]] = True
     if len(probe.singles):
         keep |= np.isin(ids[start], probe.singles)
+        seen[-1] = True
     start = start[keep]
     padded = np.append(ids, np.zeros(width, ids.dtype))
     keys = packed(padded[start[:, None] + np.arange(width)])
     order = np.lexsort(keys.T[::-1])
-    return start[order], keys[order]
+    return start[order], keys[order], np.flatnonzero(seen[probe.pair_of])
 
 
 def _bound(keys: np.ndarray, want: np.ndarray, or_equal: bool = False) -> np.ndarray:
@@ -105,51 +118,117 @@ def _bound(keys: np.ndarray, want: np.ndarray, or_equal: bool = False) -> np.nda
 
 def occurrences(ids: np.ndarray, probe: Probe) -> tuple[np.ndarray, np.ndarray]:
     """(window, place in ids) for each place where a test window stands, by binary search in a suffix array."""
-    start, keys = suffix_array(ids, probe)
+    start, keys, asked = suffix_array(ids, probe)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    width = probe.windows.shape[1]
-    top = np.where(np.arange(width) < probe.lengths[:, None], probe.windows, (1 << _WORD_BITS) - 1)
-    lo, hi = _bound(keys, probe.keys()), _bound(keys, packed(top), or_equal=True)
+    least, most = probe.bounds
+    lo, hi = _bound(keys, least[asked]), _bound(keys, most[asked], or_equal=True)
     n = hi - lo
-    window = np.repeat(np.arange(len(n)), n)
+    window = np.repeat(asked, n)
     return window, start[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
 
 
+def _chunks(batch: pa.RecordBatch, probe: Probe, width: int):
+    """Of each part of a batch: its range of rows, their sizes and begins in words, the hit words, and each row's items."""
+    get = probe.words.get
+    rank = np.argsort(probe.sort_order)
+    texts = utf8(batch.column(batch.num_columns - 1))
+    for lo, hi in in_chunks([len(t) for t in texts]):
+        words = [t.translate(ALNUM).split() for t in texts[lo:hi]]
+        size = np.array([len(w) for w in words], np.int64)
+        begin = np.cumsum(size + width) - size - width  # width zeros between texts: no match crosses
+        ids = np.zeros(int(begin[-1] + size[-1]), np.int64)
+        for b, w in zip(begin.tolist(), words, strict=True):
+            ids[b : b + len(w)] = [get(x, 0) for x in w]
+        window, at = occurrences(ids, probe)
+        cover = np.zeros(len(ids) + 1, np.int64)
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + probe.lengths[window], -1)
+        doc = np.searchsorted(begin, at, "right") - 1
+        found: dict[int, set[int]] = {}
+        for d, w in np.unique(np.stack([doc, window], 1), axis=0).tolist():
+            found.setdefault(d, set()).update(probe.items[w])
+        held = [sorted(found.get(d, ()), key=rank.__getitem__) for d in range(hi - lo)]
+        held = [list(dict.fromkeys(probe.item_ids[p] for p in x)) for x in held]
+        yield lo, hi, size, begin, np.cumsum(cover[:-1]) > 0, held
+
+
+def _item_columns(held: list[list[str]]) -> list[pa.Array]:
+    return [
+        pa.array([len(x) for x in held], pa.int64()), pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in held], pa.string()),
+        pa.array(held, pa.list_(pa.string())),
+    ]
+
+
+_NAMES = ["n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run"]
+
+
 def _search(probe_of, width: int):
+    """Rows with their counts, from one probe that holds the whole benchmark."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        probe: Probe = probe_of.value
-        get = probe.words.get
         for batch in batches:
-            texts = utf8(batch.column(batch.num_columns - 1))
-            for lo, hi in in_chunks([len(t) for t in texts]):
-                words = [t.translate(ALNUM).split() for t in texts[lo:hi]]
-                size = np.array([len(w) for w in words], np.int64)
-                begin = np.cumsum(size + width) - size - width  # width zeros between texts: no match crosses
-                ids = np.zeros(int(begin[-1] + size[-1]), np.int64)
-                for b, w in zip(begin.tolist(), words, strict=True):
-                    ids[b : b + len(w)] = [get(x, 0) for x in w]
-                window, at = occurrences(ids, probe)
-                cover = np.zeros(len(ids) + 1, np.int64)
-                np.add.at(cover, at, 1)
-                np.add.at(cover, at + probe.lengths[window], -1)
-                hit = np.append(0, np.cumsum(np.cumsum(cover[:-1]) > 0))
+            for lo, hi, size, begin, hits, held in _chunks(batch, probe_of.value, width):
+                hit = np.append(0, np.cumsum(hits))
                 n_hit = hit[begin + size] - hit[begin]
-                longest = _longest(np.cumsum(cover[:-1]) > 0, begin, size)
-                doc = np.searchsorted(begin, at, "right") - 1
-                found: dict[int, set[int]] = {}
-                for d, w in np.unique(np.stack([doc, window], 1), axis=0).tolist():
-                    found.setdefault(d, set()).update(probe.items[w])
-                rank = np.argsort(probe.sort_order)
-                held = [sorted(found.get(d, ()), key=rank.__getitem__) for d in range(hi - lo)]
-                held = [list(dict.fromkeys(probe.item_ids[p] for p in x)) for x in held]
-                more = [
-                    pa.array(size), pa.array(n_hit), pa.array([len(x) for x in held], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in held]),
-                    pa.array(held, pa.list_(pa.string())), pa.array(longest),
-                ]
-                names = [*batch.schema.names[:-1], "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run"]
-                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), *more], names)
+                more = [pa.array(size), pa.array(n_hit), *_item_columns(held), pa.array(_longest(hits, begin, size))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), *more], [*batch.schema.names[:-1], *_NAMES])
+
+    return rows
+
+
+def _round(probe_of, width: int):
+    """Over rows (r, text): of those with hits, the ranges of hit words (begin, end, begin, ...) and the items of one round."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, size, begin, hits, held in _chunks(batch, probe_of.value, width):
+                some = [d for d in range(hi - lo) if held[d]]
+                spans = [np.flatnonzero(np.diff(np.concatenate([[0], hits[b : b + n].view(np.int8), [0]]))) for b, n in zip(begin[some], size[some], strict=True)]
+                columns = [batch.column(0).slice(lo, hi - lo).take(pa.array(some, pa.int64())), pa.array(spans, pa.list_(pa.int64())), pa.array([held[d] for d in some], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, ["r", "spans", "found"])
+
+    return rows
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [len(t.translate(ALNUM).split()) for t in utf8(batch.column(batch.num_columns - 1))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n_words"])
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last columns are n_words and the rounds' spans and items: the counts over all rounds."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        n_hit, longest, held = [], [], []
+        for rounds, found in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            total = most = end = first = 0
+            for lo, hi in sorted((s[k], s[k + 1]) for s in rounds or () for k in range(0, len(s), 2)):
+                if lo > end or not total:  # neighbours that touch are one run
+                    first = end = lo
+                total += max(0, hi - end)
+                end = max(end, hi)
+                most = max(most, end - first)
+            n_hit.append(total)
+            longest.append(most)
+            held.append(sorted({x for items in found or () for x in items}))
+        more = [batch.column(batch.num_columns - 3), pa.array(n_hit, pa.int64()), *_item_columns(held), pa.array(longest, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *more], [*batch.schema.names[:-3], *_NAMES])
+
+
+def _pieces(width: int):
+    """Over rows (item, text): the items' words in pieces that overlap so far that each window is in one."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+                words = text.translate(ALNUM).split()
+                last = max(1, len(words) - width + 1) if words else 0
+                for lo in range(0, last, PIECE_WORDS):
+                    part = words[lo : lo + PIECE_WORDS + width - 1]
+                    yield pa.RecordBatch.from_pydict({"item": [item], "t": [b" ".join(part).decode()], "n": [len(part)]}, pa.schema([("item", pa.string()), ("t", pa.string()), ("n", pa.int64())]))
 
     return rows
 
@@ -184,23 +263,41 @@ def contamination(
     sorted, comma-joined), items (those ids), longest_run (of hit words),
     contaminated (n_hit > 0 and 20 * n_hit >= n_words) and the columns named in carry.
 
-    The benchmark is broadcast up to BROADCAST_BYTES of text and refused beyond, so that
-    no executor can be swamped; split a larger one and combine the results.
+    A benchmark of over ROUND_WORDS words is dealt by a hash to rounds of about so many,
+    each broadcast and searched in turn, and their hit words and items are merged for
+    each row. No more than a round is in memory at once.
     A null or empty text has no words and no hits; items without words never match;
     items of one id count once. Repeated rows and null ids are rows like any other; an
     empty table on either side is defined. Other columns are not read.
     """
     tune(docs.sparkSession)
-    size = benchmark.agg(F.sum(F.octet_length(F.col(item_text_col).cast("string")))).first()[0] or 0
-    if size > BROADCAST_BYTES:
-        raise ValueError(f"the benchmark has {size} bytes of text; at most {BROADCAST_BYTES} can be broadcast")
-    items = [tuple(r) for r in benchmark.select(F.col(item_col), F.col(item_text_col).cast("string")).collect()]
-    probe = docs.sparkSession.sparkContext.broadcast(build_probe(items, width))
+    spark = docs.sparkSession
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("t"))
+    pieces = checkpointed(items.mapInArrow(_pieces(width), "item string, t string, n long").distinct())
+    rounds = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // ROUND_WORDS)
+    number = F.pmod(F.xxhash64("item", "t"), F.lit(max(1, rounds)))
+
+    def probe(k: int):
+        part = [(str(i), t) for i, t in pieces.where(number == k).select("item", "t").collect()]
+        return spark.sparkContext.broadcast(build_probe(part, width))
+
     carried = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
     rows = docs.select(F.col(id_col).alias("id"), *carried, F.col(text_col).cast("string").alias("t"))
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     more = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest_run long"
-    out = rows.mapInArrow(_search(probe, width), f"{fields}, {more}")
+    if rounds <= 1:
+        out = rows.mapInArrow(_search(probe(0), width), f"{fields}, {more}")
+    else:
+        rows = checkpointed(rows.select(F.monotonically_increasing_id().alias("r"), "*"))
+        merged = None
+        for k in range(rounds):
+            now = probe(k)
+            found = checkpointed(rows.select("r", "t").mapInArrow(_round(now, width), "r long, spans array<long>, found array<string>"))
+            now.destroy()
+            merged = found if merged is None else merged.unionAll(found)
+        merged = merged.groupBy("r").agg(F.collect_list("spans").alias("spans"), F.collect_list("found").alias("found"))
+        out = rows.mapInArrow(_count_words, f"r long, {fields}, n_words long").join(merged, "r", "left").drop("r")
+        out = out.mapInArrow(_merge, f"{fields}, {more}")
     flag = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     carried = [F.col(f"c{k}").alias(c) for k, c in enumerate(carry)]
     return out.select(F.col("id").alias(id_col), *carried, "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run", flag.alias("contaminated"))

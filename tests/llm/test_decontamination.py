@@ -59,3 +59,23 @@ def test_very_long_text(spark):
     b = spark.createDataFrame([(7, passage)], "item_id long, text string")
     x = contamination(d, b).first()
     assert (x["n_words"], x["n_hit"], x["items"], x["longest_run"], x["contaminated"]) == (600_020, 20, ["7"], 20, False)
+
+
+def test_rounds_equal_brute_force(spark, monkeypatch):
+    from siltline.llm import decontamination
+
+    r = random.Random(4)
+    text = lambda n: " ".join(r.choice(["a", "b", "Ça", "d9", "g"]) for _ in range(n))
+    items = [(k, text(30)) for k in range(12)] + [(20, text(5)), (21, "solo"), (22, None), (3, text(40)), (None, text(14))]
+    docs = [(None, None), (1, ""), (2, "solo SOLO x")]
+    docs += [(10 + k % 20, f"{text(20)} {r.choice(items)[1]} {r.choice(items)[1]} {text(40)}") for k in range(40)]
+    d = spark.createDataFrame([(*x, k) for k, x in enumerate(docs)], "doc_id long, text string, k int").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    whole = contamination(d, b, carry=("k",)).collect()
+    monkeypatch.setattr(decontamination, "ROUND_WORDS", 90)
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 7)
+    split = contamination(d, b, carry=("k",)).collect()
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    by_k = {x["k"]: tuple(x[n] for n in names) for x in split}
+    assert [by_k[k] for k in range(len(docs))] == brute(docs, items)
+    assert sorted(map(str, split)) == sorted(map(str, whole))
