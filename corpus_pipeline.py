@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltline.llm.common import shared_folder
+from siltline.llm.common import checkpointed, shared_folder
 from siltline.llm.decontamination import contamination
 from siltline.llm.packing import pack
 from siltline.llm.quality import quality_scores
@@ -30,10 +30,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the least id. Rows under one id are one document."""
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """One document of each group of near-duplicates: that with the least id, of several the first; null ids come last."""
+    rows = checkpointed(docs.select(F.monotonically_increasing_id().alias("_row"), "*"))  # ids may repeat or be null; the key must survive retries
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row").alias("_key")
+    found = near_duplicates(rows.select(key, "text"), "_key")
+    kept = found.where("_key._row = component_id._row").select("_key._row")
+    return rows.join(kept, "_row", "left_semi").select(docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

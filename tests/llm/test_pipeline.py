@@ -90,3 +90,18 @@ def test_stages(spark, tmp_path):
 def test_run_is_the_last_stage(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and got.count() > 0
+
+
+def test_repeated_rows_and_null_ids_keep_one_document(spark):
+    import random
+
+    r = random.Random(6)
+    text = lambda: " ".join(f"w{r.randint(0, 10**9)}" for _ in range(80))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(5, a), (5, a), (None, a), (7, a), (None, b), (None, b), (None, c), (5, d), (9, e), (9, e)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    one = corpus_pipeline.near_dedup(spark, docs, SF)
+    want = sorted([(5, a), (None, b), (None, c), (5, d), (9, e)], key=str)
+    assert one.columns == docs.columns and sorted(map(tuple, one.collect()), key=str) == want
+    # what is kept once loses nothing as a repeat
+    assert sorted(map(tuple, corpus_pipeline.repeats(spark, one, SF).collect()), key=str) == want
