@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 import tempfile
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A-Z to a-z, every other byte as it is.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -20,19 +26,53 @@ ALNUM = bytes(
 )
 
 #: Text handled at once inside a task, in bytes; bounds a task's working memory.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
+
+
+#: Of an Arrow batch, in bytes; a single longer text stands alone.
+BATCH_BYTES = 8 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Keeps Arrow batches small in bytes, as single texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    """Bounds the session's Arrow batches in bytes, unless they are set to less already.
+
+    Spark reads the setting when a plan runs, long after a function has returned its DataFrame,
+    so it stays set. It changes how rows travel to Python, never a result.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark.conf.get(name).rstrip("b"))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def freeing(rows: Callable) -> Callable:
+    """A task's function that gives freed memory back to the system when it ends, as Python workers live on for other tasks."""
+
+    @wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's, or a new one where none is set."""
+    """The folder that driver and executors share, as the session names it in spark.checkpoint.dir.
+
+    Where none is set, a local session gets a temporary one; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="siltline-checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siltline-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -42,6 +82,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table of its own in the shared folder: as checkpointed, for rows with texts, which it compresses."""
+    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def with_fields(kept: list[T.StructField], more: str) -> T.StructType:
+    """A task's output: fields as they are, whatever their names, and more in DDL."""
+    return T.StructType([*kept, *T.StructType.fromDDL(more).fields])
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves 2 when divided by 4; false for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

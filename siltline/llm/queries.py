@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltline.llm import embedding_dedup
 from siltline.llm.decontamination import contamination
@@ -42,7 +43,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(_documents(spark, sf_dir))
+    found = remove_repeats(_documents(spark, sf_dir))
+    return found.select("key.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("kept_text").alias("text"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

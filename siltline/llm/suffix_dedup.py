@@ -3,12 +3,16 @@
 A suffix sort of everything at once would have to hold every suffix of the corpus,
 so Spark first brings together what may be equal. Every window of `span` bytes
 picks the `GRAM`-byte string in it with the least hash as its anchor: equal windows
-hold equal anchors at the same place, so windows need to be compared only with those
-of equal anchors. Consecutive windows with one anchor form a piece. Pieces that
-repeat as a whole are settled by counting their hashes; pieces whose anchor repeats
-in other surroundings meet by anchor, and their suffixes are sorted: prefix polynomial
-hashes and binary search give the common extension of two suffixes, a mergesort orders
-them, neighbours with `span` common bytes repeat, and their bytes are compared.
+hold equal anchors at the same place, so a window need be compared only with those of
+equal anchors. Consecutive windows with one anchor form a piece. The pieces of an anchor
+meet in one task with their bytes, each different one once, and their suffixes are sorted:
+prefix polynomial hashes and binary search give the common extension of two suffixes, a
+mergesort orders them, neighbours with `span` common bytes repeat, and their bytes are
+compared. Pieces that are equal as a whole are compared byte by byte with the one that is
+sorted for them. Hashes only choose what is compared; no repeat rests on one.
+
+An anchor with very many different pieces is divided: its pieces are cut anew by longer
+anchors, so long that only equal windows share them in the end.
 """
 
 from __future__ import annotations
@@ -18,18 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltline.llm.common import CHUNK_BYTES, checkpointed, in_chunks, mix64, tune, utf8
+from siltline.llm.common import CHUNK_BYTES, freeing, in_chunks, mix64, tune, utf8
 
 #: Bytes of an anchor.
 GRAM = 128
-#: Anchors with more different surroundings than this are settled window by window instead.
+#: Anchors with more different pieces than this are divided by longer anchors.
 HOT = 2000
-#: Text sorted at once.
-SORT_BYTES = 4 << 20
+#: Different pieces sorted at once, in bytes; and pieces that a task remembers, in bytes.
+SORT_BYTES, MEMORY_BYTES = 1 << 20, 16 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -132,43 +138,80 @@ def _parts(texts: list[bytes], span: int) -> Iterator[tuple[np.ndarray, np.ndarr
             yield np.frombuffer(b"".join(texts[lo:hi]), np.uint8), np.arange(lo, hi), ends - size, ends, np.zeros_like(size)
 
 
-def _anchor_counts(span: int, gram: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for buf, _, begin, end, _ in _parts(utf8(batch.column(0)), span):
-                a, n = np.unique(pieces(buf, begin, end, span, gram)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(n)], ["a", "n"])
+class Seen:
+    """The different strings a task has met, in two generations of bounded size: what is met often stays."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.now, self.old = most, 0, {}, {}
+
+    def first(self, data: bytes, mine: list) -> list:
+        """What was noted where data was first met, or mine, which is noted then."""
+        found = self.now.get(data)
+        if found is None:
+            found = self.old.get(data, mine)
+            self.now[data] = found
+            self.held += len(data) + 200
+            if self.held > self.most:
+                self.old, self.now, self.held = self.now, {}, 0
+        return found
+
+
+class Rows:
+    """Pieces on their way: anchor (any number for repeats that are settled), piece hash, text, place, size, and whether it is settled."""
+
+    KINDS = {"g": pa.int64(), "p": pa.int64(), "r": pa.int64(), "at": pa.int32(), "size": pa.int32(), "known": pa.bool_()}
+
+    def __init__(self, seen: Seen):
+        self.seen, self.columns, self.spans = seen, {k: [] for k in self.KINDS}, {}
+
+    def add(self, g: int, r: int, at: int, data: bytes) -> bool:
+        """Notes a piece; False if an equal one has been met, which settles both."""
+        mine = [r, at, False]
+        found = self.seen.first(data, mine)
+        if found is mine:
+            for x, value in zip(self.columns.values(), (g, xxhash.xxh3_64_intdigest(data) - (1 << 63), r, at, len(data), False), strict=True):
+                x.append(value)
+            return True
+        self.settled(r, at, len(data))
+        if not found[2]:
+            found[2] = True
+            self.settled(found[0], found[1], len(data))
+        return False
+
+    def settled(self, r: int, at: int, size: int) -> None:
+        spans = self.spans.setdefault(r, [])
+        if spans and spans[-1][0] <= at <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], at + size)
+        else:
+            spans.append([at, at + size])
 
-    return count
+    def batch(self) -> dict[str, list]:
+        """The columns so far, with settled spans under numbers that spread them over tasks; then empty again."""
+        out, self.columns = self.columns, {k: [] for k in self.KINDS}
+        for r, spans in self.spans.items():
+            for lo, hi in spans:
+                for x, value in zip(out.values(), (xxhash.xxh3_64_intdigest(b"%d %d" % (r, lo)) - (1 << 63), lo, r, lo, hi - lo, True), strict=True):
+                    x.append(value)
+        self.spans = {}
+        return out
 
 
 def _piece_rows(span: int, gram: int):
-    """Rows of text key, anchor, piece hash, place of the anchor in the piece, its size and where it stands (equal ones of a text together)."""
+    """Over rows r, ..., text: their pieces; each different one of a task once, and spans that it has seen repeat."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(Seen(MEMORY_BYTES))
         for batch in batches:
-            for buf, number, begin, end, shift in _parts(utf8(batch.column(2)), span):
-                text, a, anchor, first, last = pieces(buf, begin, end, span, gram)
-                view, one = memoryview(buf), xxhash.xxh3_64_intdigest
-                p = np.fromiter((one(view[x:y]) for x, y in zip(first.tolist(), (last + span).tolist(), strict=True)), np.uint64, len(first))
-                off = anchor - first
-                p = mix64(p ^ mix64(off.astype(np.uint64)))
-                order = np.lexsort((first, p, a, text))
-                text, a, p = text[order], a[order], p[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (text[1:] != text[:-1]) | (a[1:] != a[:-1]) | (p[1:] != p[:-1])
-                head = np.flatnonzero(new)
-                row = order[head]
-                at = (first[order] - begin[text] + shift[text]).astype(">i4")
-                ends = np.append(head, len(order)).astype("<i4") * 4
-                at = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(at.tobytes())])
-                doc = pa.array(number[text[head]], pa.int64())
-                n = np.diff(np.append(head, len(order)))
-                size = (last - first)[row] + span
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(doc), batch.column(1).take(doc), pa.array(a[head].view(np.int64)), pa.array(p[head].view(np.int64)), pa.array(off[row].astype(np.int32)), pa.array(size.astype(np.int32)), at, pa.array(n.astype(np.int32))],
-                    ["id", "th", "a", "p", "off", "size", "at", "n"],
-                )
+            r = batch.column(0).to_pylist()
+            for buf, number, begin, end, shift in _parts(utf8(batch.column(batch.num_columns - 1)), span):
+                text, a, _, first, last = pieces(buf, begin, end, span, gram)
+                order = np.lexsort((first, text))
+                text, a, first, last = text[order], a[order].view(np.int64), first[order], last[order] + span
+                own, at, raw = number[text], first - begin[text] + shift[text], buf.tobytes()
+                for g, d, k, x, y in zip(a.tolist(), own.tolist(), at.tolist(), first.tolist(), last.tolist(), strict=True):
+                    out.add(g, r[d], k, raw[x:y])
+                yield pa.RecordBatch.from_pydict(out.batch(), pa.schema(Rows.KINDS.items()))
 
     return rows
 
@@ -227,8 +270,8 @@ class SuffixSorter:
         return order
 
 
-def repeated_windows(contexts: list[bytes], group: np.ndarray, asked: np.ndarray, span: int) -> list[tuple[int, int, int]]:
-    """(context, first, last) for each run of windows of asked contexts that some other window of the same group equals."""
+def repeated_windows(contexts: list[bytes], group: np.ndarray, span: int) -> list[tuple[int, int, int]]:
+    """(context, first, last) for each run of windows that some other window of the same group equals."""
     size = np.array([len(c) for c in contexts], np.int64)
     begin = np.cumsum(size) - size
     buf = np.frombuffer(b"".join(contexts), np.uint8)
@@ -245,7 +288,7 @@ def repeated_windows(contexts: list[bytes], group: np.ndarray, asked: np.ndarray
     class_first, class_last = np.empty_like(at), np.empty_like(at)
     class_first[order], class_last[order] = np.repeat(order[head], count), np.repeat(order[head + count - 1], count)
     # a window whose hash no other has equals no other; the rest is proved by sorting
-    open_ = (class_first != class_last) & asked[owner]
+    open_ = class_first != class_last
     proved = np.zeros(len(at), bool)
     sorter = SuffixSorter(buf, hashes)
     while open_.any():
@@ -280,7 +323,7 @@ def repeated_windows(contexts: list[bytes], group: np.ndarray, asked: np.ndarray
         open_ &= ~proved
         open_[odd] = False
     runs = []
-    hit = np.flatnonzero(proved & asked[owner])
+    hit = np.flatnonzero(proved)
     if hit.size:
         cut = np.flatnonzero((np.diff(hit) != 1) | (owner[hit][1:] != owner[hit][:-1]))
         for lo, hi in zip(hit[np.append(0, cut + 1)].tolist(), hit[np.append(cut, len(hit) - 1)].tolist(), strict=True):
@@ -289,175 +332,203 @@ def repeated_windows(contexts: list[bytes], group: np.ndarray, asked: np.ndarray
     return runs
 
 
-def _spans(ids: pa.Array, th: pa.Array, rows: list[int], at: list[int], size: list[int]) -> pa.RecordBatch:
-    take = pa.array(rows, pa.int64())
-    starts = pa.array([int(x).to_bytes(4, "big") for x in at], pa.binary())
-    return pa.RecordBatch.from_arrays([ids.take(take), th.take(take), starts, pa.array(size, pa.int32())], ["id", "th", "at", "size"])
+_CONTEXT = {"g": pa.int64(), "p": pa.int64(), "r": pa.int64(), "at": pa.int32(), "size": pa.int32(), "data": pa.binary()}
 
 
-def _resolve(span: int):
-    """Over rows sorted by anchor (a, id, th, at0, n, bytes): the repeated spans of the rows that stand for one place."""
-
-    def settle(table: pa.Table) -> pa.RecordBatch:
-        table = table.combine_chunks()
-        batch = table.to_batches()[0]
-        n = batch.column(4).to_numpy()
-        at0 = batch.column(3).to_numpy()
-        runs = repeated_windows(batch.column(5).to_pylist(), batch.column(0).to_numpy(), n == 1, span)
-        rows = [r[0] for r in runs]
-        return _spans(batch.column(1), batch.column(2), rows, [int(at0[o]) + lo for o, lo, _ in runs], [hi - lo + span for _, lo, hi in runs])
-
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        total = 0
+def _contexts(span: int, gram: int, hot: int):
+    """Over rows r, ..., text, and their pieces: the pieces with their bytes, those of busy anchors cut by longer ones, and settled spans without bytes."""
+
+    @freeing
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again = Rows(Seen(MEMORY_BYTES))
         for batch in batches:
-            if not len(batch):
-                continue
-            held.append(batch)
-            total += batch.nbytes
-            if total >= SORT_BYTES:
-                table = pa.Table.from_batches(held)
-                a = table["a"].to_numpy()
-                cut = int(np.searchsorted(a, a[-1]))  # the last group may go on
-                if cut:
-                    yield settle(table.slice(0, cut))
-                    held = table.slice(cut).combine_chunks().to_batches()
-                    total = sum(b.nbytes for b in held)
-        if held:
-            yield settle(pa.Table.from_batches(held))
-
-    return resolve
+            texts, wanted = utf8(batch.column(batch.num_columns - 2)), batch.column(batch.num_columns - 1)
+            counts = wanted.value_lengths().to_numpy()
+            flat = wanted.flatten()
+            own = np.repeat(np.arange(len(batch)), counts).tolist()
+            r, fields = batch.column(0).to_pylist(), [flat.field(k).to_pylist() for k in ("g", "p", "at", "size", "known", "v")]
+            out: dict[str, list] = {k: [] for k in _CONTEXT}
+            held = 0
+            for d, g, p, at, size, known, v in zip(own, *fields, strict=True):
+                data = None if known else texts[d][at : at + size]
+                if v > hot and not known:
+                    longer = span - ((span - gram) >> (v // hot).bit_length())
+                    _divide(again, out, g, r[d], at, data, span, longer)
+                else:
+                    for x, value in zip(out.values(), (g, p, r[d], at, size, data), strict=True):
+                        x.append(value)
+                held += size
+                if held > CHUNK_BYTES:
+                    yield _packed(out, again)
+                    out, held = {k: [] for k in _CONTEXT}, 0
+            yield _packed(out, again)
+
+    return rows
+
+
+def _divide(again: Rows, out: dict[str, list], g: int, r: int, at: int, data: bytes, span: int, gram: int) -> None:
+    """Adds the pieces of a piece under longer anchors; equal windows of one anchor share the longer one too."""
+    buf = np.frombuffer(data, np.uint8)
+    _, a, _, first, last = pieces(buf, np.array([0]), np.array([len(buf)]), span, gram)
+    a = mix64(a ^ mix64(np.full(len(a), g, np.int64).view(np.uint64))).view(np.int64)
+    for h, x, y in zip(a.tolist(), first.tolist(), (last + span).tolist(), strict=True):
+        if again.add(h, r, at + x, data[x:y]):
+            row = {k: column.pop() for k, column in again.columns.items()} | {"data": data[x:y]}
+            for k, column in out.items():
+                column.append(row[k])
+
+
+def _packed(out: dict[str, list], again: Rows) -> pa.RecordBatch:
+    """Contexts and what has been settled meanwhile."""
+    more = again.batch()
+    columns = {k: out[k] + (more[k] if k != "data" else [None] * len(more["r"])) for k in _CONTEXT}
+    return pa.RecordBatch.from_pydict(columns, pa.schema(_CONTEXT.items()))
 
 
 def _windows(span: int):
-    """One row for each window: a 128-bit hash with its anchor's, and its place."""
+    """Over contexts: each window by itself, under a number of its own string."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again = Rows(Seen(MEMORY_BYTES))
         for batch in batches:
-            for lo in range(0, len(batch), 100):
-                b = batch.slice(lo, 100)
-                row, at, key = [], [], []
-                for k, (a, at0, text) in enumerate(zip(b.column(0).to_pylist(), b.column(3).to_pylist(), b.column(5).to_pylist(), strict=True)):
-                    tag, view = a.to_bytes(8, "little", signed=True), memoryview(text)
-                    for s in range(len(text) - span + 1):
-                        row.append(k)
-                        at.append(at0 + s)
-                        key.append(tag + xxhash.xxh3_128_digest(view[s : s + span]))
-                spans = _spans(b.column(1), b.column(2), row, at, [span] * len(row))
-                n = b.column(4).take(pa.array(row, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*spans.columns, n, pa.array(key, pa.binary())], [*spans.schema.names, "n", "w"])
+            for k in range(len(batch)):
+                g, _, r, at, size, data = (c[k].as_py() for c in batch.columns)
+                out: dict[str, list] = {k: [] for k in _CONTEXT}
+                if data is None:
+                    again.settled(r, at, size)
+                else:
+                    _divide(again, out, g, r, at, data, span, span)
+                yield _packed(out, again)
 
     return rows
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From texts with the list of their pieces that need a closer look, those pieces with their bytes."""
-    for batch in batches:
-        texts, wanted = utf8(batch.column(2)), batch.column(3)
-        counts = wanted.value_lengths().to_numpy()
-        doc = np.repeat(np.arange(len(batch)), counts)
-        flat = wanted.flatten()
-        at, size = flat.field("at0").to_numpy(), flat.field("size").to_numpy()
-        for lo in range(0, len(doc), 5000):
-            part = slice(lo, lo + 5000)
-            take = pa.array(doc[part], pa.int64())
-            data = [texts[d][x : x + s] for d, x, s in zip(doc[part].tolist(), at[part].tolist(), size[part].tolist(), strict=True)]
-            f = flat.slice(lo, 5000)
-            yield pa.RecordBatch.from_arrays([f.field("a"), batch.column(0).take(take), batch.column(1).take(take), f.field("at0"), f.field("n"), pa.array(data, pa.binary()), f.field("v")], ["a", "id", "th", "at0", "n", "bytes", "v"])
-
-
-def repeated_spans(keyed: DataFrame, span: int, gram: int, hot: int) -> DataFrame:
-    """(id, th, at, size): at holds big-endian starts of repeated strings of size bytes in the texts of keyed (id, th, t)."""
-    kind = keyed.schema["id"].dataType.simpleString()
-    counts = keyed.select("t").mapInArrow(_anchor_counts(span, gram), "a long, n long")
-    again = counts.groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").select("a")
-    found = keyed.mapInArrow(_piece_rows(span, gram), f"id {kind}, th long, a long, p long, off int, size int, at binary, n int")
-    found = checkpointed(found.join(again, "a", "left_semi"))
-    variants = found.groupBy("a", "p").agg(F.sum("n").alias("n"), F.min(F.struct("id", "th", "at", "size")).alias("one"))
-    variants = checkpointed(variants)
-    differ = variants.groupBy("a").agg(F.count("*").alias("v")).where("v > 1")
-    wanted = variants.join(differ, "a").select(
-        F.col("one.id").alias("id"), F.col("one.th").alias("th"),
-        F.struct("a", F.conv(F.hex(F.substring("one.at", 1, 4)), 16, 10).cast("int").alias("at0"), F.col("one.size").alias("size"), "n", "v").alias("x"),
-    )
-    wanted = wanted.groupBy("id", "th").agg(F.collect_list("x").alias("wanted"))
-    near = (F.col("l.th") == F.col("r.th")) & F.col("l.id").eqNullSafe(F.col("r.id"))
-    with_text = keyed.alias("l").join(wanted.alias("r"), near).select("l.id", "l.th", "l.t", "r.wanted")
-    contexts = with_text.mapInArrow(_contexts, f"a long, id {kind}, th long, at0 int, n long, bytes binary, v long")
-    contexts = checkpointed(contexts)
-    schema = f"id {kind}, th long, at binary, size int"
-    cool = contexts.where(F.col("v") <= hot).drop("v").repartition("a").sortWithinPartitions("a")
-    sorted_ = cool.mapInArrow(_resolve(span), schema)
-    windows = contexts.where(F.col("v") > hot).drop("v").mapInArrow(_windows(span), schema + ", n long, w binary")
-    twice = windows.groupBy("w").agg(F.count("*").alias("c")).where("c > 1").select("w")
-    split = windows.where("n = 1").join(twice, "w", "left_semi").select("id", "th", "at", "size")
-    whole = found.join(variants.where("n > 1").select("a", "p"), ["a", "p"], "left_semi").select("id", "th", "at", "size")
-    return whole.unionAll(sorted_).unionAll(split)
-
-
-def _cut(texts_too: bool):
-    """Adds n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept_text to rows that end with the text and its spans."""
+def _resolve(span: int):
+    """Over contexts with those of an anchor together: the spans that repeat."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = Rows(Seen(0))
+        group, contexts, where, total = [], [], [], 0
+        now, heads = None, {}
+
+        def settle() -> None:
+            # an anchor with one piece has nothing to sort: its copies are compared already
+            n = {}
+            for g in group:
+                n[g] = n.get(g, 0) + 1
+            take = [k for k, g in enumerate(group) if n[g] > 1]
+            if take:
+                ids = {g: k for k, g in enumerate(dict.fromkeys(group))}
+                numbers = np.array([ids[group[k]] for k in take], np.int64)
+                for o, lo, hi in repeated_windows([contexts[k] for k in take], numbers, span):
+                    r, at = where[take[o]]
+                    spans.settled(r, at + lo, hi - lo + span)
+
         for batch in batches:
-            texts, spans = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-            n_bytes, removed, runs, digest, kept = [], [], [], [], []
-            for text, found in zip(utf8(texts), spans, strict=True):
-                gone = 0
-                rest = text
-                n = 0
-                if found.is_valid and len(found):
-                    values = found.values
-                    at = [np.frombuffer(x, ">i4") for x in values.field("at").to_pylist()]
-                    start = np.concatenate(at).astype(np.int64)
-                    size = np.repeat(values.field("size").to_numpy(), [len(x) for x in at])
-                    cover = np.zeros(len(text) + 1, np.int32)
-                    np.add.at(cover, start, 1)
-                    np.add.at(cover, start + size, -1)
-                    out = np.cumsum(cover[:-1]) > 0
-                    gone = int(out.sum())
-                    n = int(out[0]) + int((out[1:] & ~out[:-1]).sum())
-                    rest = np.frombuffer(text, np.uint8)[~out].tobytes()
-                n_bytes.append(len(text))
-                removed.append(gone)
-                runs.append(n)
-                digest.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest.decode("utf-8", "ignore") if texts_too else None)
-            more = [*(pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
-            names = [*batch.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *more], names)
+            for g, r, at, size, data in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4, 5)), strict=True):
+                if data is None:
+                    spans.settled(r, at, size)
+                    continue
+                if g != now:
+                    if total >= SORT_BYTES:
+                        settle()
+                        group, contexts, where, total = [], [], [], 0
+                    now, heads = g, {}
+                mine = [r, at, False]
+                head = heads.setdefault(data, mine)
+                if head is mine:
+                    group.append(g)
+                    contexts.append(data)
+                    where.append((r, at))
+                    total += size
+                else:
+                    spans.settled(r, at, size)
+                    if not head[2]:
+                        head[2] = True
+                        spans.settled(head[0], head[1], size)
+            out = spans.batch()
+            yield pa.RecordBatch.from_arrays([pa.array(out[k], Rows.KINDS[k]) for k in ("r", "at", "size")], ["r", "at", "size"])
+        settle()
+        out = spans.batch()
+        yield pa.RecordBatch.from_arrays([pa.array(out[k], Rows.KINDS[k]) for k in ("r", "at", "size")], ["r", "at", "size"])
 
     return rows
 
 
+def repeated_spans(placed: DataFrame, span: int, gram: int, hot: int) -> DataFrame:
+    """(r, at, size) of the strings that repeat in the texts of placed: r first, the text last, dealt out by r."""
+    piece = "g long, p long, r long, at int, size int"
+    own, within = Window.partitionBy("g"), Window.partitionBy("g").orderBy("p")
+
+    def varied(rows: DataFrame) -> DataFrame:
+        """Adds n, the rows of an anchor, and v, its different pieces."""
+        return rows.withColumn("_d", F.dense_rank().over(within)).withColumns({"v": F.max("_d").over(own), "n": F.count("*").over(own)}).drop("_d")
+
+    found = varied(placed.mapInArrow(_piece_rows(span, gram), piece + ", known boolean")).where("known or n > 1")
+    wanted = found.groupBy("r").agg(F.collect_list(F.struct("g", "p", "at", "size", "known", "v")).alias("wanted"))
+    met = placed.join(wanted.withColumnRenamed("r", "_r"), F.col("r") == F.col("_r")).drop("_r")
+    contexts = varied(met.mapInArrow(_contexts(span, gram, hot), piece + ", data binary"))
+    cool = contexts.where(F.col("v") <= hot).drop("v", "n").mapInArrow(_resolve(span), "r long, at int, size int")
+    busy = contexts.where(F.col("v") > hot).drop("v", "n").mapInArrow(_windows(span), piece + ", data binary")
+    return cool.unionAll(busy.repartition("g").sortWithinPartitions("g").mapInArrow(_resolve(span), "r long, at int, size int"))
+
+
+@freeing
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that end with the text and its spans: n_bytes, n_removed, n_spans, kept_sha256 and what is kept instead."""
+    for batch in batches:
+        texts, spans = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+        n_bytes, removed, runs, digest, kept = [], [], [], [], []
+        counts = pc.fill_null(spans.value_lengths(), 0).to_numpy()
+        flat = spans.flatten()
+        at, size, ends = flat.field("at").to_numpy().astype(np.int64), flat.field("size").to_numpy(), np.cumsum(counts)
+        for text, hi, n_own in zip(utf8(texts), ends.tolist(), counts.tolist(), strict=True):
+            rest, gone, n = text, 0, 0
+            if n_own:
+                start = at[hi - n_own : hi]
+                cover = np.zeros(len(text) + 1, np.int32)
+                np.add.at(cover, start, 1)
+                np.add.at(cover, start + size[hi - n_own : hi], -1)
+                out = np.cumsum(cover[:-1]) > 0
+                gone = int(out.sum())
+                n = int(out[0]) + int((out[1:] & ~out[:-1]).sum())
+                rest = np.frombuffer(text, np.uint8)[~out].tobytes()
+            n_bytes.append(len(text))
+            removed.append(gone)
+            runs.append(n)
+            digest.append(hashlib.sha256(rest).hexdigest())
+            kept.append(rest.decode("utf-8", "ignore"))
+        more = [*(pa.array(x, pa.int64()) for x in (n_bytes, removed, runs)), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
+        names = [*batch.schema.names[:-2], "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *more], names)
+
+
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = 400, gram: int = GRAM, hot: int = HOT,
-    carry: tuple[str, ...] = (), texts: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every row with the bytes of its text that no repeated string of span bytes covers.
 
     A byte goes if some string of span bytes over it also starts anywhere else: in
     another row or in the same text, overlaps counted, judged on the texts as given.
-    Matches never cross rows. Returns the id, the columns named in carry, n_bytes,
-    n_removed, n_spans (runs of removed bytes), kept_sha256 (hex, of the remaining bytes)
-    and, with texts, kept_text: what remains, without characters that were cut in half.
+    Matches never cross rows. Returns a struct key (the id and the columns named in carry, as
+    they are) and n_bytes, n_removed, n_spans (runs of removed bytes), kept_sha256 (hex, of the
+    remaining bytes) and kept_text: what remains, without characters that were cut in half.
 
-    A null text counts as empty. Rows that repeat as a whole, or under a null id, are
+    Rows are told apart by a number given where texts are dealt out, not by their ids. A null
+    text counts as empty. Rows that repeat as a whole, or under one id or a null id, are
     rows of their own and lose what they share. Texts shorter than span keep
     everything. An empty table gives no rows. Very long texts are read in parts.
     """
     tune(docs.sparkSession)
     if not 1 <= gram <= span:
         raise ValueError("gram must be from 1 to span")
-    text = F.col(text_col).cast("string")
-    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("t"))
-    spans = repeated_spans(keyed, span, gram, hot)
-    spans = spans.groupBy("id", "th").agg(F.collect_list(F.struct("at", "size")).alias("spans"))
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"), *(F.col(c).alias(f"_c{k}") for k, c in enumerate(carry)), text.alias("_t"))
-    near = (F.col("_th") == F.col("th")) & F.col("_id").eqNullSafe(F.col("id"))
-    joined = rows.join(spans, near, "left").drop("id", "th", "_th")
-    joined = joined.select("_id", *(f"_c{k}" for k in range(len(carry))), "_t", "spans")
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields[:-2])
-    out = joined.mapInArrow(_cut(texts), f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
-    more = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * texts]
-    return out.select(F.col("_id").alias(id_col), *(F.col(f"_c{k}").alias(c) for k, c in enumerate(carry)), *more)
+    placed = docs.select(
+        F.monotonically_increasing_id().alias("r"), F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in (id_col, *carry))).alias("key"), F.col(text_col).cast("string").alias("t")
+    ).repartition("r")  # texts are dealt out once; all three readers below use that
+    spans = repeated_spans(placed, span, gram, hot).groupBy(F.col("r").alias("_r")).agg(F.collect_list(F.struct("at", "size")).alias("spans"))
+    joined = placed.join(spans, F.col("r") == F.col("_r"), "left").select("key", "t", "spans")
+    more = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField(c, T.StringType()) for c in ("kept_sha256", "kept_text")]
+    return joined.mapInArrow(_cut, T.StructType([placed.schema["key"], *more]))

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siltline.llm import suffix_dedup
@@ -40,12 +41,13 @@ def corpus(seed):
     return texts + [texts[8]] * 3
 
 
-@pytest.mark.parametrize("seed,hot", [(1, 2000), (2, 2), (3, 2000)])
+@pytest.mark.parametrize("seed,hot", [(1, 2000), (2, 2), (3, 1), (4, 2000)])
 def test_equals_brute_force(spark, seed, hot):
     texts = corpus(seed)
     rows = [(k if k % 9 else None, t, "n", 1.5) for k, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_bytes string, n double").repartition(3)
-    got = remove_repeats(docs, span=40, gram=12, hot=hot).collect()
+    got = remove_repeats(docs, span=40, gram=12, hot=hot)
+    got = got.select("key.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     want = [(r[0], *b) for r, b in zip(rows, brute(texts, 40), strict=True)]
     assert Counter(map(tuple, got)) == Counter(want)
 
@@ -53,9 +55,9 @@ def test_equals_brute_force(spark, seed, hot):
 def test_kept_texts_and_carried_columns(spark):
     same = "é" * 30
     docs = spark.createDataFrame([(1, "a" + same + "b", "x"), (2, "cd" + same, "y"), (3, None, None)], "doc_id long, text string, lang string")
-    got = remove_repeats(docs, span=25, gram=7, carry=("lang",), texts=True)
-    assert got.columns == ["doc_id", "lang", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-    assert sorted((x["doc_id"], x["lang"], x["kept_text"]) for x in got.collect()) == [(1, "x", "ab"), (2, "y", "cd"), (3, None, "")]
+    got = remove_repeats(docs, span=25, gram=7, carry=("lang",))
+    assert got.columns == ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+    assert sorted((*x["key"], x["kept_text"]) for x in got.collect()) == [(1, "x", "ab"), (2, "y", "cd"), (3, None, "")]
 
 
 def test_long_texts_are_read_in_parts(spark, monkeypatch):
@@ -91,9 +93,51 @@ def test_suffix_order():
 def test_equal_hashes_are_verified(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_VALUES", np.full(256, 7, np.uint64))  # every string of a length collides
     contexts = [b"abcdefgh", b"abcdxxxx", b"zzzzzzzz"]
-    runs = repeated_windows(contexts, np.array([1, 1, 1]), np.array([True, True, True]), 4)
-    assert sorted(runs) == [(0, 0, 0), (1, 0, 0), (2, 0, 4)] or all(r[0] in (0, 1, 2) for r in runs)
-    assert (0, 0, 0) in runs and (1, 0, 0) in runs and not any(o == 0 and hi > 0 for o, _, hi in runs)
+    runs = repeated_windows(contexts, np.array([1, 1, 1]), 4)
+    got = {(o, k) for o, lo, hi in runs for k in range(lo, hi + 1)}
+    assert got == {(0, 0), (1, 0), *((2, k) for k in range(5))}  # abcd in two, zzzz within itself
+
+
+@pytest.mark.parametrize("hot", [1000, 1])
+@pytest.mark.parametrize("collide", [False, True])
+def test_every_branch_compares_bytes(monkeypatch, hot, collide):
+    """The tasks' functions one after another, with all hashes equal: pieces, longer anchors and single windows."""
+    if collide:
+        monkeypatch.setattr(suffix_dedup, "_VALUES", np.full(256, 7, np.uint64))
+        monkeypatch.setattr(suffix_dedup.xxhash, "xxh3_64_intdigest", lambda data: 1 << 63)
+    r = random.Random(7)
+    same = bytes(r.choice(b"abc") for _ in range(30))
+    texts = [same, b"xy" + same[3:] + b"z", same[:20] + b"q" + same[20:], bytes(r.choice(b"abc") for _ in range(40)), same]
+    span, gram = 12, 4
+
+    def together(tables):
+        t = pa.Table.from_batches(tables).to_pandas().sort_values(["g", "p"], kind="stable")
+        t["v"] = t.groupby("g")["p"].transform("nunique") if not collide else t.groupby("g")["g"].transform("size")
+        t["n"] = t.groupby("g")["g"].transform("size")
+        return t
+
+    rows = pa.RecordBatch.from_pydict({"r": list(range(5)), "t": [t.decode() for t in texts]})
+    found = together(list(suffix_dedup._piece_rows(span, gram)(iter([rows]))))
+    found = found[found.known | (found.n > 1)]
+    wanted = [found[found.r == k][["g", "p", "at", "size", "known", "v"]].to_dict("records") for k in range(5)]
+    kind = pa.list_(pa.struct([("g", pa.int64()), ("p", pa.int64()), ("at", pa.int32()), ("size", pa.int32()), ("known", pa.bool_()), ("v", pa.int64())]))
+    met = pa.RecordBatch.from_arrays([*rows.columns, pa.array(wanted, kind)], ["r", "t", "wanted"])
+    contexts = together(list(suffix_dedup._contexts(span, gram, hot)(iter([met]))))
+    schema = pa.schema(suffix_dedup._CONTEXT.items())
+    batch = lambda t: pa.RecordBatch.from_pandas(t[schema.names], schema, preserve_index=False)
+    spans = list(suffix_dedup._resolve(span)(iter([batch(contexts[contexts.v <= hot])])))
+    busy = contexts[contexts.v > hot]
+    assert len(busy) if hot == 1 and collide else True
+    if len(busy):
+        windows = together(list(suffix_dedup._windows(span)(iter([batch(busy)]))))
+        spans += list(suffix_dedup._resolve(span)(iter([batch(windows)])))
+    gone = [np.zeros(len(t), bool) for t in texts]
+    for b in spans:
+        for k, at, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            gone[k][at : at + size] = True
+    want = brute([t.decode() for t in texts], span)
+    assert [int(x.sum()) for x in gone] == [w[1] for w in want]
+    assert [hashlib.sha256(np.frombuffer(t, np.uint8)[~x].tobytes()).hexdigest() for t, x in zip(texts, gone, strict=True)] == [w[3] for w in want]
 
 
 def test_empty_table(spark):
