@@ -20,8 +20,8 @@ import regex
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-#: Pre-tokens and chunks in a generation of a worker's memories. Bounds memory, never results.
-WORDS, CHUNKS = 500_000, 150_000
+#: Bytes, about, in a generation of a worker's two memories, and of the longest string kept there. Bounds memory, never results.
+MEMORY_BYTES, LONGEST = 20 << 20, 1 << 12
 
 #: Characters whose case mapping and normal form are the same in every library:
 #: Latin, without those that change length or compose.
@@ -61,15 +61,19 @@ class _Memo(dict):
 
     def __init__(self, find: Callable, most: int):
         super().__init__()
-        self.find, self.most, self.old = find, most, {}
+        self.find, self.most, self.held, self.old = find, most, 0, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.find(key)
-        if len(self) >= self.most:
-            self.old = dict(self)
+        size = len(key) + len(value) + 200
+        if size > LONGEST:
+            return value
+        if self.held + size > self.most:
+            self.old, self.held = dict(self), 0
             self.clear()
+        self.held += size
         self[key] = value
         return value
 
@@ -86,8 +90,8 @@ class ChunkEncoder:
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         self.letters = _byte_letters()
         self.whole = {w: k.to_bytes(4, "little") for w, k in whole.items()}
-        self.words = _Memo(self._word, WORDS)
-        self.chunks = _Memo(self.encode_chunk, CHUNKS)
+        self.words = _Memo(self._word, MEMORY_BYTES)
+        self.chunks = _Memo(self.encode_chunk, MEMORY_BYTES)
 
     def _word(self, word: str) -> bytes:
         ids = self.whole.get(word)

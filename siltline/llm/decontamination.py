@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltline.llm.common import ALNUM, checkpointed, in_chunks, tune, utf8
+from siltline.llm.common import ALNUM, checkpointed, freeing, in_chunks, tune, utf8, with_fields
 
 #: Bits of a word number in a packed key and words in one key.
 _WORD_BITS, _PACKED = 31, 2
@@ -166,6 +167,7 @@ _NAMES = ["n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run"]
 def _search(probe_of, width: int):
     """Rows with their counts, from one probe that holds the whole benchmark."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, size, begin, hits, held in _chunks(batch, probe_of.value, width):
@@ -180,6 +182,7 @@ def _search(probe_of, width: int):
 def _round(probe_of, width: int):
     """Over rows (r, text): of those with hits, the ranges of hit words (begin, end, begin, ...) and the items of one round."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, size, begin, hits, held in _chunks(batch, probe_of.value, width):
@@ -191,12 +194,14 @@ def _round(probe_of, width: int):
     return rows
 
 
+@freeing
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = [len(t.translate(ALNUM).split()) for t in utf8(batch.column(batch.num_columns - 1))]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n_words"])
 
 
+@freeing
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose last columns are n_words and the rounds' spans and items: the counts over all rounds."""
     for batch in batches:
@@ -221,6 +226,7 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pieces(width: int):
     """Over rows (item, text): the items' words in pieces that overlap so far that each window is in one."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
@@ -283,10 +289,10 @@ def contamination(
 
     carried = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
     rows = docs.select(F.col(id_col).alias("id"), *carried, F.col(text_col).cast("string").alias("t"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    fields = rows.schema.fields[:-1]
     more = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest_run long"
     if rounds <= 1:
-        out = rows.mapInArrow(_search(probe(0), width), f"{fields}, {more}")
+        out = rows.mapInArrow(_search(probe(0), width), with_fields(fields, more))
     else:
         rows = checkpointed(rows.select(F.monotonically_increasing_id().alias("r"), "*"))
         merged = None
@@ -296,8 +302,8 @@ def contamination(
             now.destroy()
             merged = found if merged is None else merged.unionAll(found)
         merged = merged.groupBy("r").agg(F.collect_list("spans").alias("spans"), F.collect_list("found").alias("found"))
-        out = rows.mapInArrow(_count_words, f"r long, {fields}, n_words long").join(merged, "r", "left").drop("r")
-        out = out.mapInArrow(_merge, f"{fields}, {more}")
+        out = rows.mapInArrow(_count_words, with_fields([T.StructField("r", T.LongType()), *fields], "n_words long")).join(merged, "r", "left").drop("r")
+        out = out.mapInArrow(_merge, with_fields(fields, more))
     flag = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     carried = [F.col(f"c{k}").alias(c) for k, c in enumerate(carry)]
     return out.select(F.col("id").alias(id_col), *carried, "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run", flag.alias("contaminated"))

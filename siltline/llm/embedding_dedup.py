@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import checkpointed, tune
+from siltline.llm.common import checkpointed, freeing, tune
 from siltline.llm.components import components
 from siltline.llm.simhash import forest
 
@@ -87,6 +87,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def _true_links(probe, grid, least: float):
     """(q, rank, n): the n links of probe vector q that need the cells nearest to it up to rank."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors = probe.value
         unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
@@ -161,6 +162,7 @@ def cells_needed(classes: DataFrame, grid, total: int, width: int, least: float,
 
 
 def _place(grid, most: int):
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
@@ -206,6 +208,7 @@ def _meet(least: float):
         n = np.concatenate([more_v[hit_v], more_m[hit_m], np.zeros(len(moved), np.int64)])
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n)], ["a", "b", "n"])
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, members, visitors, held = None, [], [], 0
         for batch in batches:

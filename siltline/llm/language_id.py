@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import held_out, in_chunks, tune
+from siltline.llm.common import freeing, held_out, in_chunks, tune
 
 #: Hash buckets, n-gram lengths, and additive smoothing.
 BUCKETS, LENGTHS, ALPHA = 1 << 16, (1, 2, 3), 0.5
@@ -66,6 +66,7 @@ def _parts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield lo, texts[lo:hi]
 
 
+@freeing
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
     rows: dict[str, int] = {}
@@ -108,6 +109,7 @@ def learn(labelled: DataFrame, sample_rows: int) -> tuple[list[str], np.ndarray]
 
 
 def _score(model):
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, table = model.value
         for batch in batches:

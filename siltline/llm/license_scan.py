@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import ALNUM, tune, utf8
+from siltline.llm.common import ALNUM, freeing, tune, utf8
 
 # Phrases whose every place counts, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -99,6 +99,7 @@ def _holds(words: list[bytes], phrase: list[bytes]) -> bool:
 
 
 def _document_counts(index: Index):
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
         for batch in batches:
@@ -111,6 +112,7 @@ def _document_counts(index: Index):
 
 
 def _scan(index_of):
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = index_of.value
         for batch in batches:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.llm import bpe
-from siltline.llm.common import checkpointed, numbered, tune
+from siltline.llm.common import checkpointed, freeing, numbered, tune
 
 
 def binary_lengths(n: int, most: int) -> list[int]:
@@ -47,6 +47,7 @@ def pack(
     tune(spark)
     whole = spark.sparkContext.broadcast(bpe.whole_tokens(bpe.vocabulary_path(vocabulary)))
 
+    @freeing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(bpe.vocabulary_path(vocabulary), whole.value)
         part, last = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()

@@ -14,13 +14,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import LOWER, held_out, in_chunks, tune, utf8
+from siltline.llm.common import LOWER, freeing, held_out, in_chunks, tune, utf8, with_fields
 from siltline.llm.suffix_dedup import Hashes
 
 #: Words of a passage; hash buckets of its character trigrams; further measures.
 PASSAGE, BUCKETS, MEASURES = 128, 256, 9
 #: At most about this many labelled documents are learned from, chosen by a hash of their id.
 SAMPLE_ROWS = 3_000
+#: Text encoded at once.
+PART_BYTES = 1 << 19
 HIDDEN, ATTENTION, EPOCHS, STEPS, BATCH, RATE, DECAY = 32, 16, 30, 800, 64, 3e-3, 1e-2
 
 _LOWER = np.frombuffer(LOWER, np.uint8)
@@ -134,11 +136,12 @@ class Attention:
                     self.p[k] -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v2[k] / (1 - 0.999**step)) + 1e-8)
 
 
+@freeing
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         y = batch.column(0)
         texts = utf8(batch.column(1))
-        for lo, hi in in_chunks([len(t) for t in texts]):
+        for lo, hi in in_chunks([len(t) for t in texts], PART_BYTES):
             x, n = encode(texts[lo:hi])
             ends = np.cumsum(n)
             bags = [x[e - k : e].tobytes() for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
@@ -163,12 +166,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int) -> Attention | Non
 
 
 def _score(model):
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column(batch.num_columns - 1))
             score = np.full(len(texts), 0.5)
             if model.value is not None:
-                for lo, hi in in_chunks([len(t) for t in texts], 1 << 20):
+                for lo, hi in in_chunks([len(t) for t in texts], PART_BYTES):
                     score[lo:hi] = model.value.forward(*encode(texts[lo:hi]))[0]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*batch.schema.names[:-1], "score"])
 
@@ -198,7 +202,6 @@ def quality_scores(
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, named, sample_rows))
     carried = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
     out = docs.select(F.col(id_col).alias("id"), *carried, held_out(F.col(id_col)).alias("held_out"), text)
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields[:-1])
-    out = out.mapInArrow(_score(model), f"{fields}, score double")
+    out = out.mapInArrow(_score(model), with_fields(out.schema.fields[:-1], "score double"))
     carried = [F.col(f"c{k}").alias(c) for k, c in enumerate(carry)]
     return out.select(F.col("id").alias(id_col), *carried, "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import checkpointed, numbered, tune
+from siltline.llm.common import checkpointed, freeing, numbered, tune
 
 
 def difference(partials: Sequence[Sequence[int]], bins: int) -> np.ndarray:
@@ -80,6 +80,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
     rows = checkpointed(rows)
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
 
+    @freeing
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = [b for b in batches if len(b)]
         if batches:
@@ -101,6 +102,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
     to_shard = docs.sparkSession.createDataFrame(lookup, "task long, bin long, shard int")
     dealt = dealt.join(F.broadcast(to_shard), ["task", "bin"]).select("key", "shard")
 
+    @freeing
     def place_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(bins, np.int64)
         for batch in batches:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import LOWER, checkpointed, tune, utf8
+from siltline.llm.common import LOWER, checkpointed, freeing, tune, utf8
 from siltline.llm.components import components
 
 BITS = 64
@@ -40,6 +40,7 @@ def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
 
 
 def _fingerprints(width: int):
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f = np.array([fingerprint(t, width) for t in utf8(batch.column(1))], np.uint64).view(np.int64)
@@ -124,6 +125,7 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 def _links(most: int):
     """Over rows of group g and fingerprint f, all of a group in one task: links that join what each group's tries join."""
 
+    @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if len(b)]
         if not held:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltline.llm import bpe
-from siltline.llm.common import tune
+from siltline.llm.common import freeing, tune
 
 
 def token_counts(
@@ -33,6 +33,7 @@ def token_counts(
     tune(spark)
     whole = spark.sparkContext.broadcast(bpe.whole_tokens(bpe.vocabulary_path(vocabulary)))
 
+    @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(bpe.vocabulary_path(vocabulary), whole.value)
         for batch in batches:

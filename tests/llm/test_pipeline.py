@@ -105,3 +105,35 @@ def test_repeated_rows_and_null_ids_keep_one_document(spark):
     assert one.columns == docs.columns and sorted(map(tuple, one.collect()), key=str) == want
     # what is kept once loses nothing as a repeat
     assert sorted(map(tuple, corpus_pipeline.repeats(spark, one, SF).collect()), key=str) == want
+
+
+CLASHING = "doc_id long, text string, `score` double, predicted int, held_out boolean, _row string, _key long, kept_text string, contaminated boolean, n_bytes long, `a.b c` string, n_chars int, r long, t string, key string, spans int, fingerprint int, component_id int"
+
+
+def test_stages_with_clashing_columns_nulls_and_repeated_rows(spark):
+    lone = [None, "", " \n", "short one", "word " * 400]
+    texts = {k: f"{k} " + " ".join(f"x{k * 977 + j * j}" for j in range(90)) for k in range(4)}
+    rows = [(None, t) for t in lone] + [(1, t) for t in lone] + [(k, t) for k, t in texts.items()] + [(0, texts[0]), (None, texts[1])]
+    more = (1.5, 0, True, "row", 7, "kept", False, 9, "odd", 3, 1, "t", "key", 2, 4, 5)
+    docs = spark.createDataFrame([(*x, *more) for x in rows], CLASHING).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns, name
+        found = got.collect()
+        assert all(r["a.b c"] == "odd" and r["score"] == 1.5 and r["fingerprint"] == 4 for r in found), name
+        if name == "near_dedup":  # the three blank texts are one group, as is each text given twice
+            assert Counter(r["text"] for r in found if r["text"] and r["text"].strip()) == Counter([*lone[3:], *texts.values()])
+            assert len(found) == len(texts) + 3 and {r["doc_id"] for r in found} == {0, 1, 2, 3}
+        if name == "repeats":
+            assert len(found) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in found)
+        if name == "decontaminate":
+            assert len(found) == len(rows)
+    pieces = corpus_pipeline.packing(spark, docs, SF).collect()
+    assert sum(r["doc_tokens"] == 1 for r in pieces) == 6  # blank texts have their end id alone
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.createDataFrame([], CLASHING)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, SF)
+        assert got.count() == 0 and (name == "packing" or got.columns == docs.columns)

@@ -35,8 +35,7 @@ def test_ids_equal_the_library(library):
 def test_small_memories_change_nothing(library, monkeypatch):
     import pyarrow as pa
 
-    monkeypatch.setattr(bpe, "WORDS", 3)
-    monkeypatch.setattr(bpe, "CHUNKS", 3)
+    monkeypatch.setattr(bpe, "MEMORY_BYTES", 700)
     encoder = bpe.ChunkEncoder(bpe.vocabulary_path(), bpe.whole_tokens(bpe.vocabulary_path()))
     assert encoder.count(pa.array(ODD)).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in ODD]
 
