@@ -15,54 +15,109 @@ from siltline.llm.common import ALNUM, freeing, tune, utf8
 # Phrases whose every place counts, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# A few sentences of common licence notices, and phrases that must be among the words found.
+# Wordings of common licence notices, and phrases that must be among the words found.
 TEMPLATES = {
-    "apache-2.0": ("licensed under the apache license version 2 0 you may not use this file except in compliance with the license", ["apache license version 2 0"]),
-    "bsd": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution and use in source and binary forms"]),
-    "cc-by": ("this work is licensed under a creative commons attribution 4 0 international license", ["creative commons attribution 4 0"]),
-    "cc-by-nc": ("licensed under cc by nc 4 0", ["cc by nc"]),
-    "cc-by-sa": ("this work is licensed under a creative commons attribution sharealike 4 0 international license", ["creative commons attribution sharealike"]),
-    "cc0": ("to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", ["waived all copyright and related or neighboring rights"]),
-    "gpl-2.0": ("this work is licensed under the gnu general public license version 2", ["gnu general public license version 2"]),
-    "gpl-3.0": ("this work is licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
-    "isc": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["and or distribute this software for any purpose with or without fee"]),
-    "lgpl": ("this library is licensed under the gnu lesser general public license", ["gnu lesser general public license"]),
-    "mit-text": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted free of charge to any person obtaining a copy"]),
-    "mit-notice": ("released under the mit license", ["under the mit license"]),
-    "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
-    "unlicense": ("this is free and unencumbered software released into the public domain", ["free and unencumbered software released into the public domain"]),
+    "agpl-3.0": [
+        ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license", ["gnu affero general public license"]),
+    ],
+    "apache-2.0": [
+        ("licensed under the apache license version 2 0 you may not use this file except in compliance with the license", ["apache license version 2 0"]),
+        ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at", ["apache license version 2 0"]),
+    ],
+    "bsd": [("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution and use in source and binary forms"])],
+    "bsl-1.0": [("permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", ["to any person or organization obtaining a copy"])],
+    "cc-by": [("this work is licensed under a creative commons attribution 4 0 international license", ["creative commons attribution 4 0"])],
+    "cc-by-nc": [
+        ("licensed under cc by nc 4 0", ["cc by nc"]),
+        ("this work is licensed under a creative commons attribution noncommercial 4 0 international license", ["creative commons attribution noncommercial 4 0"]),
+    ],
+    "cc-by-sa": [("this work is licensed under a creative commons attribution sharealike 4 0 international license", ["creative commons attribution sharealike"])],
+    "cc0": [("to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", ["waived all copyright and related or neighboring rights"])],
+    "epl-2.0": [("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", ["eclipse public license"])],
+    "gpl-2.0": [
+        ("this work is licensed under the gnu general public license version 2", ["gnu general public license version 2"]),
+        ("you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", ["gnu general public license", "version 2 of the license"]),
+    ],
+    "gpl-3.0": [
+        ("this work is licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
+        ("you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", ["gnu general public license", "version 3 of the license"]),
+    ],
+    "isc": [("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["distribute this software for any purpose with or without fee"])],
+    "lgpl": [
+        ("this library is licensed under the gnu lesser general public license", ["gnu lesser general public license"]),
+        ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", ["gnu lesser general public license"]),
+    ],
+    "mit-text": [
+        ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted free of charge to any person obtaining a copy"]),
+        ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software", ["permission is hereby granted free of charge to any person obtaining a copy"]),
+    ],
+    "mit-notice": [("released under the mit license", ["under the mit license"]), ("licensed under the mit license", ["under the mit license"])],
+    "mpl-2.0": [("this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"])],
+    "unlicense": [("this is free and unencumbered software released into the public domain", ["free and unencumbered software released into the public domain"])],
+    "zlib": [("this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software", ["in no event will the authors be held liable for any damages arising from the use of this software"])],
 }
-#: A template needs this share of its words in place.
+#: A template needs this share of its words, in order, among one and a fifth as many neighbouring words.
 SHARE = 0.8
 
 
 class Index:
     """Templates by word: for each word the (template, place) where it stands."""
 
-    def __init__(self, templates: dict[str, tuple[str, list[str]]], base: dict[str, str]):
-        self.names = sorted(templates)
-        self.words = [templates[n][0].encode().split() for n in self.names]
-        self.keys = [[p.encode().split() for p in templates[n][1]] for n in self.names]
+    def __init__(self, templates: dict[str, list[tuple[str, list[str]]]], base: dict[str, str]):
+        flat = [(name, text.encode().split(), [p.encode().split() for p in keys]) for name in sorted(templates) for text, keys in templates[name]]
+        self.names, self.words, self.keys = ([x[k] for x in flat] for k in range(3))
         self.vocabulary = {w for words in self.words for w in words}
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
+        self.masks = [{w: sum(1 << k for k, v in enumerate(words) if v == w) for w in words} for words in self.words]
+        self.least = [next(h for h in range(len(w) + 1) if h >= (SHARE - 1e-9) * len(w)) for w in self.words]
+        self.span = [len(w) + (len(w) + 4) // 5 for w in self.words]
+        self.postings: dict[bytes, list[int]] = {}
         self.rarest({})
         self.base = [(p.encode().split(), label) for p, label in base.items()]
         self.ends = {p[-1] for p, _ in self.base}
 
     def rarest(self, idf: dict[bytes, float]) -> None:
-        """Keeps each template's rarest places only, as many as any SHARE of its places must meet."""
+        """Lists each template under the words of its rarest places only, as many as any SHARE of its places must meet."""
         self.postings = {}
         for t, words in enumerate(self.words):
-            n = len(words)
-            least = next((h for h in range(n + 1) if h >= (SHARE - 1e-9) * n), n)
-            for place in sorted(range(n), key=lambda k: (-idf.get(words[k], 0.0), k))[: n - least + 1]:
-                self.postings.setdefault(words[place], []).append((t, place))
+            places = sorted(range(len(words)), key=lambda k: (-idf.get(words[k], 0.0), k))[: len(words) - self.least[t] + 1]
+            for w in dict.fromkeys(words[k] for k in places):
+                self.postings.setdefault(w, []).append(t)
 
     def places(self, words: list[bytes], phrase: list[bytes], at: dict[bytes, list[int]]) -> list[int]:
         """Where a phrase starts, given the places of its last word."""
         n = len(phrase)
         return [k - n + 1 for k in at.get(phrase[-1], ()) if k >= n - 1 and words[k - n + 1 : k + 1] == phrase]
 
+    def in_order(self, t: int, words: list[bytes]) -> int:
+        """How many words of a template stand among words in its order: a longest common subsequence, a bit for each place."""
+        mask, open_ = self.masks[t], (1 << len(self.words[t])) - 1
+        every = open_
+        for w in words:
+            if m := open_ & mask.get(w, 0):
+                open_ = ((open_ + m) | (open_ - m)) & every
+        return len(self.words[t]) - open_.bit_count()
+
+    def share(self, t: int, words: list[bytes], around: list[int]) -> float:
+        """The largest share of a template near the places around, of windows of its span that hold its key phrases; 0 below SHARE."""
+        span, least, best = self.span[t], self.least[t], 0
+        ranges: list[list[int]] = []
+        for k in around:
+            if not ranges or k - span + 1 > ranges[-1][1]:
+                ranges.append([max(0, k - span + 1), 0])
+            ranges[-1][1] = k + span
+        for lo, hi in ranges:
+            near = words[lo:hi]
+            if self.in_order(t, near) <= max(best, least - 1):
+                continue
+            known = [w in self.masks[t] for w in near]
+            for k in range(max(1, len(near) - span + 1)):
+                if sum(known[k : k + span]) > max(best, least - 1):
+                    window = near[k : k + span]
+                    n = self.in_order(t, window)
+                    if n > max(best, least - 1) and all(_holds(window, p) for p in self.keys[t]):
+                        best = n
+        return best / len(self.words[t])
+
     def scan(self, text: bytes) -> tuple[int, int, int | None, int | None, set[str], dict[str, float]]:
         """Words, places of base phrases, their first and last, base labels, and each label found with its share."""
         words = text.translate(ALNUM).split()
@@ -80,16 +135,14 @@ class Index:
             if found := self.places(words, phrase, at):
                 starts += found
                 base.add(label)
-        # a template that stands here has one of its rarest places right
-        starting = {(t, k - place) for w in at.keys() & self.postings.keys() for t, place in self.postings[w] for k in at[w]}
+        # a template that stands here has one of its rarest words here
+        near: dict[int, set[int]] = {}
+        for w in at.keys() & self.postings.keys():
+            for t in self.postings[w]:
+                near.setdefault(t, set()).update(at[w])
         shares: dict[str, float] = {}
-        for t, offset in starting:
-            own = self.words[t]
-            lo = max(offset, 0)
-            window = words[lo : offset + len(own)]
-            hits = sum(a == b for a, b in zip(own[lo - offset :], window, strict=False))
-            share = hits / len(own)
-            if share > max(shares.get(self.names[t], 0.0), SHARE - 1e-9) and all(_holds(window, p) for p in self.keys[t]):
+        for t, around in near.items():
+            if (share := self.share(t, words, sorted(around))) > shares.get(self.names[t], 0.0):
                 shares[self.names[t]] = share
         return len(words), len(starts), min(starts, default=None), max(starts, default=None), base, shares
 
@@ -133,17 +186,17 @@ def license_scan(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    templates: dict[str, tuple[str, list[str]]] | None = None,
+    templates: dict[str, list[tuple[str, list[str]]]] | None = None,
     base: dict[str, str] | None = None,
 ) -> DataFrame:
     """Every row's licence labels.
 
     Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of the text with A-Z lower-cased. A
     first pass counts in how many texts of the whole table each licence word stands.
-    Then each template is looked up by its own rarest words, one more than may be wrong,
-    so that a match must agree in one of them; each gives a place where the template
-    would begin, and a template is found if SHARE of its words stand there and its key
-    phrases are among them, whatever else the text holds. Returns the id, n_words,
+    Then each template is looked up by its own rarest words, one more place than may be wrong,
+    so that a match must hold one of them; around each, a template is found if some window
+    of one and a fifth as many words holds SHARE of its words in their order, and its key
+    phrases, whatever else the text holds. A label has several wordings. Returns the id, n_words,
     n_base (places of base phrases), first_word and last_word (their smallest and largest
     start, else null), base_labels, labels (base and found) and score (the best share;
     1 for a base phrase; else 0).
