@@ -9,6 +9,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,9 +29,9 @@ class Probe:
     words: dict[bytes, int]
     windows: np.ndarray  # windows x width
     lengths: np.ndarray
-    items: list[list[int]]  # places of the items that hold a window
-    item_ids: list  # by place
-    sort_order: np.ndarray  # places of the items by id as text
+    first: np.ndarray  # window w stands where postings first[w] to first[w + 1] say
+    postings: np.ndarray  # (text of an item, place in it in words, name) of each place
+    names: list[str]  # the items' ids, sorted
     pairs: np.ndarray  # the first two word numbers of windows, packed and sorted; one-word windows apart
     singles: np.ndarray
 
@@ -58,24 +59,24 @@ def packed(columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def build_probe(items: Sequence[tuple[object, str | None]], width: int) -> Probe:
-    """The probe of (item_id, text) rows; an item of fewer than width words is one window."""
+def build_probe(items: Sequence[tuple[str, int, int, str | None]], width: int) -> Probe:
+    """The probe of (item_id, text number, words before it, text) rows; a text of fewer than width words is one window."""
     words: dict[bytes, int] = {}
-    windows: dict[tuple[int, ...], list[int]] = {}
-    for place, (_, text) in enumerate(items):
+    windows: dict[tuple[int, ...], list[tuple[int, int, int]]] = {}
+    names = sorted({name for name, *_ in items})
+    number = {name: k for k, name in enumerate(names)}
+    for name, unit, before, text in items:
         ids = [words.setdefault(w, len(words) + 1) for w in (text or "").encode().translate(ALNUM).split()]
         for k in range(max(1, len(ids) - width + 1) if ids else 0):
-            at = windows.setdefault(tuple(ids[k : k + width]), [])
-            if not at or at[-1] != place:
-                at.append(place)
+            windows.setdefault(tuple(ids[k : k + width]), []).append((unit, before + k, number[name]))
     table = np.zeros((len(windows), width), np.int64)
     for k, w in enumerate(windows):
         table[k, : len(w)] = w
     lengths = np.array([len(w) for w in windows], np.int64)
     pairs = np.unique((table[lengths > 1, 0] << _WORD_BITS) | table[lengths > 1, 1]) if width > 1 else np.zeros(0, np.int64)
-    names = [str(i) for i, _ in items]
-    order = np.array(sorted(range(len(items)), key=names.__getitem__), np.int64)
-    return Probe(words, table, lengths, list(windows.values()), names, order, pairs, np.unique(table[lengths == 1, 0]))
+    first = np.cumsum([0, *map(len, windows.values())])
+    postings = np.array([x for own in windows.values() for x in own], np.int64).reshape(-1, 3)
+    return Probe(words, table, lengths, first, postings, names, pairs, np.unique(table[lengths == 1, 0]))
 
 
 def suffix_array(ids: np.ndarray, probe: Probe) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -129,10 +130,33 @@ def occurrences(ids: np.ndarray, probe: Probe) -> tuple[np.ndarray, np.ndarray]:
     return window, start[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
 
 
+#: Places in texts times places in items that are spelled out at once; a text with more stands alone.
+_SPELLED = 1 << 20
+
+
+def matches(window: np.ndarray, at: np.ndarray, doc: np.ndarray, probe: Probe) -> Iterator[np.ndarray]:
+    """Rows (doc, text of an item, name, place in the text, place in the item, words) of the longest common stretches, from a window's places in order of docs."""
+    if not len(window):
+        return
+    n = np.diff(probe.first)[window]
+    docs, lo = np.unique(doc, return_index=True)
+    hi = np.append(lo[1:], len(doc))
+    for a, b in in_chunks([int(n[x:y].sum()) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], _SPELLED):
+        own = slice(lo[a], hi[b - 1])
+        k, w = n[own], window[own]
+        post = np.repeat(probe.first[w], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        unit, place, name = probe.postings[post].T
+        d, p, length = (np.repeat(x, k) for x in (doc[own], at[own], probe.lengths[w]))
+        order = np.lexsort((p, p - place, unit, d))
+        unit, place, name, d, p, length = (x[order] for x in (unit, place, name, d, p, length))
+        new = np.append(True, (d[1:] != d[:-1]) | (unit[1:] != unit[:-1]) | (place[1:] != place[:-1] + 1) | (p[1:] != p[:-1] + 1))
+        head = np.flatnonzero(new)
+        yield np.stack([d[head], unit[head], name[head], p[head], place[head], np.diff(np.append(head, len(p))) - 1 + length[head]], 1)
+
+
 def _chunks(batch: pa.RecordBatch, probe: Probe, width: int):
-    """Of each part of a batch: its range of rows, their sizes and begins in words, the hit words, and each row's items."""
+    """Of each part of a batch: its range of rows, their sizes and begins in words, the hit words, each row's items and its matches."""
     get = probe.words.get
-    rank = np.argsort(probe.sort_order)
     texts = utf8(batch.column(batch.num_columns - 1))
     for lo, hi in in_chunks([len(t) for t in texts]):
         words = [t.translate(ALNUM).split() for t in texts[lo:hi]]
@@ -145,13 +169,17 @@ def _chunks(batch: pa.RecordBatch, probe: Probe, width: int):
         cover = np.zeros(len(ids) + 1, np.int64)
         np.add.at(cover, at, 1)
         np.add.at(cover, at + probe.lengths[window], -1)
+        order = np.argsort(at, kind="stable")
+        window, at = window[order], at[order]
         doc = np.searchsorted(begin, at, "right") - 1
-        found: dict[int, set[int]] = {}
-        for d, w in np.unique(np.stack([doc, window], 1), axis=0).tolist():
-            found.setdefault(d, set()).update(probe.items[w])
-        held = [sorted(found.get(d, ()), key=rank.__getitem__) for d in range(hi - lo)]
-        held = [list(dict.fromkeys(probe.item_ids[p] for p in x)) for x in held]
-        yield lo, hi, size, begin, np.cumsum(cover[:-1]) > 0, held
+        held: list[list[str]] = [[] for _ in range(hi - lo)]
+        found: list[list[tuple]] = [[] for _ in range(hi - lo)]
+        for part in matches(window, at - begin[doc], doc, probe):
+            for d, name in np.unique(part[:, [0, 2]], axis=0).tolist():
+                held[d].append(probe.names[name])
+            for d, unit, name, p, q, n in part.tolist():
+                found[d].append((unit, probe.names[name], p, q, n))
+        yield lo, hi, size, begin, np.cumsum(cover[:-1]) > 0, held, found
 
 
 def _item_columns(held: list[list[str]]) -> list[pa.Array]:
@@ -161,7 +189,15 @@ def _item_columns(held: list[list[str]]) -> list[pa.Array]:
     ]
 
 
-_NAMES = ["n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run"]
+def _longest(found: list[list[tuple]]) -> list[pa.Array]:
+    """Of each row the longest match: words, item, place in the text, place in the item; of several the first in the text, by item, in the item."""
+    best = [min(((-n, p, name, q) for _, name, p, q, n in x), default=(0, None, None, None)) for x in found]
+    n, p, name, q = zip(*best, strict=True) if best else ([], [], [], [])
+    return [pa.array([-x for x in n], pa.int64()), pa.array(name, pa.string()), pa.array(p, pa.int64()), pa.array(q, pa.int64())]
+
+
+_NAMES = ["n_words", "n_hit", "n_items", "items_sha256", "items", "longest_match", "match_item", "match_start", "match_item_start"]
+_MATCH = pa.list_(pa.struct([("u", pa.int64()), ("item", pa.string()), ("p", pa.int64()), ("q", pa.int64()), ("n", pa.int64())]))
 
 
 def _search(probe_of, width: int):
@@ -170,84 +206,90 @@ def _search(probe_of, width: int):
     @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, size, begin, hits, held in _chunks(batch, probe_of.value, width):
+            for lo, hi, size, begin, hits, held, found in _chunks(batch, probe_of.value, width):
                 hit = np.append(0, np.cumsum(hits))
                 n_hit = hit[begin + size] - hit[begin]
-                more = [pa.array(size), pa.array(n_hit), *_item_columns(held), pa.array(_longest(hits, begin, size))]
+                more = [pa.array(size), pa.array(n_hit), *_item_columns(held), *_longest(found)]
                 yield pa.RecordBatch.from_arrays([*(c.slice(lo, hi - lo) for c in batch.columns[:-1]), *more], [*batch.schema.names[:-1], *_NAMES])
 
     return rows
 
 
 def _round(probe_of, width: int):
-    """Over rows (r, text): of those with hits, the ranges of hit words (begin, end, begin, ...) and the items of one round."""
+    """Over rows (r, text): of those with hits, the ranges of hit words (begin, end, begin, ...), the items and the matches of one round."""
 
     @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, size, begin, hits, held in _chunks(batch, probe_of.value, width):
+            for lo, hi, size, begin, hits, held, found in _chunks(batch, probe_of.value, width):
                 some = [d for d in range(hi - lo) if held[d]]
                 spans = [np.flatnonzero(np.diff(np.concatenate([[0], hits[b : b + n].view(np.int8), [0]]))) for b, n in zip(begin[some], size[some], strict=True)]
-                columns = [batch.column(0).slice(lo, hi - lo).take(pa.array(some, pa.int64())), pa.array(spans, pa.list_(pa.int64())), pa.array([held[d] for d in some], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, ["r", "spans", "found"])
+                met = [[dict(zip(("u", "item", "p", "q", "n"), x, strict=True)) for x in found[d]] for d in some]
+                columns = [batch.column(0).slice(lo, hi - lo).take(pa.array(some, pa.int64())), pa.array(spans, pa.list_(pa.int64())), pa.array([held[d] for d in some], pa.list_(pa.string())), pa.array(met, _MATCH)]
+                yield pa.RecordBatch.from_arrays(columns, ["r", "spans", "found", "met"])
 
     return rows
 
 
-@freeing
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = [len(t.translate(ALNUM).split()) for t in utf8(batch.column(batch.num_columns - 1))]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "n_words"])
 
 
-@freeing
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose last columns are n_words and the rounds' spans and items: the counts over all rounds."""
-    for batch in batches:
-        if not len(batch):
-            continue
-        n_hit, longest, held = [], [], []
-        for rounds, found in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-            total = most = end = first = 0
-            for lo, hi in sorted((s[k], s[k + 1]) for s in rounds or () for k in range(0, len(s), 2)):
-                if lo > end or not total:  # neighbours that touch are one run
-                    first = end = lo
-                total += max(0, hi - end)
-                end = max(end, hi)
-                most = max(most, end - first)
-            n_hit.append(total)
-            longest.append(most)
-            held.append(sorted({x for items in found or () for x in items}))
-        more = [batch.column(batch.num_columns - 3), pa.array(n_hit, pa.int64()), *_item_columns(held), pa.array(longest, pa.int64())]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *more], [*batch.schema.names[:-3], *_NAMES])
+def _joined(met: list[tuple], width: int) -> list[tuple]:
+    """Matches of several rounds, those that go on from one to the next as one."""
+    out: list[list] = []
+    for u, name, p, q, n in sorted(met, key=lambda x: (x[0], x[2] - x[3], x[2])):
+        last = out[-1] if out else None
+        if last and last[0] == u and last[2] - last[3] == p - q and p == last[2] + last[4] - width + 1:
+            last[4] = p + n - last[2]
+        else:
+            out.append([u, name, p, q, n])
+    return [tuple(x) for x in out]
+
+
+def _merge(width: int):
+    """Over rows whose last columns are n_words and the rounds' spans, items and matches: the counts over all rounds."""
+
+    @freeing
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            n_hit, held, matched = [], [], []
+            for rounds, found, met in zip(*(batch.column(batch.num_columns - k).to_pylist() for k in (3, 2, 1)), strict=True):
+                total = end = 0
+                for lo, hi in sorted((s[k], s[k + 1]) for s in rounds or () for k in range(0, len(s), 2)):
+                    total += max(0, hi - max(lo, end))
+                    end = max(end, hi)
+                n_hit.append(total)
+                held.append(sorted({x for items in found or () for x in items}))
+                matched.append(_joined([(m["u"], m["item"], m["p"], m["q"], m["n"]) for x in met or () for m in x], width))
+            more = [batch.column(batch.num_columns - 4), pa.array(n_hit, pa.int64()), *_item_columns(held), *_longest(matched)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-4], *more], [*batch.schema.names[:-4], *_NAMES])
+
+    return rows
 
 
 def _pieces(width: int):
-    """Over rows (item, text): the items' words in pieces that overlap so far that each window is in one."""
+    """Over rows (item, text): the items' words in pieces that overlap so far that each window is in one, with the text's number and the words before."""
+    kind = pa.schema([("item", pa.string()), ("u", pa.int64()), ("before", pa.int64()), ("t", pa.string()), ("n", pa.int64())])
 
     @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
                 words = text.translate(ALNUM).split()
+                unit = xxhash.xxh3_64_intdigest(b"%s %s" % (str(item).encode(), b" ".join(words))) - (1 << 63)
                 last = max(1, len(words) - width + 1) if words else 0
                 for lo in range(0, last, PIECE_WORDS):
                     part = words[lo : lo + PIECE_WORDS + width - 1]
-                    yield pa.RecordBatch.from_pydict({"item": [item], "t": [b" ".join(part).decode()], "n": [len(part)]}, pa.schema([("item", pa.string()), ("t", pa.string()), ("n", pa.int64())]))
+                    yield pa.RecordBatch.from_pydict({"item": [item], "u": [unit], "before": [lo], "t": [b" ".join(part).decode()], "n": [len(part)]}, kind)
 
     return rows
 
 
-def _longest(hit: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The longest run of hit words of each text."""
-    out = np.zeros(len(begin), np.int64)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-    first, last = edge[::2], edge[1::2]
-    np.maximum.at(out, np.searchsorted(begin, first, "right") - 1, last - first)
-    return out
-
-
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -266,31 +308,34 @@ def contamination(
     of the places where a test suffix could begin, and looks every test suffix up by
     binary search. A word inside a window's occurrence is hit. Returns the id, n_words,
     n_hit, n_items (items with such windows), items_sha256 (of their ids as text,
-    sorted, comma-joined), items (those ids), longest_run (of hit words),
-    contaminated (n_hit > 0 and 20 * n_hit >= n_words) and the columns named in carry.
+    sorted, comma-joined), items (those ids), contaminated (n_hit > 0 and 20 * n_hit >=
+    n_words), the columns named in carry, and the longest verbatim match of a window or more
+    with one item: longest_match (words, 0 for none), match_item, match_start and match_item_start
+    (words before it in the text and in the item; of equally long ones the first in the text,
+    then by id as text and the first in the item).
 
     A benchmark of over ROUND_WORDS words is dealt by a hash to rounds of about so many,
     each broadcast and searched in turn, and their hit words and items are merged for
     each row. No more than a round is in memory at once.
     A null or empty text has no words and no hits; items without words never match;
-    items of one id count once. Repeated rows and null ids are rows like any other; an
+    items of one id count once; a null item_id is the id None. Repeated rows and null ids are rows like any other; an
     empty table on either side is defined. Other columns are not read.
     """
     tune(docs.sparkSession)
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("t"))
-    pieces = checkpointed(items.mapInArrow(_pieces(width), "item string, t string, n long").distinct())
+    pieces = checkpointed(items.mapInArrow(_pieces(width), "item string, u long, before long, t string, n long").distinct())
     rounds = -(-(pieces.agg(F.sum("n")).first()[0] or 0) // ROUND_WORDS)
     number = F.pmod(F.xxhash64("item", "t"), F.lit(max(1, rounds)))
 
     def probe(k: int):
-        part = [(str(i), t) for i, t in pieces.where(number == k).select("item", "t").collect()]
+        part = [(str(i), u, before, t) for i, u, before, t in pieces.where(number == k).select("item", "u", "before", "t").collect()]  # about ROUND_WORDS
         return spark.sparkContext.broadcast(build_probe(part, width))
 
     carried = [F.col(c).alias(f"c{k}") for k, c in enumerate(carry)]
     rows = docs.select(F.col(id_col).alias("id"), *carried, F.col(text_col).cast("string").alias("t"))
     fields = rows.schema.fields[:-1]
-    more = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest_run long"
+    more = "n_words long, n_hit long, n_items long, items_sha256 string, items array<string>, longest_match long, match_item string, match_start long, match_item_start long"
     if rounds <= 1:
         out = rows.mapInArrow(_search(probe(0), width), with_fields(fields, more))
     else:
@@ -298,12 +343,12 @@ def contamination(
         merged = None
         for k in range(rounds):
             now = probe(k)
-            found = checkpointed(rows.select("r", "t").mapInArrow(_round(now, width), "r long, spans array<long>, found array<string>"))
+            found = checkpointed(rows.select("r", "t").mapInArrow(_round(now, width), "r long, spans array<long>, found array<string>, met array<struct<u: long, item: string, p: long, q: long, n: long>>"))
             now.destroy()
             merged = found if merged is None else merged.unionAll(found)
-        merged = merged.groupBy("r").agg(F.collect_list("spans").alias("spans"), F.collect_list("found").alias("found"))
+        merged = merged.groupBy("r").agg(F.collect_list("spans").alias("spans"), F.collect_list("found").alias("found"), F.collect_list("met").alias("met"))
         out = rows.mapInArrow(_count_words, with_fields([T.StructField("r", T.LongType()), *fields], "n_words long")).join(merged, "r", "left").drop("r")
-        out = out.mapInArrow(_merge, with_fields(fields, more))
+        out = out.mapInArrow(_merge(width), with_fields(fields, more))
     flag = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
     carried = [F.col(f"c{k}").alias(c) for k, c in enumerate(carry)]
-    return out.select(F.col("id").alias(id_col), *carried, "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_run", flag.alias("contaminated"))
+    return out.select(F.col("id").alias(id_col), *carried, "n_words", "n_hit", "n_items", "items_sha256", "items", "longest_match", "match_item", "match_start", "match_item_start", flag.alias("contaminated"))

@@ -21,17 +21,18 @@ from siltline.llm.token_counts import token_counts
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 DECONTAMINATION_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
- b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
- win AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
+ b AS (SELECT row_number() OVER () AS u, CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+ win AS (SELECT item, u, n, i AS j, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT item, u, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0)),
  dw AS (SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS key FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
- m AS (SELECT r, i, n, item FROM dw JOIN win USING (n, key)),
+ m AS (SELECT r, i, n, item, u, j FROM dw JOIN win USING (n, key)),
  h AS (SELECT DISTINCT r, unnest(range(i, i + n)) AS pos FROM m),
- runs AS (SELECT r, count(*) AS c FROM (SELECT r, pos - row_number() OVER (PARTITION BY r ORDER BY pos) AS g FROM h) GROUP BY r, g),
- hits AS (SELECT r, sum(c) AS n_hit, max(c) AS longest FROM runs GROUP BY r),
+ hits AS (SELECT r, count(*) AS n_hit FROM h GROUP BY r),
+ runs AS (SELECT r, item, min(i) - 1 AS p, min(j) - 1 AS q, n + count(*) - 1 AS c FROM (SELECT *, i - row_number() OVER (PARTITION BY r, u, i - j ORDER BY i) AS g FROM m) GROUP BY r, u, item, n, i - j, g),
+ best AS (SELECT r, c AS longest, item AS match_item, p AS match_start, q AS match_item_start FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY c DESC, p, item, q) AS k FROM runs) WHERE k = 1),
  items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
- coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(longest, 0) AS longest_run
- FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)"""
+ coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, CAST(coalesce(longest, 0) AS BIGINT) AS longest_match, match_item, match_start, match_item_start
+ FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r) LEFT JOIN best USING (r)"""
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +74,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_run")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match", "match_item", "match_start", "match_item_start")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,7 @@ def test_very_long_text(spark):
     d = spark.createDataFrame([(1, "filler words " * 300_000 + passage)], "doc_id long, text string")
     b = spark.createDataFrame([(7, passage)], "item_id long, text string")
     x = contamination(d, b).first()
-    assert (x["n_words"], x["n_hit"], x["items"], x["longest_run"], x["contaminated"]) == (600_020, 20, ["7"], 20, False)
+    assert (x["n_words"], x["n_hit"], x["items"], x["longest_match"], x["match_start"], x["contaminated"]) == (600_020, 20, ["7"], 20, 600_000, False)
 
 
 def test_rounds_equal_brute_force(spark, monkeypatch):
@@ -79,3 +79,39 @@ def test_rounds_equal_brute_force(spark, monkeypatch):
     by_k = {x["k"]: tuple(x[n] for n in names) for x in split}
     assert [by_k[k] for k in range(len(docs))] == brute(docs, items)
     assert sorted(map(str, split)) == sorted(map(str, whole))
+
+
+def longest(text, items, width=13):
+    """The longest common stretch of a window or more, by comparing every place with every place of every item."""
+    w, best = words(text), (0, None, None, None)
+    for name, t in items:
+        v = words(t)
+        least = min(width, len(v))
+        for p in range(len(w)):
+            for q in range(len(v)):
+                n = 0
+                while p + n < len(w) and q + n < len(v) and w[p + n] == v[q + n]:
+                    n += 1
+                if v and n >= least and (-n, p, str(name), q) < (-best[0], *(best[1:] if best[0] else (0, "", 0))):
+                    best = (n, p, str(name), q)
+    return best[0], best[2], best[1], best[3]
+
+
+def test_longest_matches_equal_brute_force(spark, monkeypatch):
+    from siltline.llm import decontamination
+
+    r = random.Random(8)
+    text = lambda n: " ".join(r.choice("abcdefgh") + r.choice("xy") for _ in range(n))
+    items = [(k, text(r.choice([13, 20, 45]))) for k in range(8)] + [(20, "short item"), (21, "ax " * 30)]
+    items.append((22, items[0][1] + " " + text(5)))
+    docs = [(0, f"q {items[0][1]} {items[1][1]}"), (1, f"{text(9)} {items[2][1][3:]} short item"), (2, "ax " * 40), (3, None), (4, "short item short item")]
+    docs += [(10 + k, f"{text(5)} {r.choice(items)[1][r.randint(0, 20) :]} {r.choice(items)[1]} {text(6)}") for k in range(25)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {k: longest(t, items) for k, t in docs}
+    assert want[0][0] < 13 + 13 + 45  # neighbours of two items are no match with one
+    for rounds in (False, True):
+        if rounds:
+            monkeypatch.setattr(decontamination, "ROUND_WORDS", 60)
+            monkeypatch.setattr(decontamination, "PIECE_WORDS", 7)
+        got = {x["doc_id"]: (x["longest_match"], x["match_item"], x["match_start"], x["match_item_start"]) for x in contamination(d, b).collect()}
+        assert got == want
