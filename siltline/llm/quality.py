@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltline.llm.common import LOWER, freeing, held_out, in_chunks, tune, utf8, with_fields
@@ -19,8 +19,8 @@ from siltline.llm.suffix_dedup import Hashes
 
 #: Words of a passage; hash buckets of its character trigrams; further measures.
 PASSAGE, BUCKETS, MEASURES = 128, 256, 9
-#: At most about this many labelled documents are learned from, chosen by a hash of their id.
-SAMPLE_ROWS = 3_000
+#: Labelled documents that are learned from, at most: the first by a hash of their id, and of those the first of so many bytes in all, none of them longer than LONGEST.
+SAMPLE_ROWS, SAMPLE_BYTES, LONGEST = 3_000, 32 << 20, 2 << 20
 #: Text encoded at once.
 PART_BYTES = 1 << 19
 HIDDEN, ATTENTION, EPOCHS, STEPS, BATCH, RATE, DECAY = 32, 16, 30, 800, 64, 3e-3, 1e-2
@@ -148,12 +148,21 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([y.slice(lo, hi - lo), pa.array(bags, pa.binary())], ["y", "bag"])
 
 
+def sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: int) -> DataFrame:
+    """(y, text) to learn from: rows labelled ids at most, one text for each, size bytes of text in all."""
+    labels = labels.where(~held_out(F.col("id")) & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
+    order = F.xxhash64("id")
+    chosen = labels.orderBy(order, "id").limit(rows)
+    texts = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    texts = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))  # rows at most
+    before = Window.orderBy(order, "id").rowsBetween(Window.unboundedPreceding, 0)
+    return texts.withColumn("upto", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(before)).where(F.col("upto") <= size).select("y", "text")
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int) -> Attention | None:
     """The model learned from docs (id, text) whose ids labels (id, y) names; None without both classes."""
-    labels = labels.where(~held_out(F.col("id")) & F.col("y").isin(0, 1)).groupBy("id").agg(F.max("y").alias("y"))
-    share = min(1.0, sample_rows / max(labels.count(), 1))
-    chosen = labels.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else labels
-    bags = docs.join(F.broadcast(chosen), "id").select("y", "text").mapInArrow(_bags, "y int, bag binary")  # sample_rows rows at most
+    chosen = sample(docs, labels, sample_rows, SAMPLE_BYTES, LONGEST)
+    bags = chosen.mapInArrow(_bags, "y int, bag binary")  # about as many bytes as the texts
     bags = bags.orderBy(F.xxhash64("bag"), "y").toArrow()
     y = bags["y"].to_numpy().astype(float)
     if len(set(y.tolist())) < 2:
@@ -187,8 +196,9 @@ def quality_scores(
     and the columns named in carry.
 
     The score comes from the text alone. It is learned from labelled rows that are
-    not held out: all, or about sample_rows chosen by a hash of their id. Their passage
-    codes (some KB each) are gathered and the small network is trained once.
+    not held out: the first sample_rows by a hash of their id, one text for each id, up to
+    SAMPLE_BYTES in all and without texts of over LONGEST bytes. Their passage codes, about as
+    many bytes, are gathered and the small network is trained once. Every row is scored whole.
 
     Null and empty texts are one empty passage and are scored like any other. Ids with
     several labels take the largest; labels that are null or of no row count for
