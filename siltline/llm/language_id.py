@@ -15,8 +15,8 @@ from siltline.llm.common import freeing, held_out, in_chunks, tune
 
 #: Hash buckets, n-gram lengths, and additive smoothing.
 BUCKETS, LENGTHS, ALPHA = 1 << 16, (1, 2, 3), 0.5
-#: At most about this many labelled rows are learned from, chosen by a hash of their id.
-SAMPLE_ROWS = 20_000
+#: About so many labelled rows are learned from, chosen by a hash of id and text; and the languages of a model at most, the most frequent of those rows.
+SAMPLE_ROWS, LANGUAGES = 20_000, 512
 UNDEFINED = "und"
 
 
@@ -86,11 +86,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([names, pa.array(np.append(at, -1)), pa.array(np.append(n[at], rows[lang]))], ["lang", "bucket", "n"])
 
 
+#: Parts of a whole in which a share is counted, so that a small one of many rows is not nothing.
+_UNITS = 1 << 62
+
+
+def share(total: int, rows: int) -> int:
+    """Of _UNITS, the share that rows are of total."""
+    return min(_UNITS, _UNITS * rows // max(total, 1))
+
+
 def learn(labelled: DataFrame, sample_rows: int) -> tuple[list[str], np.ndarray]:
     """The languages of (id, lang, text) and the log-probabilities, buckets x languages, with the prior in the last row."""
     total = labelled.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    chosen = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else labelled
+    chosen = labelled.where(F.pmod(F.xxhash64("id", "text"), F.lit(_UNITS)) < share(total, sample_rows)) if total > sample_rows else labelled
+    frequent = chosen.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    chosen = chosen.join(F.broadcast(frequent), "lang", "left_semi")
     summed = chosen.select("lang", "text").mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     summed = summed.toArrow()  # at most a row for each language and bucket
     counts: dict[str, np.ndarray] = {}
@@ -140,7 +150,8 @@ def language_ids(
     """Every row's language: the id, held_out (crc32 of the id mod 4 is 2), lang_pred and score (its posterior).
 
     Learned from rows that are not held out and have a language and a text: all, or
-    about sample_rows of them chosen by a hash of the id, whatever their partition. The
+    about sample_rows of them chosen by a hash of id and text, whatever their partition, in their
+    LANGUAGES most frequent languages (so the model's size is bounded). The
     log-probability matrix (buckets x languages) is broadcast; a text's n-grams index it.
 
     A null text, or one without a letter, is 'und' with score 0; without any labelled

@@ -30,3 +30,50 @@ def test_grams_do_not_cross_texts():
     both, owner, _ = grams(["abc", "déf 1"])
     one, _, lettered = grams(["déf 1"])
     assert sorted(both[owner == 1]) == sorted(one) and lettered.all()
+
+
+def test_share_of_very_many_rows():
+    from siltline.llm import language_id
+
+    assert language_id.share(10**12, 20_000) > 0 and language_id.share(10, 20) == language_id._UNITS
+    assert abs(language_id.share(10**15, 20_000) / language_id._UNITS * 10**15 - 20_000) < 1
+
+
+def test_equals_brute_force(spark):
+    """Naive counts with dictionaries, a text at a time."""
+    import math
+    import random
+    from collections import Counter, defaultdict
+
+    from siltline.llm.language_id import ALPHA, BUCKETS, LENGTHS
+
+    def naive(text):
+        s = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
+        while "  " in s:
+            s = s.replace("  ", " ")
+        for n in LENGTHS:
+            for k in range(len(s) - n + 1):
+                g = s[k : k + n]
+                if any(c.isalpha() for c in g):
+                    h = n
+                    for c in g:
+                        h = ((h ^ ord(c)) * 0x9E3779B97F4A7C15) % 2**64
+                        h ^= h >> 29
+                    yield (h >> 20) % BUCKETS
+
+    r = random.Random(3)
+    words = {"xx": ["abba", "cad", "dab"], "yy": ["été", "ñu", "dab"], "zz": ["Öl", "abba", "zz"]}
+    rows = [(k, " ".join(r.choice(words[x]) for _ in range(r.randint(1, 9))) + r.choice(["", "!", " 12"]), x) for k in range(60) for x in [r.choice("xyz") * 2]]
+    rows += [(100, "AB  ab", None), (101, "ßü", None), (102, "abba", None), (102, "abba", None)]
+    counts, prior = defaultdict(Counter), Counter()
+    for k, text, lang in rows:
+        if lang and zlib.crc32(str(k).encode()) % 4 != 2:
+            prior[lang] += 1
+            counts[lang].update(naive(text))
+    got = Counter((x["doc_id"], x["lang_pred"], round(x["score"], 4)) for x in language_ids(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    want = Counter()
+    for k, text, _ in rows:
+        total = {x: math.log(prior[x] / sum(prior.values())) + sum(math.log((counts[x][g] + ALPHA) / (sum(counts[x].values()) + ALPHA * BUCKETS)) for g in naive(text)) for x in prior}
+        best = max(sorted(total), key=total.get)
+        want[k, best, round(1 / sum(math.exp(t - total[best]) for t in total.values()), 4)] += 1
+    assert got == want
