@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from siltline.functions.expr import parse_source
 from siltline.operators.gates import Candidates, Prefilter, Quality, Speech
+from siltline.schema import KEEP, LOW_QUALITY, PENDING, REJECTED
 
 
 # Defaults of the stages.
@@ -17,6 +20,7 @@ class Packing:
     guard_seconds: float = 0.5
     peak: float = 0.7
     sample_rate: int = 44_100
+    singly: bool = False
 
 
 @dataclass(frozen=True)
@@ -26,6 +30,60 @@ class Training:
     max_files: int = 0
 
 
+@dataclass(frozen=True)
+class Materialize:
+    enabled: bool = True
+    clean: str = "clean"
+    low_quality: str = "low_quality"
+    rejected: str = "rejected"
+    keep_rejected: bool = False
+    sample_rate: int = 22_050
+
+    def buckets(self) -> dict[str, str]:
+        """The bucket of each status that is placed; what is pending has come through all stages that ran."""
+        placed = {KEEP: self.clean, PENDING: self.clean, LOW_QUALITY: self.low_quality}
+        return placed | ({REJECTED: self.rejected} if self.keep_rejected else {})
+
+
+@dataclass(frozen=True)
+class Source:
+    """A dataset to ingest: where it is, how it is laid out and how much of it is wanted (0: all)."""
+
+    repo_id: str = ""
+    name: str = ""
+    revision: str = "main"
+    enabled: bool = True
+    layout: str = ""
+    shards: tuple[int, ...] = ()
+    metadata_file: str = ""
+    metadata_delimiter: str = "\t"
+    metadata_key: str = "file_name"
+    metadata_text: str = "sentence"
+    limit: int = 0
+    limit_per_shard: int = 0
+
+    @property
+    def slug(self) -> str:
+        return re.sub(r"[^\w.\-]", "_", self.name or self.repo_id.rsplit("/", 1)[-1])
+
+
+def source_of(entry: str | Mapping[str, Any]) -> Source:
+    """A source from 'owner/name[@revision][#slug]' or from its settings; an unknown key raises KeyError."""
+    if isinstance(entry, str):
+        spec = parse_source(entry)
+        return Source(repo_id=spec["repo"], revision=spec["revision"], name=spec["slug"])
+    return overlaid(Source(), entry)
+
+
+def active_sources(sources: Iterable[Source], only: Iterable[str] = ()) -> list[Source]:
+    """Enabled sources, of those that only names by slug or repository; KeyError if it names none."""
+    active, wanted = [s for s in sources if s.enabled], set(only)
+    chosen = [s for s in active if not wanted or s.slug in wanted or s.repo_id in wanted]
+    if wanted and not chosen:
+        raise KeyError(f"no source is named {sorted(wanted)}")
+    return chosen
+
+
 @dataclass(frozen=True)
 class Settings:
     prefilter: Prefilter = field(default_factory=Prefilter)
@@ -34,7 +92,9 @@ class Settings:
     quality: Quality = field(default_factory=Quality)
     candidates: Candidates = field(default_factory=Candidates)
     training: Training = field(default_factory=Training)
-    stages: tuple[str, ...] = ("prefilter", "separate", "vad", "quality")
+    materialize: Materialize = field(default_factory=Materialize)
+    sources: tuple[Source, ...] = ()
+    stages: tuple[str, ...] = ("prefilter", "separate", "vad", "quality", "materialize")
 
 
 def overlaid(settings: Any, values: Mapping[str, Any]) -> Any:
@@ -45,6 +105,9 @@ def overlaid(settings: Any, values: Mapping[str, Any]) -> Any:
         if key not in known:
             raise KeyError(f"unknown setting {key!r} of {type(settings).__name__}")
         now = getattr(settings, key)
+        if key == "sources":
+            changed[key] = tuple(v if isinstance(v, Source) else source_of(v) for v in value or ())
+            continue
         changed[key] = overlaid(now, value or {}) if dataclasses.is_dataclass(now) else tuple(value) if isinstance(now, tuple) else value
     return dataclasses.replace(settings, **changed)
 
@@ -60,5 +123,5 @@ def dump(settings: Settings) -> str:
     """The settings as YAML that load() reads."""
     import yaml
 
-    plain = lambda v: {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else list(v) if isinstance(v, tuple) else v
+    plain = lambda v: {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else [plain(x) for x in v] if isinstance(v, tuple) else v
     return yaml.safe_dump(plain(dataclasses.asdict(settings)), sort_keys=False, allow_unicode=True)

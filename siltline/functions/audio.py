@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import wave
+from collections.abc import Callable
 
 import numpy as np
 
@@ -28,6 +29,11 @@ def decode_wav(data: bytes, mono: bool = True) -> tuple[np.ndarray, int]:
     return (x.mean(1) if mono else x), rate
 
 
+def decoder(other: Callable[..., tuple[np.ndarray, int]]) -> Callable[..., tuple[np.ndarray, int]]:
+    """Decodes WAV bytes itself, as stages leave clips as WAV, and all else by other(data, mono)."""
+    return lambda data, mono=True: decode_wav(data, mono) if data[:4] == b"RIFF" else other(data, mono)
+
+
 def encode_wav(x: np.ndarray, rate: int) -> bytes:
     """16-bit PCM WAV of samples or of frames x channels; what is beyond full scale is cut."""
     out = io.BytesIO()

@@ -111,6 +111,12 @@ def parse_source(spec: str) -> dict[str, str]:
     return {"repo": repo, "revision": revision or "main", "slug": re.sub(r"[^\w.\-]", "_", name or repo.rsplit("/", 1)[-1])}
 
 
+def vocal_stem(names: Column) -> Column:
+    """Of an array of file names the first whose stem doesn't say 'instrument', else the first; null for none."""
+    vocal = F.filter(names, lambda n: ~F.lower(stem(n)).contains("instrument"))
+    return F.coalesce(F.get(vocal, F.lit(0)), F.get(names, F.lit(0)))
+
+
 def bucket(status: Column, buckets: Mapping[str, str]) -> Column:
     """The folder of a status, null for a status that has none."""
     if not buckets:

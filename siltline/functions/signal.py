@@ -96,9 +96,10 @@ def span_stats(spans: Column, duration: Column) -> Column:
 
 
 def trim_bounds(spans: Column, duration: Column, pad: float) -> tuple[Column, Column, Column]:
-    """Start, end, and the spans counted from the start (never below 0)."""
-    start = F.greatest(F.lit(0.0), F.element_at(spans, 1)[0] - pad)
-    end = F.least(duration, F.element_at(spans, -1)[1] + pad)
+    """Start, end, and the spans counted from the start (never below 0); null without spans."""
+    some = F.size(spans) > 0
+    start = F.when(some, F.greatest(F.lit(0.0), F.try_element_at(spans, F.lit(1))[0] - pad))
+    end = F.when(some, F.least(duration, F.try_element_at(spans, F.lit(-1))[1] + pad))
     moved = F.transform(spans, lambda s: F.array(F.greatest(s[0] - start, F.lit(0.0)), F.greatest(s[1] - start, F.lit(0.0))))
     return start, end, moved
 

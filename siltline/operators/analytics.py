@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from siltline.functions.expr import hours, number
 from siltline.operators.gates import Quality, decide_quality
-from siltline.schema import KEEP, LOW_QUALITY
+from siltline.schema import ALIVE, KEEP, LOW_QUALITY, REJECTED
+from siltline.shared import ranked
 
 # Percentiles of the calibration report; measures and the side that fails.
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 99)
@@ -56,20 +57,29 @@ def long_scores(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("p")).select("p.metric", "p.value").where("value is not null")
 
 
+def _quantiles(scores: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """(metric, n, qs): the exact interpolated quantiles of (metric, value) rows, by their ranks: no task gets all values of a measure."""
+    held = ranked(scores, "metric", "value", out="_rank")
+    sizes = held.groupBy("metric").agg(F.count("*").alias("n"), F.min("_rank").alias("_first"))
+    place = F.posexplode(F.array(*(F.lit(float(s)) for s in shares)))
+    asked = sizes.select("metric", "n", "_first", place.alias("k", "share")).withColumn("_x", (F.col("n") - 1) * F.col("share"))
+    asked = asked.select("metric", "n", "k", (F.col("_x") - F.floor("_x")).alias("_w"), F.explode(F.array(F.floor("_x"), F.ceil("_x"))).alias("_y"), (F.col("_first") + F.col("_y")).alias("_rank"))
+    found = held.join(F.broadcast(asked.distinct()), ["metric", "_rank"])  # two rows for each measure and share
+    either = found.groupBy("metric", "n", "k").agg((F.min("value") + (F.max("value") - F.min("value")) * F.max("_w")).alias("q"))
+    return either.groupBy("metric", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "q"))), lambda x: x["q"]).alias("qs"))
+
+
 def percentiles(df: DataFrame, columns: Sequence[str], points: Sequence[float] = PERCENTILES) -> DataFrame:
     """Exact interpolated percentiles of each measure: metric, n, p1, p5, ..."""
-    ps = F.percentile("value", F.array(*(F.lit(p / 100) for p in points)))
-    out = long_scores(df, columns).groupBy("metric").agg(F.count("*").alias("n"), ps.alias("ps"))
-    return out.select("metric", "n", *(F.col("ps")[k].alias(f"p{p:g}") for k, p in enumerate(points)))
+    out = _quantiles(long_scores(df, columns), [p / 100 for p in points])
+    return out.select("metric", "n", *(F.col("qs")[k].alias(f"p{p:g}") for k, p in enumerate(points)))
 
 
 def suggested_thresholds(df: DataFrame, sides: Mapping[str, str], keep: float) -> DataFrame:
     """For each measure the threshold that the share keep of its values passes."""
-    ps = F.percentile("value", F.array(F.lit(1 - keep), F.lit(keep)))
     side = F.create_map(*[F.lit(x) for kv in sides.items() for x in kv])
-    out = long_scores(df, list(sides)).groupBy("metric").agg(ps.alias("ps"))
-    out = out.withColumn("side", F.element_at(side, F.col("metric")))
-    return out.select("metric", "side", F.when(F.col("side") == "min", F.col("ps")[0]).otherwise(F.col("ps")[1]).alias("threshold"))
+    out = _quantiles(long_scores(df, list(sides)), [1 - keep, keep]).withColumn("side", F.element_at(side, F.col("metric")))
+    return out.select("metric", "side", F.when(F.col("side") == "min", F.col("qs")[0]).otherwise(F.col("qs")[1]).alias("threshold"))
 
 
 def joint_keep_rate(df: DataFrame, thresholds: Mapping[str, tuple[str, float]]) -> DataFrame:
@@ -83,16 +93,17 @@ def joint_keep_rate(df: DataFrame, thresholds: Mapping[str, tuple[str, float]])
     return df.where(measured).agg(F.count("*").alias("n"), F.coalesce(rate, F.lit(0.0)).alias("keep_rate"))
 
 
-def relabelled(df: DataFrame, g: Quality) -> DataFrame:
-    """Finished and scored records decided anew: old labels go, new ones are set; adds before, the status so far."""
+def relabelled(df: DataFrame, g: Quality, source: str | None = None) -> DataFrame:
+    """Finished and scored records (of one source) decided anew: old labels go, new ones are set, the stage stays; adds before, the status so far."""
+    df = df if source is None else df.where(F.col("source") == source)
     scored = F.col("dnsmos_ovrl").isNotNull() | F.col("bandwidth_hz").isNotNull()
     df = df.where(F.col("status").isin(KEEP, LOW_QUALITY) & scored).withColumn("before", F.col("status"))
     cleared = F.array_except("reasons", F.coalesce("quality_failures", F.array().cast("array<string>")))
-    return decide_quality(df.withColumn("reasons", cleared), g)
+    return decide_quality(df.withColumn("reasons", cleared), g, stage=None)
 
 
-def transitions(df: DataFrame, g: Quality) -> DataFrame:
-    return relabelled(df, g).groupBy("before", F.col("status").alias("after")).agg(F.count("*").alias("n"))
+def transitions(df: DataFrame, g: Quality, source: str | None = None) -> DataFrame:
+    return relabelled(df, g, source).groupBy("before", F.col("status").alias("after")).agg(F.count("*").alias("n"))
 
 
 def compare_models(df: DataFrame, baseline: str, columns: Sequence[str]) -> DataFrame:
@@ -113,9 +124,31 @@ def batching_verdict(pairs: DataFrame, least: float = 0.99) -> DataFrame:
     return pairs.agg(F.count("*").alias("n"), *out).withColumn("passed", F.coalesce(F.col("min_corr") > least, F.lit(False)))
 
 
+# MB/s of a slow link, the share of the baseline under which a host is slow, and the gain from which parallel downloads pay.
+SLOW_LINK, SLOW_HOST, GAIN = 5.0, 0.5, 2.0
+
+
 def throughput_verdict(df: DataFrame, total_gb: float) -> DataFrame:
-    """Gain of parallel over single downloads (MB/s), estimated hours and advice."""
-    gain = F.col("parallel") / F.col("single")
-    advice = F.when(F.col("parallel") <= 0, "unreachable").when(gain >= 2.0, "parallel").when(gain >= 1.2, "either").otherwise("stream")
-    eta = F.when(F.col("parallel") > 0, total_gb * 1024 / F.col("parallel") / 3600)
-    return df.withColumns({"gain": gain, "eta_hours": eta, "advice": advice})
+    """What measured downloads (MB/s: baseline, single, parallel; null or NaN: not measured) say.
+
+    Adds gain (parallel over single), eta_single and eta_parallel (hours and minutes for total_gb
+    as text, empty where not measured), link ('slow_link' if baseline and single are slow,
+    'slow_host' if single is far under baseline, else null) and advice ('parallel' from GAIN
+    on, 'full' below, null where no gain is known).
+    """
+    base, single, parallel = (F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in ("baseline", "single", "parallel"))
+    gain = F.when(single > 0, parallel / single)
+
+    def eta(speed: Column) -> Column:
+        h = total_gb * 1024 / speed / 3600
+        return F.when(speed <= 0, "inf h").when(h >= 1, F.format_string("%.1f h", h)).when(h < 1, F.format_string("%.0f min", h * 60)).otherwise("")
+
+    link = F.when((base < SLOW_LINK) & (single < SLOW_LINK), "slow_link").when(single < base * SLOW_HOST, "slow_host")
+    advice = F.when(gain >= GAIN, "parallel").when(gain < GAIN, "full")
+    return df.withColumns({"gain": gain, "eta_single": eta(single), "eta_parallel": eta(parallel), "link": link, "advice": advice})
+
+
+def stage_counts(df: DataFrame) -> DataFrame:
+    """Records of each unit and stage by what came of them: seen, alive (pending or kept so far), keep, low_quality, rejected."""
+    by = {s: F.count(F.when(F.col("status") == s, 1)).alias(s) for s in (KEEP, LOW_QUALITY, REJECTED)}
+    return df.groupBy("source", "shard", "stage").agg(F.count("*").alias("seen"), F.count(F.when(F.col("status").isin(*ALIVE), 1)).alias("alive"), *by.values())

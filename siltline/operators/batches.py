@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: seconds of a clip whose duration is not known.
 UNKNOWN = 3.0
@@ -13,23 +17,33 @@ def greedy_batches(clips: DataFrame, unit: list[str], order: str, target: float,
     """Adds batch (from 0 in each unit) and position (from 0 in the unit) to key, unit and duration.
 
     A batch ends before the clip that would take it over target; a longer clip is a batch of
-    its own; a duration of 0 or less counts as UNKNOWN. The rule is a fold in the order of a
-    unit, so a unit is one group: it is a shard as the sources deal it, whose size ingestion
-    bounds, and only its keys and durations are held, never payloads.
+    its own; a duration of 0 or less, NaN or null counts as UNKNOWN. The rule is a running sum with resets, so a
+    unit is gone through in order by one task, which streams its keys and durations (no
+    payloads) and holds a batch of rows and one sum, however large the unit is.
     """
-    known = F.when(F.col(duration) > 0, F.col(duration)).otherwise(UNKNOWN).cast("double")
-    rows = clips.select(*unit, F.struct(F.col(order).alias("o"), F.col(key).alias("k"), known.alias("d")).alias("c"))
-    packed = rows.groupBy(*unit).agg(F.array_sort(F.collect_list("c")).alias("cs"))
-    start = F.struct(F.lit(-1).alias("b"), F.lit(0.0).alias("total"), F.array().cast("array<int>").alias("out"))
-
-    def step(s, c):
-        new = (s["b"] < 0) | (s["total"] + c["d"] > target)
-        b = F.when(new, s["b"] + 1).otherwise(s["b"])
-        return F.struct(b.alias("b"), F.when(new, c["d"]).otherwise(s["total"] + c["d"]).alias("total"), F.concat(s["out"], F.array(b)).alias("out"))
-
-    batch = F.aggregate("cs", start, step, lambda s: s["out"])
-    out = packed.select(*unit, F.posexplode(F.arrays_zip("cs", batch.alias("batch"))).alias("position", "x"))
-    return out.select(*unit, F.col("x.cs.k").alias(key), F.col("x.cs.d").alias(duration), "position", F.col("x.batch").alias("batch"))
+    known = F.when((F.col(duration) > 0) & ~F.isnan(duration), F.col(duration)).otherwise(UNKNOWN).cast("double").alias(duration)
+    rows = clips.select(*unit, F.col(key).alias(key), known, F.col(order).alias("_order"))
+    rows = rows.repartition(*unit).sortWithinPartitions(*unit, "_order", key).drop("_order")
+    n_unit = len(unit)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, batch, total, position = None, 0, 0.0, 0
+        for rows_ in batches:
+            units = list(zip(*(c.to_pylist() for c in rows_.columns[:n_unit]), strict=True))
+            places, numbers = [], []
+            for u, d in zip(units, rows_.column(n_unit + 1).to_pylist(), strict=True):
+                if u != now:
+                    now, batch, total, position = u, 0, 0.0, 0
+                elif total + d > target:
+                    batch, total = batch + 1, 0.0
+                total += d
+                places.append(position)
+                numbers.append(batch)
+                position += 1
+            more = [pa.array(places, pa.int32()), pa.array(numbers, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*rows_.columns, *more], [*rows_.schema.names, "position", "batch"])
+
+    return rows.mapInArrow(fold, T.StructType([*rows.schema.fields, T.StructField("position", T.IntegerType()), T.StructField("batch", T.IntegerType())]))
 
 
 def offsets(batched: DataFrame, unit: list[str], guard: float, duration: str = "duration") -> DataFrame:

@@ -12,7 +12,7 @@ from siltline.functions.expr import above, all_hits, below, first_hit, number
 from siltline.schema import KEEP, LOW_QUALITY, REJECTED
 
 
-# Default thresholds.
+# Default thresholds, and below the names of reasons.
 @dataclass(frozen=True)
 class Prefilter:
     min_duration: float = 1.0
@@ -29,6 +29,8 @@ class Speech:
     min_speech_ratio: float = 0.45
     min_duration: float = 1.0
     max_duration: float = 30.0
+    trim: bool = True
+    trim_pad: float = 0.15
 
 
 @dataclass(frozen=True)
@@ -54,9 +56,9 @@ class Candidates:
 
 
 def prefilter_checks(df: DataFrame, g: Prefilter) -> list[tuple[str, Column]]:
-    """Checks over the columns that df has, cheap ones first; the first that holds rejects."""
+    """Checks over the columns that df has, cheap ones first; the first that holds rejects. A duration that is NaN or null is neither too short nor too long."""
     has = set(df.columns)
-    out = [("too_short", F.col("duration") < g.min_duration), ("too_long", F.col("duration") > g.max_duration)]
+    out = [("too_short", below(F.col("duration"), g.min_duration)), ("too_long", above(F.col("duration"), g.max_duration))]
     if "unusable" in has:
         out += [(r, F.coalesce(F.col("unusable") == r, F.lit(False))) for r in ("empty_audio", "corrupt_audio", "unreadable")]
     if "raw_rms_dbfs" in has:
@@ -67,18 +69,18 @@ def prefilter_checks(df: DataFrame, g: Prefilter) -> list[tuple[str, Column]]:
 
 
 def speech_checks(df: DataFrame, g: Speech) -> list[tuple[str, Column]]:
+    """Checks over the columns that df has, in order; the first that holds rejects."""
     has = set(df.columns)
     out = []
     if "unusable" in has:
-        out += [(r, F.coalesce(F.col("unusable") == r, F.lit(False))) for r in ("empty_audio", "corrupt_audio", "vad_failed")]
+        out += [(r, F.coalesce(F.col("unusable") == r, F.lit(False))) for r in ("empty_audio", "corrupt_audio", "unreadable", "vad_failed")]
     out += [
         ("silent_after_separation", F.coalesce(F.col("vocal_rms_dbfs") < g.min_rms_dbfs, F.lit(False))),
         ("no_speech", below(F.col("speech_seconds"), g.min_speech_seconds)),
         ("low_speech_ratio", below(F.col("speech_ratio"), g.min_speech_ratio)),
     ]
-    if {"trim_start", "trim_end"} <= has:
-        kept = F.col("trim_end") - F.col("trim_start")
-        out += [("too_short_after_trim", F.coalesce(kept < g.min_duration, F.lit(False))), ("too_long_after_trim", F.coalesce(kept > g.max_duration, F.lit(False)))]
+    if g.trim and "trimmed" in has:  # seconds that are left
+        out += [("too_short_after_trim", below(F.col("trimmed"), g.min_duration)), ("too_long_after_trim", above(F.col("trimmed"), g.max_duration))]
     return out
 
 
@@ -108,13 +110,13 @@ def gate(df: DataFrame, checks: Sequence[tuple[str, Column]], stage: str) -> Dat
     })
 
 
-def decide_quality(df: DataFrame, g: Quality, stage: str = "quality") -> DataFrame:
-    """Sets status to keep or low_quality, adds all failing checks to reasons once, and quality_failures."""
+def decide_quality(df: DataFrame, g: Quality, stage: str | None = "quality") -> DataFrame:
+    """Sets status to keep or low_quality, adds all failing checks to reasons once, and quality_failures; stage None leaves the stage."""
     failures = all_hits(quality_checks(df, g))
     return df.withColumns({
         "quality_failures": failures,
         "status": F.when(F.size(failures) > 0, LOW_QUALITY).otherwise(KEEP),
-        "stage": F.lit(stage),
+        "stage": F.col("stage") if stage is None else F.lit(stage),
         "reasons": F.array_union("reasons", failures),
     })
 

@@ -19,6 +19,10 @@ MEASURES = {
 _FRAME_RANGE_DB = 25.0
 
 
+#: Bytes in, samples from -1 to 1 and their rate out; whatever it raises makes a clip unreadable.
+Decoder = Callable[[bytes], tuple[np.ndarray, int]]
+
+
 def measures(x: np.ndarray, rate: int, spans_of: Spans = audio.energy_spans) -> dict:
     """All measures of one clip; what can't be measured is None."""
     out = dict.fromkeys(MEASURES) | {"duration": len(x) / rate, "sample_rate": rate}
@@ -45,8 +49,9 @@ def measures(x: np.ndarray, rate: int, spans_of: Spans = audio.energy_spans) ->
     return {k: (float(v) if isinstance(v, np.floating) else v) for k, v in out.items()}
 
 
-def measure_clips(clips: DataFrame, key: str = "uid", content: str = "content", spans_of: Spans = audio.energy_spans) -> DataFrame:
-    """key and the MEASURES of each clip's WAV bytes; bytes that can't be decoded are 'unreadable'.
+def measure_clips(clips: DataFrame, key: str = "uid", content: str = "content", spans_of: Spans = audio.energy_spans, decode: Decoder = audio.decode_wav) -> DataFrame:
+    """key and the MEASURES of each clip's bytes: WAV, or what decode reads. Bytes that can't be decoded are
+    'unreadable'; a clip on which spans_of or a measure fails is 'failed', and the others go on.
 
     spans_of(samples, rate) finds speech; a model's loads once for each worker if it keeps it in its module.
     """
@@ -55,10 +60,13 @@ def measure_clips(clips: DataFrame, key: str = "uid", content: str = "content",
 
     def one(data: bytes | None) -> dict:
         try:
-            x, rate = audio.decode_wav(data)
+            x, rate = decode(data)
         except Exception:  # noqa: BLE001  whatever is wrong with the bytes is a result, not a failure of the job
             return dict.fromkeys(MEASURES) | {"unusable": "unreadable"}
-        return measures(x, rate, spans_of)
+        try:
+            return measures(x, rate, spans_of)
+        except Exception:  # noqa: BLE001  so is a model that fails on one clip
+            return dict.fromkeys(MEASURES) | {"duration": len(x) / rate, "sample_rate": rate, "unusable": "failed"}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,3 +77,42 @@ def measure_clips(clips: DataFrame, key: str = "uid", content: str = "content",
 
     fields = ", ".join(f"{k} {v}" for k, v in MEASURES.items())
     return clips.select(key, content).mapInArrow(rows, f"key {kind}, {fields}").withColumnRenamed("key", key)
+
+
+def trim_clips(clips: DataFrame, decode: Decoder = audio.decode_wav) -> DataFrame:
+    """uid, content, source and shard of clips (also trim_start and trim_end) as WAV of the mean channel from one to the other."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 64):
+                part = batch.slice(k, 64)
+                out = []
+                for data, start, end in zip(*(part.column(c).to_pylist() for c in (1, 4, 5)), strict=True):
+                    x, rate = decode(data)
+                    out.append(audio.encode_wav(x[int(start * rate) : max(int(end * rate), int(start * rate))], rate))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary()), part.column(2), part.column(3)], ["uid", "content", "source", "shard"])
+
+    return clips.select("uid", "content", "source", "shard", "trim_start", "trim_end").mapInArrow(rows, "uid string, content binary, source string, shard int")
+
+
+def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav) -> DataFrame:
+    """uid, content, duration and sample_rate of clips as 16-bit mono WAV at a rate; clips that can't be read are left out."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 64):
+                part = batch.slice(k, 64)
+                keep, out, seconds = [], [], []
+                for row, data in enumerate(part.column(1).to_pylist()):
+                    try:
+                        x, own = decode(data)
+                    except Exception:  # noqa: BLE001  the record is left as it is
+                        continue
+                    x = audio.resampled(x, own, rate)
+                    keep.append(row)
+                    out.append(audio.encode_wav(x, rate))
+                    seconds.append(len(x) / rate)
+                columns = [part.column(0).take(pa.array(keep, pa.int64())), pa.array(out, pa.binary()), pa.array(seconds, pa.float64()), pa.array([rate] * len(out), pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["uid", "content", "duration", "sample_rate"])
+
+    return clips.select("uid", "content").mapInArrow(rows, "uid string, content binary, duration double, sample_rate int")

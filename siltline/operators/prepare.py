@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.functions.expr import fixed4, hours
+from siltline.functions.expr import bucket, fixed4, hours
 from siltline.schema import KEEP, LOW_QUALITY, PENDING
 from siltline.shared import ranked
 
@@ -45,10 +47,48 @@ def metadata_rows(df: DataFrame, extension: str = "flac", extra: tuple[str, ...]
     return df.select("uid", "source", file.alias("file"), F.format_string("%.3f", F.col("duration")).alias("duration"), "text", *scores, *extra)
 
 
-def write_metadata(df: DataFrame, folder: str) -> None:
-    """A CSV folder for each bucket and source, sorted by uid; reruns replace what they write."""
-    bucket = F.try_element_at(F.create_map(*[F.lit(x) for kv in BUCKETS.items() for x in kv]), F.col("status"))
-    kept = df.withColumn("bucket", bucket).where("bucket is not null")
-    out = metadata_rows(kept, extra=("bucket",)).withColumn("source_key", F.col("source"))
-    out = out.repartition("bucket", "source_key").sortWithinPartitions("uid")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "source_key").option("header", True).option("escape", '"').csv(folder)
+def bucketed(df: DataFrame, buckets: Mapping[str, str] = BUCKETS) -> DataFrame:
+    """Materialized records with their bucket; those of a status without one are left out."""
+    return df.where(F.col("stage") == "materialize").withColumn("bucket", bucket(F.col("status"), buckets)).where("bucket is not null")
+
+
+def write_metadata(df: DataFrame, folder: str, extension: str = "wav", buckets: Mapping[str, str] = BUCKETS) -> None:
+    """CSV files by uid of materialized records: <folder>/by_source for each bucket and source, <folder>/combined for each bucket.
+
+    The file column is relative to the bucket's and source's folder, or to the bucket's. Rows are
+    dealt out by ranges, so that no bucket or source meets in one task. Reruns replace what they write.
+    """
+    kept = bucketed(df, buckets).withColumn("source_key", F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")))
+    rows = metadata_rows(kept, extension, extra=("bucket", "source_key"))
+    whole = rows.withColumn("file", F.concat_ws("/", "source_key", "file")).drop("source_key")
+    for name, out, keys in (("by_source", rows, ["bucket", "source_key"]), ("combined", whole, ["bucket"])):
+        out = out.repartitionByRange(*keys, "uid").sortWithinPartitions(*keys, "uid")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+
+
+def index_rows(parts: DataFrame) -> DataFrame:
+    """Rows of the index files of a split, in its order: part, place, uid, source, duration, text and dnsmos_ovrl, empty where it wasn't measured."""
+    score = F.coalesce(F.col("dnsmos_ovrl").cast("string"), F.lit("")) if "dnsmos_ovrl" in parts.columns else F.lit("")
+    return parts.select("part", "place", "uid", "source", F.format_string("%.3f", F.col("duration")).alias("duration"), "text", score.alias("dnsmos_ovrl"))
+
+
+def write_index(parts: DataFrame, folder: str) -> None:
+    """CSV files of each part of a split, in its order; no folder for a part without rows."""
+    rows = index_rows(parts).repartitionByRange("part", "place").sortWithinPartitions("part", "place").drop("place")
+    rows.write.mode("overwrite").partitionBy("part").option("header", True).option("escape", '"').csv(folder)
+
+
+def dataset_summary(parts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """One row: train_files, val_files, train_hours, by_source (files of the training part) and dropped (candidates by drop_reason)."""
+    train = F.col("part") == "train"
+    counts = parts.agg(
+        F.count(F.when(train, 1)).alias("train_files"), F.count(F.when(~train, 1)).alias("val_files"), F.coalesce(hours(F.when(train, F.col("duration"))), F.lit(0.0)).alias("train_hours")
+    )
+
+    def mapped(df: DataFrame, key: str, out: str) -> DataFrame:
+        one = df.groupBy(key).agg(F.count("*").alias("n"))  # a row for each source or reason
+        return one.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n")))).alias(out))
+
+    by_source = mapped(parts.where(train), "source", "by_source")
+    dropped = mapped(candidates.where("drop_reason is not null"), "drop_reason", "dropped")
+    return counts.join(F.broadcast(by_source), how="left").join(F.broadcast(dropped), how="left")

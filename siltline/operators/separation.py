@@ -27,12 +27,15 @@ def joined(signals: list[np.ndarray], rate: int, guard: float, peak: float) -> t
     return (np.concatenate(pieces) if pieces else np.zeros((0, 2))), places
 
 
-def separated(clips: DataFrame, separate: Separator, unit: list[str], rate: int = 44_100, guard: float = 0.5, peak: float = 0.7) -> DataFrame:
+def separated(
+    clips: DataFrame, separate: Separator, unit: list[str], rate: int = 44_100, guard: float = 0.5, peak: float = 0.7,
+    decode: Callable[..., tuple[np.ndarray, int]] = audio.decode_wav, singly: bool = False,
+) -> DataFrame:
     """(uid, content, reason) of clips (uid, content, position and the unit columns, batch among them).
 
     A batch is one group, of a length that its packing bounds. A clip that can't be read is
     'unreadable'; if the separator fails on a batch its clips are tried one by one, and what
-    fails then, or comes back empty, is 'separation_failed'.
+    fails then, or comes back empty, is 'separation_failed'. singly separates each clip by itself from the start.
     """
 
     def batch(rows: pd.DataFrame) -> pd.DataFrame:
@@ -40,14 +43,14 @@ def separated(clips: DataFrame, separate: Separator, unit: list[str], rate: int
         names, signals, out = [], [], []
         for name, data in zip(rows["uid"], rows["content"], strict=True):
             try:
-                x, own = audio.decode_wav(data, mono=False)
+                x, own = decode(data, mono=False)
                 x = audio.stereo(x)
                 signals.append(np.stack([audio.resampled(c, own, rate) for c in x.T], 1))
                 names.append(name)
             except Exception:  # noqa: BLE001
                 out.append((name, None, "unreadable"))
         try:
-            results = _cut(signals)
+            results = [y for x in signals for y in _cut([x])] if singly else _cut(signals)
         except Exception:  # noqa: BLE001
             results = []
             for x in signals:

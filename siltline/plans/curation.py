@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from siltline.config import Settings
 from siltline.functions import audio
+from siltline.functions.expr import bucket
 from siltline.functions.signal import span_stats, trim_bounds
 from siltline.operators import analytics, gates, prepare
 from siltline.operators.batches import greedy_batches
 from siltline.operators.manifest import alive, pending_for, upsert
-from siltline.operators.measure import measure_clips
+from siltline.operators.measure import encode_clips, measure_clips, trim_clips
 from siltline.operators.separation import Separator, separated, unchanged
-from siltline.schema import MANIFEST, METRICS, REJECTED, STAGES
-from siltline.shared import checkpointed
+from siltline.schema import MANIFEST, METRICS, REJECTED, STAGES, stage_ordinal
+from siltline.shared import checkpointed, remove
 from siltline.sources.manifest_files import read_table, write_table
 
 #: Rows of (uid, content) in, rows of uid and any of the measures in the schema out.
 Scorer = Callable[[DataFrame], DataFrame]
+#: The run and its flat pending records in, those records with their stage, status and reasons out.
+Stage = Callable[["Curation", DataFrame], DataFrame]
 
 
 def flat(records: DataFrame) -> DataFrame:
@@ -36,28 +39,69 @@ def nested(df: DataFrame) -> DataFrame:
     return df.select(*(value(f) for f in MANIFEST.fields if f.name != "metrics"), F.struct(*(value(f) for f in METRICS.fields)).alias("metrics"))
 
 
+def vad_columns(df: DataFrame, spans: Column, duration: Column, rate: Column, g: gates.Speech) -> DataFrame:
+    """Adds what speech spans say of clips, untrimmed, and where and how long a trimmed clip would be."""
+    stats, some = span_stats(spans, duration), F.size(spans) > 0
+    start, end, moved = trim_bounds(F.when(some, spans), duration, g.trim_pad)
+    at = lambda t: F.least(F.floor(t * rate), F.round(duration * rate))
+    return df.withColumns({
+        "num_speech_segments": stats["num_speech_segments"], "speech_seconds": stats["speech_seconds"], "speech_ratio": stats["speech_ratio"],
+        "speech_segments": F.when(some, spans), "_moved": F.when(some, moved), "trim_start": F.when(some, start), "trim_end": F.when(some, end),
+        "trimmed": F.when(some, F.greatest(at(end) - at(start), F.lit(0)) / rate),
+    })
+
+
+def vad_decided(df: DataFrame, g: gates.Speech) -> DataFrame:
+    """The gate of speech over vad_columns: clips that pass get their trimmed duration, rate and spans (_cut says which), or keep the whole."""
+    out = gates.gate(df, gates.speech_checks(df, g), "vad").withColumn("_cut", (F.col("status") != REJECTED) & F.lit(g.trim) & F.col("trim_start").isNotNull())
+    cut, passed = F.col("_cut"), F.col("status") != REJECTED
+    return out.withColumns({
+        "duration": F.when(cut, F.col("trimmed")).when(passed & F.lit(not g.trim), F.coalesce("_long", "duration")).otherwise(F.col("duration")),
+        "sample_rate": F.when(cut, F.col("_rate")).otherwise(F.col("sample_rate")), "speech_segments": F.when(cut, F.col("_moved")).otherwise(F.col("speech_segments")),
+        "trim_start": F.when(cut, F.col("trim_start")), "trim_end": F.when(cut, F.col("trim_end")),
+    }).drop("_moved", "trimmed")
+
+
 class Curation:
     """The manifest table at a folder and the clips' bytes (uid, content) that the measuring stages read."""
 
-    def __init__(self, spark: SparkSession, folder: str, clips: DataFrame, settings: Settings | None = None, spans_of=audio.energy_spans, separator: Separator = unchanged, scorers: tuple[Scorer, ...] = ()):
-        self.spark, self.folder, self.clips, self.settings = spark, folder, clips, settings or Settings()
-        self.spans_of, self.separator, self.scorers = spans_of, separator, scorers
+    def __init__(
+        self, spark: SparkSession, folder: str, clips: DataFrame, settings: Settings | None = None, spans_of=audio.energy_spans, separator: Separator = unchanged,
+        scorers: tuple[Scorer, ...] = (), decode=audio.decode_wav, stages: Mapping[str, Stage] | None = None,
+    ):
+        """decode(data, mono) reads the clips' bytes where they are not WAV; stages adds stages by name, or replaces those of a name."""
+        self.spark, self.folder, self.clips, self.settings = spark, folder.rstrip("/"), clips, settings or Settings()
+        self.spans_of, self.separator, self.scorers, self.decode = spans_of, separator, scorers, audio.decoder(decode)
+        own = {name: getattr(type(self), f"_{name}") for name in STAGES[1:]}
+        self.stages: dict[str, Stage] = own | dict(stages or {})
 
     def manifest(self) -> DataFrame:
         return read_table(self.spark, self.folder)
 
-    def _separated(self) -> DataFrame | None:
-        """Clips that earlier runs separated, by source and shard beside the manifest; None before the first."""
+    def _worked(self) -> DataFrame | None:
+        """Clips as stages have left them (separated, trimmed), by source and shard beside the manifest; None before the first."""
         try:
-            return self.spark.read.parquet(f"{self.folder.rstrip('/')}-separated")
+            return self.spark.read.parquet(f"{self.folder}-audio")
         except AnalysisException:
             return None
 
+    def _keep_audio(self, new: DataFrame, units: DataFrame) -> None:
+        """Puts clips (uid, content, source, shard) in place of those of their uid, in the units' partitions."""
+        done = self._worked()
+        if done is not None:
+            new = upsert(done.join(F.broadcast(units), ["source", "shard"], "left_semi").select(new.columns), new, "uid")  # a row for each unit
+        new = checkpointed(new)
+        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(f"{self.folder}-audio")
+
     def audio(self) -> DataFrame:
-        """(uid, content) of each clip: separated if it has been, else as it came."""
-        done, raw = self._separated(), self.clips.select("uid", "content")
+        """(uid, content) of each clip: as the stages have left it, else as it came."""
+        done, raw = self._worked(), self.clips.select("uid", "content")
         return raw if done is None else raw.join(done.select("uid"), "uid", "left_anti").unionByName(done.select("uid", "content"))
 
+    def cleanup(self) -> None:
+        """Removes the clips that stages have kept for one another; what is materialized stays."""
+        remove(self.spark, f"{self.folder}-audio")
+
     def _update(self, changed: DataFrame) -> DataFrame:
         """Writes the partitions that changed rows are in; returns those rows. Nothing is written if there are none."""
         changed = checkpointed(nested(changed))
@@ -74,15 +118,23 @@ class Curation:
         return flat(rows)
 
     def plan(self) -> DataFrame:
-        """Live records that each unit still has ahead of each stage."""
-        return self.manifest().where(F.col("status") != REJECTED).groupBy("source", "shard", "stage").agg(F.count("*").alias("n"))
+        """source, shard, stage, n: how many records of each unit each stage of the settings still has ahead; shards in order, none last."""
+        order = F.posexplode(F.array(*(F.lit(s) for s in self.settings.stages)))
+        rows = alive(self.manifest()).select("source", "shard", "stage").withColumnRenamed("stage", "_at").select("*", order.alias("_k", "stage"))
+        ahead = rows.where(stage_ordinal(F.col("_at")) < stage_ordinal(F.col("stage")))
+        out = ahead.groupBy("source", "shard", "_k", "stage").agg(F.count("*").alias("n"))
+        return out.orderBy("source", F.nullif("shard", F.lit(-1)).asc_nulls_last(), "_k").drop("_k")
 
     def stage(self, name: str, source: str | None = None, shard: int | None = None, force: bool = False) -> DataFrame:
         """Runs one stage over what is pending for it (force: over all live records); returns the changed records."""
-        if name not in self.settings.stages or name not in STAGES:
+        if name not in self.settings.stages or name not in self.stages:
             raise ValueError(f"no such stage: {name}")
-        rows = self._pending(name, source, shard, force)
-        return self._update(getattr(self, f"_{name}")(rows))
+        rows = self._placed(source, shard) if name == "materialize" else self._pending(name, source, shard, force)
+        return self._update(self.stages[name](self, rows))
+
+    def counts(self, changed: DataFrame) -> DataFrame:
+        """What came of the records that a stage returned: seen, alive, keep, low_quality, rejected by unit."""
+        return analytics.stage_counts(changed)
 
     def run(self, source: str | None = None, shard: int | None = None) -> DataFrame:
         """All stages in order, as far as each unit has not been through them; returns the summary."""
@@ -90,15 +142,16 @@ class Curation:
             self.stage(name, source, shard)
         return self.stats()
 
-    def _measured(self, rows: DataFrame) -> DataFrame:
-        found = measure_clips(self.audio().join(rows.select("uid"), "uid", "left_semi"), spans_of=self.spans_of)
-        gone = F.coalesce("_m.unusable", F.when(F.col("_m.uid").isNull(), "unreadable"))
+    def _measured(self, rows: DataFrame, failed: str) -> DataFrame:
+        """rows with measures in _m and unusable; failed names what a clip is on which measuring fails."""
+        found = measure_clips(self.audio().join(rows.select("uid"), "uid", "left_semi"), spans_of=self.spans_of, decode=self.decode)
+        gone = F.coalesce(F.when(F.col("_m.unusable").isin("failed", "unreadable"), failed).otherwise(F.col("_m.unusable")), F.when(F.col("_m.uid").isNull(), failed))
         return rows.join(found.select("uid", F.struct("*").alias("_m")), "uid", "left").withColumn("unusable", gone)
 
     def _prefilter(self, rows: DataFrame) -> DataFrame:
         early = gates.prefilter_checks(rows.select("uid", "duration"), self.settings.prefilter)
         known = rows.withColumn("_skip", (F.col("duration") > 0) & F.coalesce(gates.first_hit(early).isNotNull(), F.lit(False)))
-        measured = self._measured(known.where("not _skip"))
+        measured = self._measured(known.where("not _skip"), "unreadable")
         stats = span_stats(F.col("_m.spans"), F.col("_m.duration"))
         measured = measured.withColumns({
             "duration": F.coalesce("_m.duration", "duration"), "sample_rate": F.coalesce("_m.sample_rate", "sample_rate"), "raw_rms_dbfs": F.col("_m.rms_dbfs"),
@@ -110,33 +163,56 @@ class Curation:
     def _separate(self, rows: DataFrame) -> DataFrame:
         s = self.settings.separate
         placed = greedy_batches(rows, ["source", "shard"], "uid", s.target_seconds).join(self.clips, "uid")
-        found = separated(placed, self.separator, ["source", "shard", "batch"], s.sample_rate, s.guard_seconds, s.peak)
+        found = separated(placed, self.separator, ["source", "shard", "batch"], s.sample_rate, s.guard_seconds, s.peak, self.decode, s.singly)
         found = checkpointed(found)
-        new = found.where("content is not null").join(rows.select("uid", "source", "shard"), "uid")
-        done = self._separated()
-        if done is not None:
-            units = rows.select("source", "shard").distinct()
-            new = upsert(done.join(F.broadcast(units), ["source", "shard"], "left_semi").select(new.columns), new, "uid")  # a row for each unit
-        new = checkpointed(new)
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(f"{self.folder.rstrip('/')}-separated")
+        self._keep_audio(found.where("content is not null").join(rows.select("uid", "source", "shard"), "uid").select("uid", "content", "source", "shard"), rows.select("source", "shard").distinct())
         named = rows.join(found.select("uid", F.coalesce("reason", F.lit("")).alias("_reason")), "uid", "left")
         reason = F.coalesce("_reason", F.lit("separation_failed"))
         return gates.gate(named, [(r, reason == r) for r in ("unreadable", "separation_failed")], "separate")
 
     def _vad(self, rows: DataFrame) -> DataFrame:
-        measured = self._measured(rows)
-        spans, duration = F.col("_m.spans"), F.col("_m.duration")
-        stats = span_stats(spans, duration)
-        some = F.size(spans) > 0
-        start, end, moved = trim_bounds(F.when(some, spans), duration, 0.1)
-        out = measured.withColumns({
-            "vocal_rms_dbfs": F.col("_m.rms_dbfs"), "vad_snr_db": F.col("_m.snr_db"), "num_speech_segments": stats["num_speech_segments"],
-            "speech_seconds": stats["speech_seconds"], "speech_ratio": stats["speech_ratio"], "trim_start": F.when(some, start), "trim_end": F.when(some, end), "speech_segments": F.when(some, moved),
-        })
-        return gates.gate(out.drop("_m"), gates.speech_checks(out, self.settings.vad), "vad")
+        g = self.settings.vad
+        out = vad_columns(self._measured(rows, "vad_failed"), F.col("_m.spans"), F.col("_m.duration"), F.col("_m.sample_rate"), g)
+        out = out.withColumns({"vocal_rms_dbfs": F.col("_m.rms_dbfs"), "vad_snr_db": F.coalesce("_m.snr_db", "vad_snr_db"), "_rate": F.col("_m.sample_rate"), "_long": F.col("_m.duration")}).drop("_m")
+        gated = checkpointed(vad_decided(out, g))
+        if g.trim:
+            cut = gated.where("_cut").select("uid", "source", "shard", "trim_start", "trim_end").join(self.audio(), "uid")
+            self._keep_audio(trim_clips(cut, self.decode), gated.select("source", "shard").distinct())
+        return gated.drop("_cut", "_rate", "_long")
+
+    def _placed(self, source: str | None, shard: int | None) -> DataFrame:
+        """Records of every status that has a bucket."""
+        rows = self.manifest().where(F.col("status").isin(*self.settings.materialize.buckets()))
+        rows = rows if source is None else rows.where(F.col("source") == source)
+        return flat(rows if shard is None else rows.where(F.col("shard") == shard))
+
+    def _materialize(self, rows: DataFrame) -> DataFrame:
+        """Clips at the final rate as one table, <folder>-out/clips (bucket, uid, content, by source and shard), and metadata files beside it.
+
+        Records that are there in their bucket already are left alone; one without audio stays as it is.
+        """
+        m, out = self.settings.materialize, f"{self.folder}-out"
+        if not m.enabled:
+            return rows.limit(0)
+        where = F.concat_ws("/", F.lit(out), bucket(F.col("status"), m.buckets()), F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")), F.concat("uid", F.lit(".wav")))
+        todo = rows.withColumn("_path", where).where((F.col("stage") != "materialize") | (F.col("path") != F.col("_path")))
+        made = checkpointed(encode_clips(self.audio().join(todo.select("uid"), "uid", "left_semi"), m.sample_rate, self.decode))
+        done = todo.join(made.drop("content").withColumnsRenamed({"duration": "_d", "sample_rate": "_r"}), "uid")
+        done = checkpointed(done.withColumns({"path": F.col("_path"), "duration": F.col("_d"), "sample_rate": F.col("_r"), "stage": F.lit("materialize")}).drop("_path", "_d", "_r"))
+        new = made.select("uid", "content").join(done.select("uid", "source", "shard", bucket(F.col("status"), m.buckets()).alias("bucket"), "path"), "uid")
+        try:
+            units = done.select("source", "shard").distinct()
+            old = self.spark.read.parquet(f"{out}/clips").join(F.broadcast(units), ["source", "shard"], "left_semi")  # a row for each unit
+            new = upsert(old.select(new.columns), new, "uid")
+        except AnalysisException:
+            pass  # the first time
+        checkpointed(new).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(f"{out}/clips")
+        whole = upsert(flat(self.manifest()).select(done.columns), done, "uid")
+        prepare.write_metadata(whole, f"{out}/metadata", buckets={s: b for s, b in m.buckets().items() if s != REJECTED})
+        return done
 
     def _quality(self, rows: DataFrame) -> DataFrame:
-        out = self._measured(rows).withColumns({c: F.col(f"_m.{c}") for c in ("rms_dbfs", "peak_dbfs", "clipping_ratio", "dc_offset", "bandwidth_hz", "lufs")}).drop("_m")
+        out = self._measured(rows, "quality_failed").withColumns({c: F.col(f"_m.{c}") for c in ("rms_dbfs", "peak_dbfs", "clipping_ratio", "dc_offset", "bandwidth_hz", "lufs")}).drop("_m")
         for scorer in self.scorers:
             scores = scorer(self.audio())
             new = [c for c in scores.columns if c != "uid"]
@@ -144,14 +220,14 @@ class Curation:
             out = out.withColumns({c: F.coalesce(f"_{c}", c) for c in new}).drop(*(f"_{c}" for c in new))
         bad = out.where("unusable is not null")
         good = gates.decide_quality(out.where("unusable is null"), self.settings.quality)
-        return good.unionByName(gates.gate(bad, [(r, F.col("unusable") == r) for r in ("empty_audio", "corrupt_audio", "unreadable")], "quality"))
+        return good.unionByName(gates.gate(bad, [(r, F.col("unusable") == r) for r in ("empty_audio", "corrupt_audio", "quality_failed")], "quality"))
 
-    def rescore(self, dry_run: bool = False) -> DataFrame:
-        """Decides scored records anew; returns the transitions counted. Any changed reason is written, unless dry_run."""
+    def rescore(self, dry_run: bool = False, source: str | None = None) -> DataFrame:
+        """Decides scored records (of one source) anew; returns the transitions counted. Any changed reason is written, unless dry_run; stages stay."""
         rows = flat(self.manifest())
-        counted = checkpointed(analytics.transitions(rows, self.settings.quality))
+        counted = checkpointed(analytics.transitions(rows, self.settings.quality, source))
         if not dry_run:
-            self._update(analytics.relabelled(rows, self.settings.quality).drop("before"))
+            self._update(analytics.relabelled(rows, self.settings.quality, source).drop("before"))
         return counted
 
     def calibrate(self, keep: float = 0.7) -> dict[str, DataFrame]:
@@ -168,6 +244,17 @@ class Curation:
 
     def training_set(self) -> DataFrame:
         """Kept records that pass the training filters, in a repeatable order, with part 'val' or 'train'."""
+        return self.prepare()[0]
+
+    def prepare(self, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+        """The training set and its summary; with a folder its index and summary are written there. No candidate at all is an error."""
         t = self.settings.training
-        kept = gates.drop_reason(flat(self.manifest()).where("status = 'keep'"), self.settings.candidates).where("drop_reason is null")
-        return prepare.split(kept, t.seed, t.val_fraction, t.max_files)
+        asked = gates.drop_reason(flat(self.manifest()).where("status = 'keep'"), self.settings.candidates)
+        parts = checkpointed(prepare.split(asked.where("drop_reason is null"), t.seed, t.val_fraction, t.max_files))
+        if parts.isEmpty():
+            raise RuntimeError("no clip passes the training filters")
+        summary = prepare.dataset_summary(parts, asked)
+        if folder:
+            prepare.write_index(parts, f"{folder.rstrip('/')}/index")
+            summary.write.mode("overwrite").json(f"{folder.rstrip('/')}/summary")
+        return parts, summary

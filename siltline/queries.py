@@ -20,8 +20,9 @@ from siltline.operators import analytics, batches, gates, manifest, prepare
 from siltline.operators.measure import measure_clips
 from siltline.plans import curation
 from siltline.schema import KEEP
-from siltline.shared import shared_folder
-from siltline.sources.manifest_files import read_json, write_json
+from siltline.shared import ranked, shared_folder
+from siltline.sources import readers
+from siltline.sources.manifest_files import read_json, write_json, write_table
 from siltline.streaming import ingest
 
 RATE = 1000.0
@@ -162,9 +163,9 @@ def alive_records(spark, d):
     return manifest.alive(records(spark, d)).select("uid", "status")
 
 
-@query(f"WITH {SCORED} SELECT uid, shard FROM scored WHERE reason IS NULL AND source = 'src3' AND shard = 0")
+@query(f"WITH {SCORED} SELECT uid, shard FROM scored WHERE reason IS NULL")
 def pending_for_vad(spark, d):
-    return manifest.pending_for(scored(spark, d), "vad", source="src3", shard=0).select("uid", "shard")
+    return manifest.pending_for(scored(spark, d), "vad").select("uid", "shard")
 
 
 @query("""SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")
@@ -212,10 +213,11 @@ def uid_inner(spark, d):
     return table(spark, d, "documents").select("doc_id", F.length("text").cast("long").alias("a")).join(b, "doc_id").select("doc_id", (F.col("b") - F.col("a")).alias("longer"))
 
 
-@query(f"""WITH {CLIPS} SELECT CAST(r.shard AS INTEGER) AS shard FROM range(0, 60) r(shard) WHERE r.shard NOT IN (SELECT shard FROM clips)""")
+@query(f"""WITH {CLIPS} SELECT DISTINCT CAST(shard + k AS INTEGER) AS shard FROM clips, (VALUES (0), (7), (90)) v(k) WHERE shard + k NOT IN (SELECT shard FROM clips)""")
 def missing_shards(spark, d):
-    asked = spark.range(60).select(F.col("id").cast("int").alias("shard"))
-    return manifest.missing(asked, clips(spark, d), "shard")
+    c = clips(spark, d)
+    asked = c.select(F.explode(F.array(F.col("shard"), F.col("shard") + 7, F.col("shard") + 90)).alias("shard")).distinct()
+    return manifest.missing(asked, c, "shard")
 
 
 @query("""SELECT doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)""")
@@ -328,13 +330,77 @@ def batching_verdict(spark, d):
     return out.select("n", *(F.round(c, 6).alias(c) for c in out.columns[1:-1]), "passed")
 
 
-@query("""WITH t AS (SELECT s_suppkey, (s_suppkey % 10) * 1.0e0 + 1 AS single, (s_suppkey % 23) * 1.0e0 AS parallel FROM supplier)
- SELECT s_suppkey, round(parallel / single, 6) AS gain, round(CASE WHEN parallel > 0 THEN 35 * 1024 / parallel / 3600 END, 6) AS eta_hours,
- CASE WHEN parallel <= 0 THEN 'unreachable' WHEN parallel / single >= 2.0e0 THEN 'parallel' WHEN parallel / single >= 1.2e0 THEN 'either' ELSE 'stream' END AS advice FROM t""")
+# The rule: a slow link if baseline and single are both under 5 MB/s; else a slow host if single is under half of the baseline; parallel pays from twice the speed on, else the pipe is full.
+@query("""WITH t AS (SELECT s_suppkey, CASE WHEN s_suppkey % 7 > 0 THEN (s_suppkey % 13) * 1.0e0 END AS baseline, (s_suppkey % 10) * 1.0e0 AS single, CASE WHEN s_suppkey % 3 > 0 THEN (s_suppkey % 23) * 1.0e0 END AS parallel FROM supplier),
+ e AS (SELECT *, 35 * 1024 / nullif(single, 0) / 3600 AS h1, 35 * 1024 / nullif(parallel, 0) / 3600 AS h2 FROM t)
+ SELECT s_suppkey, round(parallel / nullif(single, 0), 6) AS gain, CASE WHEN single = 0 THEN 'inf h' WHEN h1 >= 1 THEN printf('%.1f h', h1) ELSE printf('%.0f min', h1 * 60) END AS eta_single,
+ CASE WHEN parallel IS NULL THEN '' WHEN parallel = 0 THEN 'inf h' WHEN h2 >= 1 THEN printf('%.1f h', h2) ELSE printf('%.0f min', h2 * 60) END AS eta_parallel,
+ CASE WHEN baseline < 5 AND single < 5 THEN 'slow_link' WHEN single < baseline * 0.5e0 THEN 'slow_host' END AS link,
+ CASE WHEN parallel / nullif(single, 0) >= 2.0e0 THEN 'parallel' WHEN parallel / nullif(single, 0) < 2.0e0 THEN 'full' END AS advice FROM e""")
 def throughput_verdict(spark, d):
-    t = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 10 + 1.0).alias("single"), (F.col("s_suppkey") % 23).cast("double").alias("parallel"))
+    k = F.col("s_suppkey")
+    t = table(spark, d, "supplier").select(
+        "s_suppkey", F.when(k % 7 > 0, (k % 13).cast("double")).alias("baseline"), (k % 10).cast("double").alias("single"), F.when(k % 3 > 0, (k % 23).cast("double")).otherwise(float("nan")).alias("parallel"),
+    )
     out = analytics.throughput_verdict(t, 35)
-    return out.select("s_suppkey", F.round("gain", 6).alias("gain"), F.round("eta_hours", 6).alias("eta_hours"), "advice")
+    return out.select("s_suppkey", F.round("gain", 6).alias("gain"), "eta_single", "eta_parallel", "link", "advice")
+
+
+@query(f"""WITH {RECORDS} SELECT source, shard, stage, count(*) AS seen, count(*) FILTER (status IN ('pending', 'keep')) AS alive, count(*) FILTER (status = 'keep') AS keep, count(*) FILTER (status = 'low_quality') AS low_quality, count(*) FILTER (status = 'rejected') AS rejected FROM records GROUP BY 1, 2, 3""")
+def stage_counts(spark, d):
+    return analytics.stage_counts(records(spark, d))
+
+
+@query(f"""WITH {DECIDED} SELECT uid, 'quality' AS stage, source FROM decided WHERE source = 'src2' AND (dnsmos_ovrl IS NOT NULL OR bandwidth_hz IS NOT NULL)""")
+def rescore_keeps_stage(spark, d):
+    """One source decided anew: the stage that a record has reached stays."""
+    return analytics.relabelled(records(spark, d), STRICT, source="src2").select("uid", "stage", "source")
+
+
+# The rule: a comparison with NaN is false, so such a duration is neither too short nor too long.
+@query("""SELECT event_id, CASE WHEN event_id % 5 = 0 THEN '' WHEN value / 10 < 1.0e0 THEN 'too_short' WHEN value / 10 > 30.0e0 THEN 'too_long' ELSE '' END AS reason FROM events""")
+def prefilter_nan_duration(spark, d):
+    odd = F.when(F.col("event_id") % 10 == 0, float("nan")).when(F.col("event_id") % 5 != 0, F.col("value") / 10)
+    e = table(spark, d, "events").select("event_id", odd.alias("duration"), F.lit("pending").alias("status"), F.array().cast("array<string>").alias("reasons"))
+    out = gates.gate(e, gates.prefilter_checks(e, gates.Prefilter()), "prefilter")
+    return out.select("event_id", F.array_join("reasons", ",").alias("reason"))
+
+
+@query(f"""WITH {CLIPS}, u AS (SELECT DISTINCT source, CASE WHEN shard % 5 = 4 THEN NULL ELSE shard END AS shard FROM clips) SELECT source, shard, row_number() OVER (ORDER BY source, shard NULLS LAST) AS place FROM u""")
+def unit_order(spark, d):
+    """Units in the order they are worked off: by source and shard, those without a shard last."""
+    u = clips(spark, d).select("source", F.when(F.col("shard") % 5 != 4, F.col("shard")).alias("shard")).distinct()
+    return ranked(u.withColumn("_none", F.col("shard").isNull()), "source", "_none", "shard", out="place").drop("_none")
+
+
+@query(f"WITH {CLIPS} SELECT uid, duration FROM clips ORDER BY uid LIMIT 25")
+def smoke_slice(spark, d):
+    """The first 25 clips by uid, to try a run on."""
+    return clips(spark, d).select("uid", "duration").orderBy("uid").limit(25)
+
+
+@query(r"""WITH n AS (SELECT page_id, CASE WHEN page_id % 6 = 0 THEN [] ELSE [concat('a', page_id, CASE WHEN page_id % 2 = 0 THEN '_(Instrumental).wav' ELSE '_(Vocals).wav' END), concat('b', page_id, CASE WHEN page_id % 3 = 0 THEN '_instrument.wav' ELSE '.wav' END)] END AS names FROM pages)
+ SELECT page_id, coalesce(list_filter(names, lambda n: NOT contains(lower(n), 'instrument'))[1], names[1]) AS stem FROM n""")
+def vocal_stem(spark, d):
+    k = F.col("page_id")
+    first = F.concat(F.lit("a"), k.cast("string"), F.when(k % 2 == 0, "_(Instrumental).wav").otherwise("_(Vocals).wav"))
+    second = F.concat(F.lit("b"), k.cast("string"), F.when(k % 3 == 0, "_instrument.wav").otherwise(".wav"))
+    names = F.when(k % 6 == 0, F.array().cast("array<string>")).otherwise(F.array(first, second))
+    return table(spark, d, "pages").select("page_id", expr.vocal_stem(names).alias("stem"))
+
+
+@query(f"""WITH {RECORDS} SELECT uid, CASE status WHEN 'keep' THEN 'clean' WHEN 'pending' THEN 'clean' WHEN 'low_quality' THEN 'low_quality' END AS bucket FROM records""")
+def status_buckets(spark, d):
+    return records(spark, d).select("uid", expr.bucket(F.col("status"), prepare.BUCKETS).alias("bucket"))
+
+
+@query(f"""WITH {RECORDS} SELECT source, shard, s.stage, count(*) AS n FROM records, (VALUES ('prefilter', 1), ('separate', 2), ('vad', 3), ('quality', 4), ('materialize', 5)) s(stage, k)
+ WHERE status IN ('pending', 'keep') AND s.k > 4 GROUP BY 1, 2, 3""")
+def stages_ahead(spark, d):
+    """The manifest as a table, and what the plan of a run says of it."""
+    folder = f"{shared_folder(spark)}/plan-{uuid.uuid4().hex}"
+    write_table(curation.nested(records(spark, d).drop("doc_id")), folder)
+    return curation.Curation(spark, folder, table(spark, d, "documents").select(F.lit("").alias("uid"), F.lit(b"").alias("content"))).plan()
 
 
 # ---- batches and training sets ------------------------------------------------------------
@@ -359,10 +425,10 @@ def pack_offsets(spark, d):
     return batches.offsets(batched(spark, d), ["source", "shard"], 0.5).select("uid", "batch", F.round("offset", 6).alias("offset"))
 
 
-_CANDIDATES = DECIDED + """, dropped AS (SELECT uid, source, duration, text, CASE WHEN source IN ('src1') THEN 'other_source' WHEN duration > 0 AND (duration < 2.0e0 OR duration > 20.0e0) THEN 'duration'
+_CANDIDATES = DECIDED + """, dropped AS (SELECT uid, source, duration, text, dnsmos_ovrl, CASE WHEN source IN ('src1') THEN 'other_source' WHEN duration > 0 AND (duration < 2.0e0 OR duration > 20.0e0) THEN 'duration'
  WHEN NOT isnan(dnsmos_ovrl) AND dnsmos_ovrl < 2.5e0 THEN 'below_ovrl_floor' WHEN dnsmos_bak < 3.0e0 THEN 'below_bak_floor' END AS drop_reason FROM decided),
- placed AS (SELECT uid, source, duration, row_number() OVER (ORDER BY md5(concat('7:', uid)), uid) AS place, count(*) OVER () AS total FROM dropped WHERE drop_reason IS NULL),
- parts AS (SELECT uid, source, duration, place, CASE WHEN least(total, 5000) >= 50 AND place <= trunc(least(total, 5000) * 0.1e0) THEN 'val' ELSE 'train' END AS part FROM placed WHERE place <= 5000)"""
+ placed AS (SELECT uid, source, duration, text, dnsmos_ovrl, row_number() OVER (ORDER BY md5(concat('7:', uid)), uid) AS place, count(*) OVER () AS total FROM dropped WHERE drop_reason IS NULL),
+ parts AS (SELECT uid, source, duration, text, dnsmos_ovrl, place, CASE WHEN total >= 50 AND place <= trunc(total * 0.1e0) THEN 'val' ELSE 'train' END AS part FROM placed)"""
 
 
 def candidates(spark, d):
@@ -372,8 +438,8 @@ def candidates(spark, d):
 
 
 def parts(spark, d):
-    stay = candidates(spark, d).where("drop_reason IS NULL").select("uid", "source", "duration")
-    return prepare.split(stay, seed=7, fraction=0.1, cap=5000)
+    stay = candidates(spark, d).where("drop_reason IS NULL").select("uid", "source", "duration", "text", "dnsmos_ovrl")
+    return prepare.split(stay, seed=7, fraction=0.1)
 
 
 @query(f"WITH {_CANDIDATES} SELECT coalesce(drop_reason, 'kept') AS drop_reason, count(*) AS n FROM dropped GROUP BY 1")
@@ -386,6 +452,20 @@ def train_val_split(spark, d):
     return parts(spark, d).select("uid", "source", "duration", "place", "part")
 
 
+@query(f"""WITH {_CANDIDATES} SELECT part, place, uid, source, printf('%.3f', duration) AS duration, text, CASE WHEN dnsmos_ovrl IS NULL THEN '' WHEN isnan(dnsmos_ovrl) THEN 'NaN' ELSE CAST(dnsmos_ovrl AS VARCHAR) END AS dnsmos_ovrl FROM parts""")
+def index_rows(spark, d):
+    return prepare.index_rows(parts(spark, d))
+
+
+@query(f"""WITH {_CANDIDATES} SELECT (SELECT count(*) FROM parts WHERE part = 'train') AS train_files, (SELECT count(*) FROM parts WHERE part = 'val') AS val_files, (SELECT round(sum(duration) / 3600, 2) FROM parts WHERE part = 'train') AS train_hours,
+ (SELECT string_agg(concat(source, '=', n), ',' ORDER BY source) FROM (SELECT source, count(*) AS n FROM parts WHERE part = 'train' GROUP BY 1)) AS by_source,
+ (SELECT string_agg(concat(drop_reason, '=', n), ',' ORDER BY drop_reason) FROM (SELECT drop_reason, count(*) AS n FROM dropped WHERE drop_reason IS NOT NULL GROUP BY 1)) AS dropped""")
+def dataset_summary(spark, d):
+    one = prepare.dataset_summary(parts(spark, d), candidates(spark, d))
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias(c)
+    return one.select("train_files", "val_files", "train_hours", text("by_source"), text("dropped"))
+
+
 @query(f"WITH {_CANDIDATES} SELECT part, source, count(*) AS files, round(sum(duration) / 3600, 2) AS hours FROM parts GROUP BY 1, 2")
 def prepare_summary(spark, d):
     return prepare.prepare_summary(parts(spark, d))
@@ -504,12 +584,27 @@ def vad_span_stats(spark, d):
     return s.withColumns({x: F.round(x, 6) for x in ("speech_seconds", "speech_ratio")})
 
 
-@query(f"""WITH {CLIPS}, s AS (SELECT uid, duration, {_SPANS} AS s FROM clips WHERE doc_id % 4 > 0)
- SELECT uid, greatest(0.0e0, s[1][1] - 0.1e0) AS trim_start, round(least(duration, s[-1][2] + 0.1e0), 6) AS trim_end, round(s[-1][1] - greatest(0.0e0, s[1][1] - 0.1e0), 6) AS last_from FROM s""")
+@query(f"""WITH {CLIPS}, s AS (SELECT uid, duration, {_SPANS} AS s FROM clips)
+ SELECT uid, CASE WHEN len(s) > 0 THEN greatest(0.0e0, s[1][1] - 0.1e0) END AS trim_start, CASE WHEN len(s) > 0 THEN round(least(duration, s[-1][2] + 0.1e0), 6) END AS trim_end, round(s[-1][1] - greatest(0.0e0, s[1][1] - 0.1e0), 6) AS last_from FROM s""")
 def vad_trim_bounds(spark, d):
-    c = clips(spark, d).where("doc_id % 4 > 0")
+    c = clips(spark, d)
     start, end, moved = signal.trim_bounds(_spans(c), F.col("duration"), 0.1)
-    return c.select("uid", start.alias("trim_start"), F.round(end, 6).alias("trim_end"), F.round(F.element_at(moved, -1)[0], 6).alias("last_from"))
+    return c.select("uid", start.alias("trim_start"), F.round(end, 6).alias("trim_end"), F.round(F.try_element_at(moved, F.lit(-1))[0], 6).alias("last_from"))
+
+
+# The rule: the first of no_speech, low_speech_ratio, then by what samples are left too_short_after_trim and too_long_after_trim; what passes is cut, with its spans from the cut on.
+@query(f"""WITH {CLIPS}, s AS (SELECT uid, duration, {_SPANS} AS s FROM clips), t AS (SELECT *, 1.25e0 * len(s) AS speech, CASE WHEN len(s) > 0 THEN greatest(0.0e0, s[1][1] - 0.15e0) END AS a, CASE WHEN len(s) > 0 THEN least(duration, s[-1][2] + 0.15e0) END AS b FROM s),
+ u AS (SELECT *, greatest(least(floor(b * 1000), round(duration * 1000)) - least(floor(a * 1000), round(duration * 1000)), 0) / 1000 AS left_over FROM t),
+ g AS (SELECT *, CASE WHEN speech < 1.0e0 THEN 'no_speech' WHEN (CASE WHEN duration > 0 THEN speech / duration ELSE 0 END) < 0.3e0 THEN 'low_speech_ratio' WHEN left_over < 2.0e0 THEN 'too_short_after_trim' WHEN left_over > 3.5e0 THEN 'too_long_after_trim' END AS reason FROM u)
+ SELECT uid, coalesce(reason, '') AS reason, CASE WHEN reason IS NULL THEN 'pending' ELSE 'rejected' END AS status, round(CASE WHEN reason IS NULL THEN left_over ELSE duration END, 6) AS duration,
+ round(CASE WHEN reason IS NULL THEN a END, 6) AS trim_start, round(CASE WHEN reason IS NULL THEN b END, 6) AS trim_end, round(CASE WHEN reason IS NULL THEN greatest(0.0e0, s[-1][2] - a) ELSE s[-1][2] END, 6) AS last_end FROM g""")
+def vad_trim_applied(spark, d):
+    g = gates.Speech(min_speech_ratio=0.3, min_duration=2.0, max_duration=3.5)
+    c = clips(spark, d)
+    blank = {k: F.lit(None).cast("double") for k in ("vocal_rms_dbfs", "trim_start", "trim_end")} | {"sample_rate": F.lit(0), "_rate": F.lit(1000), "_long": F.col("duration")}
+    out = curation.vad_decided(curation.vad_columns(c.withColumns(blank), _spans(c), F.col("duration"), F.lit(1000), g), g)
+    last = F.try_element_at("speech_segments", F.lit(-1))[1]
+    return out.select("uid", F.array_join("reasons", ",").alias("reason"), "status", *(F.round(x, 6).alias(x) for x in ("duration", "trim_start", "trim_end")), F.round(last, 6).alias("last_end"))
 
 
 # ---- scores, bytes, files and streams ------------------------------------------------------
@@ -539,7 +634,7 @@ def wav_measures(spark, d):
 
     @F.pandas_udf("binary")
     def wav(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: audio.encode_wav(np.tile(v, 50), int(RATE)))
+        return x.map(lambda v: audio.encode_wav(np.tile(np.asarray(v, np.float64), 50), int(RATE)))
 
     return measure_clips(table(spark, d, "embeddings").select("vec_id", wav("embedding").alias("content")), "vec_id").drop("spans")
 
@@ -563,6 +658,62 @@ def stream_ingest(spark, d):
     return spark.read.parquet(f"{folder}/table").groupBy("source").agg(F.count("*").alias("n"))
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS stem, trim(CASE WHEN doc_id % 3 = 0 THEN 'later' ELSE concat('\"', source) END) AS sentence FROM documents")
+def transcript_files(spark, d):
+    """Tab-separated transcripts without quoting, written and read again; the last line of a key counts."""
+    folder = _folder(spark, "transcripts")
+    key = F.concat(F.lit("x/"), F.col("doc_id").cast("string"), F.lit(".mp3"))
+    first = table(spark, d, "documents").select(F.lit(0).alias("k"), key.alias("name"), F.concat(F.lit('"'), "source").alias("said"))
+    lines = first.unionByName(first.where(F.col("name").rlike("[0-9]")).withColumns({"k": F.lit(1), "said": F.lit("later")}).where(F.regexp_extract("name", r"(\d+)", 1).cast("long") % 3 == 0))
+    text = lines.repartition(1, F.lit(0)).sortWithinPartitions("k", "name").select(F.concat_ws("\t", "name", "said").alias("value"))
+    head = spark.createDataFrame([("file_name\tsentence",)], "value string")
+    text.write.text(folder)
+    read = spark.read.text(folder)
+    whole = head.unionAll(read.unionAll(spark.createDataFrame([("\tnobody",)], "value string"))).coalesce(1)
+    whole.write.text(f"{folder}-all")
+    return readers.transcripts(spark, f"{folder}-all")
+
+
+@query("""SELECT concat('c', doc_id, '.wav') AS name, source AS text, strlen(text) AS n FROM documents WHERE length(text) > 0""")
+def audio_parquet_rows(spark, d):
+    """Rows with bytes of an audio Parquet table, written and read again."""
+    folder = _folder(spark, "parquet")
+    docs = table(spark, d, "documents")
+    audio_ = F.struct(F.concat(F.lit("c"), F.col("doc_id").cast("string"), F.lit(".wav")).alias("path"), F.col("text").cast("binary").alias("bytes"))
+    docs.select(audio_.alias("audio"), F.col("source").alias("sentence")).write.parquet(folder)
+    return readers.audio_parquet(spark, folder).select("name", "text", F.octet_length("content").cast("long").alias("n"))
+
+
+@query("""SELECT CAST(vec_id AS VARCHAR) AS stem, round(embedding[1]::DOUBLE, 6) AS nisqa_mos, CASE WHEN vec_id % 4 > 0 THEN round(embedding[2]::DOUBLE, 6) END AS nisqa_dis FROM embeddings""")
+def opinion_files(spark, d):
+    """Score files, written and read again; what is no number is null."""
+    folder = _folder(spark, "scores")
+    e = table(spark, d, "embeddings")
+    x = [F.round(F.col("embedding")[k].cast("double"), 6) for k in (0, 1)]
+    e.select(F.concat(F.lit("a/"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("deg"), x[0].alias("mos_pred"), F.when(F.col("vec_id") % 4 > 0, x[1].cast("string")).otherwise("bad").alias("dis_pred")).write.option("header", True).csv(folder)
+    return readers.opinion_file(spark, folder)
+
+
+@query(f"""WITH {RECORDS} SELECT r.uid, r.source, CAST(printf('%.3f', r.duration) AS DOUBLE) AS duration, d.text FROM records r JOIN documents d USING (doc_id) WHERE r.status IN ('keep', 'low_quality')""")
+def metadata_files(spark, d):
+    """Metadata files of all buckets and sources, written and read again as candidates."""
+    folder = _folder(spark, "metadata")
+    prepare.write_metadata(records(spark, d).withColumn("stage", F.lit("materialize")), folder)
+    return readers.metadata_files(spark, f"{folder}/by_source").select("uid", "source", "duration", "text")
+
+
+@query("""SELECT vec_id, 3.2e0 AS duration, round(20 * log10(sqrt(list_sum(list_transform(q, lambda v: v * v)) / len(q)) + 1e-10), 6) AS rms_dbfs, round(20 * log10(list_max(list_transform(q, lambda v: abs(v))) + 1e-10), 6) AS peak_dbfs,
+ round(list_sum(q) / len(q), 6) AS dc_offset, round(len(list_filter(q, lambda v: abs(v) >= 0.99e0)) / len(q), 6) AS clipping_ratio
+ FROM (SELECT vec_id, list_transform(embedding, lambda v: round_even(greatest(least(v::DOUBLE, 1.0e0), -1.0e0) * 32767, 0) / 32768) AS q FROM embeddings)""")
+def wav_levels(spark, d):
+    """Levels measured from WAV bytes: of 16-bit samples, after a round trip."""
+    return wav_measures(spark, d).select("vec_id", *(F.round(c, 6).alias(c) for c in ("duration", "rms_dbfs", "peak_dbfs", "dc_offset", "clipping_ratio")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 

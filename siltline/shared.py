@@ -23,6 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder, in whatever store it is; none there is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut, in the shared folder."""
     shared_folder(df.sparkSession)

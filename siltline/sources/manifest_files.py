@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from siltline.operators.manifest import last_write_wins
 from siltline.schema import MANIFEST, PENDING
-from siltline.shared import checkpointed, shared_folder
+from siltline.shared import checkpointed, remove, shared_folder
 
 _DEFAULTS = {"source": "", "shard": -1, "source_name": "", "text": "", "path": "", "duration": 0.0, "sample_rate": 0, "status": PENDING, "stage": "fetch"}
 
@@ -31,10 +31,10 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json(records: DataFrame, path: str) -> None:
-    """JSON lines, a folder for each source and shard; NaN is written as a string that number() reads back."""
-    keyed = records.withColumns({"source_key": F.col("source"), "shard_key": F.col("shard")})
-    keyed = keyed.repartition("source_key", "shard_key").sortWithinPartitions("uid")
-    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_key", "shard_key").json(path)
+    """JSON lines, a folder for each source, by shard and uid in files of even size; NaN is written as a string that number() reads back."""
+    keyed = records.withColumn("source_key", F.col("source"))
+    keyed = keyed.repartitionByRange("source_key", "shard", "uid").sortWithinPartitions("source_key", "shard", "uid")
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_key").json(path)
 
 
 def write_table(records: DataFrame, path: str) -> None:
@@ -46,6 +46,7 @@ def write_table(records: DataFrame, path: str) -> None:
     staged = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
     records.write.parquet(staged)
     spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(path)
+    remove(spark, staged)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +87,34 @@ def scanned_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", stem(F.col("path")).alias("uid"), F.element_at(F.split("path", "/"), -2).alias("source"), seconds("content").alias("duration"), F.lit("").alias("text"))
 
 
+def candidates(spark: SparkSession, clean: str, low_quality: str | None = None) -> DataFrame:
+    """Training candidates of the clean folder and, if named, the low-quality one; a folder that is missing has none.
+
+    A folder's metadata files (<source>/metadata.csv) name its candidates, those whose files are
+    there; without such files its WAV files do.
+    """
+    out = None
+    for root in filter(None, (clean, low_quality)):
+        try:
+            files = listing(spark, root)
+            if files.where(F.col("path").rlike(r"/[^/]+/metadata\.csv$")).isEmpty():
+                found = scanned_files(spark, root)
+            else:
+                found = metadata_files(spark, f"{root.rstrip('/')}/*/metadata.csv", files)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        out = found if out is None else out.unionByName(found, allowMissingColumns=True)
+    return spark.createDataFrame([], "path string, uid string, source string, duration double, text string") if out is None else out
+
+
+def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """path, size and time of the files in a folder and below; nothing is read but names."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return raw.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("time"))
+
+
 def layout(names: list[str], explicit: str = "") -> str:
     """The layout of a listing: the explicit one, else tar, parquet or files, whichever is there first."""
     if explicit:
@@ -105,11 +134,11 @@ def work_units(listing: DataFrame, source: str, kind: str, shards: list[int] | N
     return units.where(F.col("shard").isin(shards)) if shards else units
 
 
-def ingested(members: DataFrame, source: str, known: DataFrame, sidecar: DataFrame | None = None, budget: int = 0) -> DataFrame:
+def ingested(members: DataFrame, source: str, known: DataFrame, sidecar: DataFrame | None = None, budget: int = 0, limit: int = 0) -> DataFrame:
     """New records of members (path, name, content, perhaps shard and text), each uid once and none that is known.
 
     The text is the member's own, else the sidecar's, else ''. budget bounds the records of
-    each shard, those that known already holds included.
+    each shard, limit those of the source, those that known already holds included; 0 is no bound.
     """
     has = set(members.columns)
     own = F.col("text") if "text" in has else F.lit("")
@@ -120,4 +149,7 @@ def ingested(members: DataFrame, source: str, known: DataFrame, sidecar: DataFra
     fresh = ingest_once(rows.drop("stem"), known, "uid", "path", "source_name")
     used = known.groupBy("source", "shard").agg(F.count("*").alias("n")) if {"source", "shard"} <= set(known.columns) else None
     fresh = within_budget(fresh, ["source", "shard"], ["uid"], budget, used)
+    if limit > 0:
+        have = known.where(F.col("source") == source).count() if "source" in known.columns else 0
+        fresh = fresh.orderBy("shard", "uid").limit(max(0, limit - have))
     return fresh.withColumns({"status": F.lit(PENDING), "stage": F.lit("fetch"), "reasons": F.array().cast("array<string>")})

@@ -129,7 +129,17 @@ def test_curation_resumes(spark, shards, tmp_path):
     by_uid = {r[0]: r[1:] for r in results[0]}
     assert by_uid["s__d"] == ("rejected", "prefilter", ["unreadable"])
     assert by_uid["s__c"][0] == "rejected"
-    assert by_uid["s__a"] == ("low_quality", "quality", ["band_limited"])
+    assert by_uid["s__a"] == ("low_quality", "materialize", ["band_limited"])
+    # trimmed to the tone of 3 s and what the span finder and the pad leave around it
+    a = run.manifest().where("uid = 's__a'").first()
+    assert 3.0 <= a["duration"] <= 3.6 and a["metrics"]["trim_start"] > 0.2 and a["metrics"]["speech_segments"][0][0] < 0.2 and a["sample_rate"] == 22_050
+    placed = {r["uid"]: r for r in spark.read.parquet(f"{folder}-out/clips").collect()}
+    assert sorted(placed) == ["s__a", "s__b", "s__dup"] and placed["s__a"]["bucket"] == "low_quality"
+    assert audio.header(placed["s__a"]["content"])[:2] == (a["duration"], 22_050) and a["path"].endswith("-out/low_quality/s/s__a.wav")
+    lines = spark.read.option("header", True).csv(f"{folder}-out/metadata/by_source").collect()
+    assert sorted((r["bucket"], r["source_key"], r["file"]) for r in lines) == [("low_quality", "s", f"{u}.wav") for u in sorted(placed)]
+    assert {r["file"] for r in spark.read.option("header", True).csv(f"{folder}-out/metadata/combined").collect()} == {f"s/{u}.wav" for u in placed}
+    assert run.stage("materialize").count() == 0 and run.plan().count() == 0
 
     eased = config.load("quality:\n  min_bandwidth_hz: 100.0")
     _, run = curation(spark, folder, shards, settings=eased)
@@ -137,7 +147,17 @@ def test_curation_resumes(spark, shards, tmp_path):
     assert before == [("low_quality", "keep", 3)] and run.manifest().where("status = 'keep'").count() == 0
     run.rescore()
     assert [tuple(r) for r in run.rescore().collect()] == [("keep", "keep", 3)]
-    assert run.manifest().where("status = 'keep' and size(reasons) = 0").count() == 3
+    assert run.manifest().where("status = 'keep' and size(reasons) = 0 and stage = 'materialize'").count() == 3
+    assert run.rescore(dry_run=True, source="other").count() == 0
+    moved = run.stage("materialize")
+    assert [tuple(r) for r in run.counts(moved).orderBy("shard").collect()] == [("s", 1, "materialize", 3, 3, 3, 0, 0)]
+    assert {r["bucket"] for r in spark.read.parquet(f"{folder}-out/clips").collect()} == {"clean"}
+    parts, summary = run.prepare(str(tmp_path / "set"))
+    one = summary.first()
+    assert (one["train_files"], one["val_files"], one["by_source"], one["dropped"]) == (3, 0, {"s": 3}, None) or one["dropped"] == {}
+    assert spark.read.option("header", True).csv(str(tmp_path / "set" / "index")).count() == 3 and spark.read.json(str(tmp_path / "set" / "summary")).count() == 1
+    run.cleanup()
+    assert run._worked() is None
     assert run.training_set().count() == 3 and {r["part"] for r in run.training_set().collect()} == {"train"}
     assert {r["metric"] for r in run.calibrate()["percentiles"].collect()} >= {"bandwidth_hz", "clipping_ratio"}
     pruned = run.manifest().where("shard = 1")._jdf.queryExecution().executedPlan().toString()
@@ -171,3 +191,88 @@ def test_streams_go_on_where_they_stopped(spark, tmp_path):
     put_in([("b", 4), ("c", 5)])
     take()
     assert sorted((r["uid"], r["n"]) for r in spark.read.parquet(target).collect()) == [("a", 1), ("b", 3), ("c", 5)]
+
+
+def test_plug_ins(spark, tmp_path):
+    """A decoder of another format, a span finder that fails on one clip, a model, and a stage of one's own."""
+    import sys
+
+    from siltline.operators.scorers import folder_scorer, model_scorer
+
+    tone, other = clip(3000, 2), clip(900, 3)
+    clips = spark.createDataFrame([("s__x", bytearray(tone[::-1])), ("s__y", bytearray(other[::-1])), ("s__z", bytearray(b"no"))], "uid string, content binary")
+    rows = clips.select("uid", F.lit("s").alias("source"), F.lit(-1).alias("shard"), F.lit("pending").alias("status"), F.lit("fetch").alias("stage"), F.array().cast("array<string>").alias("reasons"))
+
+    def backwards(data, mono=True):
+        return audio.decode_wav(bytes(data)[::-1], mono)
+
+    def spans(x, rate):
+        if len(x) / rate > 3.5:
+            raise RuntimeError("a model fails")
+        return audio.energy_spans(x, rate)
+
+    def flag(run, df):
+        return df.withColumns({"stage": F.lit("separate"), "text": F.lit("seen")})
+
+    score = model_scorer(lambda: lambda x: {"squim_pesq": float(len(x))}, ["squim_pesq", "squim_stoi"], decode=audio.decoder(backwards))
+    run = Curation(spark, str(tmp_path / "m"), clips, config.load("prefilter:\n  use_vad: false"), spans_of=spans, decode=backwards, scorers=(score,), stages={"separate": flag})
+    write_table(nested(rows), str(tmp_path / "m"))
+    assert {(r["stage"], r["n"]) for r in run.plan().collect()} == {(s, 3) for s in run.settings.stages}
+    run.run()
+    got = {r["uid"]: r for r in run.manifest().collect()}
+    assert got["s__z"]["reasons"] == ["unreadable"] and got["s__y"]["reasons"] == ["unreadable"] and got["s__x"]["text"] == "seen"
+    assert got["s__x"]["metrics"]["squim_pesq"] > 30_000 and np.isnan(got["s__x"]["metrics"]["squim_stoi"])
+    # the same failure in the speech stage is named after it
+    write_table(nested(rows.withColumn("stage", F.lit("separate"))), str(tmp_path / "m"))
+    assert {r["uid"]: r["reasons"] for r in run.stage("vad").collect()} == {"s__x": [], "s__y": ["vad_failed"], "s__z": ["vad_failed"]}
+    short = spark.createDataFrame([("a", bytearray(clip(300, 0.1)[: 44 + 2000]))], "uid string, content binary")
+    assert np.isnan(model_scorer(lambda: lambda x: {"s": 1.0}, ["s"])(short).first()["s"])
+
+    program = "import sys, pathlib; o = pathlib.Path(sys.argv[2]); f = sorted(pathlib.Path(sys.argv[1]).iterdir()); (o / 'r.csv').write_text('deg,mos_pred\\n' + ''.join(f'{p},{p.stat().st_size}\\n' for p in f))"
+    wavs = spark.createDataFrame([("p", bytearray(tone)), ("q", bytearray(other))], "uid string, content binary").coalesce(1)
+    found = folder_scorer(lambda a, b: [sys.executable, "-c", program, a, b], {"mos_pred": "nisqa_mos"})(wavs).collect()
+    assert {r["uid"]: r["nisqa_mos"] for r in found} == {"p": len(tone), "q": len(other)}
+    assert folder_scorer(lambda a, b: [sys.executable, "-c", "raise SystemExit(3)"], {"mos_pred": "nisqa_mos"})(wavs).count() == 0
+
+
+def test_sources_of_settings():
+    s = config.load("sources:\n  - a/b@v2#c d\n  - repo_id: x/y\n    enabled: false\n    shards: [1, 2]\n  - {repo_id: u/v, limit: 5}")
+    assert [x.slug for x in s.sources] == ["c_d", "y", "v"] and s.sources[0].revision == "v2" and s.sources[1].shards == (1, 2)
+    assert [x.slug for x in config.active_sources(s.sources)] == ["c_d", "v"] and [x.limit for x in config.active_sources(s.sources, ["u/v"])] == [5]
+    assert config.load(config.dump(s)) == s
+    for bad in (lambda: config.active_sources(s.sources, ["y"]), lambda: config.source_of({"repo": "x"})):
+        with pytest.raises(KeyError):
+            bad()
+
+
+def test_limits_and_candidates(spark, shards, tmp_path):
+    none = spark.createDataFrame([], "uid string, source string, shard int")
+    assert readers.ingested(read_tars(spark, shards), "s", none, None, 0, 3).count() == 3
+    one = spark.createDataFrame([("s__a", "s", 1)], "uid string, source string, shard int")
+    assert readers.ingested(read_tars(spark, shards), "s", one, None, 2, 3).count() == 2
+    assert readers.candidates(spark, str(tmp_path / "none")).count() == 0
+    for name in ("clean/s", "low/t"):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "k.wav").write_bytes(clip(300, 1))
+    (tmp_path / "clean/s/metadata.csv").write_text("uid,source,file,duration,text\ns__k,s,k.wav,2.0,hi\ns__l,s,gone.wav,2.0,hi\n")
+    assert [r["uid"] for r in readers.candidates(spark, str(tmp_path / "clean")).collect()] == ["s__k"]
+    both = readers.candidates(spark, str(tmp_path / "clean"), str(tmp_path / "low")).collect()
+    assert sorted((r["uid"], r["source"], r["duration"]) for r in both) == [("k", "t", 2.0), ("s__k", "s", 2.0)]
+
+
+def test_a_unit_is_packed_as_it_streams(spark):
+    from siltline.operators.batches import greedy_batches
+
+    r = np.random.default_rng(4)
+    rows = [(f"u{k:05}", k % 3 and 1 or 2, float(x)) for k, x in enumerate(r.choice([0.0, -1.0, 50.0, 100.0, 250.0, 400.0, float("nan")], 30_000))]
+    got = {x["uid"]: (x["position"], x["batch"]) for x in greedy_batches(spark.createDataFrame(rows, "uid string, shard int, duration double"), ["shard"], "uid", 300.0).collect()}
+    for shard in (1, 2):
+        total, batch, place = 0.0, 0, 0
+        for uid, s, d in rows:
+            if s == shard:
+                d = d if d > 0 else 3.0
+                if place and total + d > 300.0:
+                    batch, total = batch + 1, 0.0
+                total += d
+                assert got[uid] == (place, batch)
+                place += 1
