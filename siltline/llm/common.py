@@ -89,6 +89,23 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: A key is heavy with more than this part of all rows and more rows than this: then there can't be more such keys than the first says.
+HEAVY_PART, HEAVY_ROWS = 1000, 10_000
+
+
+def joined_evenly(rows: DataFrame, side: DataFrame, key: str, total: int) -> DataFrame:
+    """rows joined with side (kept, one row for each key, with _n, the rows of that key among total), whatever share of rows a key has.
+
+    Heavy keys, a thousand at most, are broadcast; the others are shuffled.
+    """
+    least = max(total // HEAVY_PART, HEAVY_ROWS)
+    if (side.agg(F.max("_n")).first()[0] or 0) <= least:
+        return rows.join(side.drop("_n"), key)
+    heavy, light = side.where(F.col("_n") > least).drop("_n"), side.where(F.col("_n") <= least).drop("_n")
+    some = rows.join(F.broadcast(heavy), key)
+    return some.unionByName(rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key))
+
+
 def with_fields(kept: list[T.StructField], more: str) -> T.StructType:
     """A task's output: fields as they are, whatever their names, and more in DDL."""
     return T.StructType([*kept, *T.StructType.fromDDL(more).fields])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import checkpointed, freeing, tune
+from siltline.llm.common import checkpointed, freeing, joined_evenly, tune
 from siltline.llm.components import components
 from siltline.llm.simhash import forest
 
@@ -242,9 +242,9 @@ def _found(classes: DataFrame, total: int, width: int, least: float, target: flo
     k = max(1, min(1024, int(np.sqrt(total / 32)), len(sample)))
     grid = spark.sparkContext.broadcast(Grid(*(codebook(h, k, seed) for seed, h in enumerate(halves(sample)))))
     most = cells_needed(classes, grid, total, width, least, target, probe_rows)
-    placed = checkpointed(classes.select("rep", "n", "vec").mapInArrow(_place(grid, most), "rep long, n long, vec array<double>, visits array<long>"))
+    placed = checkpointed(classes.select("rep", "n", "vec").mapInArrow(_place(grid, most), f"rep long, n long, vec {classes.schema['vec'].dataType.simpleString()}, visits array<long>"))
     members = placed.withColumn("cell", F.col("visits")[0])
-    visitors = placed.withColumn("cell", F.explode("visits"))
+    visitors = placed.withColumn("cell", F.explode("visits")).withColumn("visits", F.slice("visits", 1, 1))  # where a visitor is a member
     parts = members.groupBy("cell").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
     parts = parts.join(visitors.groupBy("cell").agg(F.ceil(F.count("*") / VISITORS).alias("lanes")), "cell")
     block = F.pmod(F.xxhash64("rep", F.lit(3)), "blocks")
@@ -278,25 +278,35 @@ def near_duplicates(
     """
     spark = vectors.sparkSession
     tune(spark)
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
-    rows = rows.withColumn("vec", F.when(F.size("vec") == 1, F.transform("vec", F.signum)).otherwise(F.col("vec")))  # one component: only its sign counts
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # floats travel as such; all sums are of doubles
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(kind).alias("vec"))
+    rows = rows.withColumn("vec", F.when(F.size("vec") == 1, F.transform("vec", F.signum).cast(kind)).otherwise(F.col("vec")))  # one component: only its sign counts
     fine = F.col("vec").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fine = fine & F.exists("vec", lambda x: x != 0)
     good = rows.where(fine)
-    classes = good.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    classes = checkpointed(classes.withColumn("rep", F.xxhash64("vec")))
+    grouped = checkpointed(good.groupBy("vec").agg(F.count("*").alias("n"), F.min("id").alias("least")))
+    for seed in range(64):  # a number for each vector: of hashes the first that tells all apart
+        classes = grouped.withColumn("rep", F.xxhash64(F.lit(seed), "vec"))
+        if classes.agg(F.count("*") == F.count_distinct("rep")).first()[0]:
+            break
+    else:
+        raise RuntimeError("no hash tells the vectors apart")
     sizes = classes.groupBy(F.size("vec").alias("size")).agg(F.count("*").alias("total")).where("size > 1 and total > 1").collect()
     found = spark.createDataFrame([], "a long, b long, n long")
     for size, total in sizes:
         found = found.unionAll(_found(classes.where(F.size("vec") == size), total, size, least, target, train_rows, probe_rows))
     counts = found.where("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("more"))
     roots = components(found.where("n = 0").select("a", "b"))
-    classes = classes.join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep"))
-    named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = classes.join(named, "root").select("vec", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id")
-    out = rows.join(classes.withColumnRenamed("vec", "_vec"), F.col("vec") == F.col("_vec"), "left")
+    classes = classes.drop("vec").join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("root", "rep"))
+    classes = checkpointed(classes)
+    sizes = classes.agg(F.count("*"), F.sum("n")).first()
+    named = checkpointed(classes.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("_n")))
+    classes = joined_evenly(classes, named, "root", sizes[0]).select("rep", (F.col("n") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"), "component_id", F.col("n").alias("_n"))
+    classes = checkpointed(classes)
+    linked = joined_evenly(good.select("id", F.xxhash64(F.lit(seed), "vec").alias("rep")), classes, "rep", sizes[1] or 0).select("id", "n_links", "component_id")
+    lone = rows.where(~F.coalesce(fine, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     component = F.coalesce("component_id", "id")
-    return out.select(
-        F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+    return linked.unionByName(lone).select(
+        F.col("id").alias(id_col), F.col("n_links").cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"),
     )

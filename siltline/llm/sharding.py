@@ -11,7 +11,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import checkpointed, freeing, numbered, tune
+from siltline.llm.common import checkpointed, freeing, joined_evenly, numbered, tune
+
+
+#: Groups of a task that are differenced at once.
+BLOCK = 1 << 14
 
 
 def difference(partials: Sequence[Sequence[int]], bins: int) -> np.ndarray:
@@ -59,9 +63,10 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
     """A shard for every row; rows of equal text stay together and the shards' bytes are near equal.
 
     A row's size is the UTF-8 bytes of its text plus 1. Groups of equal text (by SHA-256)
-    are summed before they meet; each task differences the groups dealt to it into one
-    partial partition, and the partial partitions, one of bins sums for each task, are
-    differenced in turn: the same rule on two levels, with nothing but sums at the top.
+    are summed before they meet; each task differences the groups dealt to it, the largest
+    first and BLOCK at a time, into one partial partition, and the partial partitions, one of
+    bins sums for each task, are differenced in turn: the same rule on each level, with nothing
+    but sums at the top.
     Returns the id, size, text_crc32 (unsigned), law ('bytes'), shard, slot (from 0
     without gaps in a shard) and grown_shard (null: this law has none).
 
@@ -78,21 +83,28 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("key"),
     )
     rows = checkpointed(rows)
-    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"))
+    groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("_n")).sortWithinPartitions(F.desc("bytes"), "key")
 
     @freeing
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if len(b)]
-        if batches:
-            held = pa.Table.from_batches(batches).sort_by([("bytes", "descending"), ("key", "ascending")])
-            sizes = held["bytes"].to_pylist()
-            rest = [0] * (bins - 1)
-            bin_ = difference([[s, *rest] for s in sizes], bins)[:, 0]
-            task = np.full(len(sizes), TaskContext.get().partitionId(), np.int64)
-            out = pa.table({"key": held["key"], "bytes": held["bytes"], "task": task, "bin": bin_})
-            yield from out.to_batches(10_000)
-
-    dealt = checkpointed(groups.mapInArrow(local, "key binary, bytes long, task long, bin long"))
+        task, whole = TaskContext.get().partitionId(), [0] * bins
+        for batch in batches:
+            for lo in range(0, len(batch), BLOCK):
+                block = batch.slice(lo, BLOCK)
+                sizes = block.column(1).to_pylist()
+                bin_ = difference([[s, *[0] * (bins - 1)] for s in sizes], bins)[:, 0]
+                sums = [0] * bins
+                for s, k in zip(sizes, bin_.tolist(), strict=True):
+                    sums[k] += s
+                kept, new = difference([whole, sums], bins).tolist()  # the block's bins go where they even out what is there
+                at = {f: k for k, f in enumerate(kept)}
+                to = [at[f] for f in new]
+                for k, s in zip(to, sums, strict=True):
+                    whole[k] += s
+                more = [pa.array(np.full(len(sizes), task, np.int64)), pa.array(np.array(to, np.int64)[bin_])]
+                yield pa.RecordBatch.from_arrays([*block.columns, *more], ["key", "bytes", "_n", "task", "bin"])
+
+    dealt = checkpointed(groups.mapInArrow(local, "key binary, bytes long, _n long, task long, bin long"))
     sums: dict[int, list[int]] = {}
     for r in dealt.groupBy("task", "bin").agg(F.sum("bytes").alias("bytes")).collect():  # bins rows for each task
         sums.setdefault(r["task"], [0] * bins)[r["bin"]] = r["bytes"]
@@ -100,7 +112,8 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
     place = difference([sums[t] for t in tasks], bins).tolist()
     lookup = [(t, b, place[k][b]) for k, t in enumerate(tasks) for b in range(bins)]
     to_shard = docs.sparkSession.createDataFrame(lookup, "task long, bin long, shard int")
-    dealt = dealt.join(F.broadcast(to_shard), ["task", "bin"]).select("key", "shard")
+    dealt = dealt.join(F.broadcast(to_shard), ["task", "bin"]).select("key", "shard", "_n")
+    total = rows.count()
 
     @freeing
     def place_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +129,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bins
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "part", "k"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    met = rows.join(dealt, "key").select("id", "size", "text_crc32", "shard")
+    met = joined_evenly(rows, dealt, "key", total).select("id", "size", "text_crc32", "shard")
     met = met.mapInArrow(place_in_task, f"id {kind}, size long, text_crc32 long, shard int, part long, k long")
     return numbered(checkpointed(met), "shard", "slot", across=False).select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

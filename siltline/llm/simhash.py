@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltline.llm.common import LOWER, checkpointed, freeing, tune, utf8
+from siltline.llm.common import LOWER, checkpointed, freeing, joined_evenly, tune, utf8
 from siltline.llm.components import components
 
 BITS = 64
@@ -189,11 +189,13 @@ def near_duplicates(
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
     rows = checkpointed(rows.mapInArrow(_fingerprints(width), f"id {kind}, f long"))
-    prints = checkpointed(rows.groupBy("f").agg(F.min("id").alias("least")))
+    prints = checkpointed(rows.groupBy("f").agg(F.min("id").alias("least"), F.count("*").alias("_n")))
     roots = components(fingerprint_links(prints.select("f"), most, hot))
-    prints = prints.join(roots, F.col("f") == F.col("node"), "left").select("f", "least", F.coalesce("root", "f").alias("root"))
-    named = prints.groupBy("root").agg(F.min("least").alias("component_id"))
-    prints = prints.join(named, "root").select("f", "component_id")
-    return rows.join(prints, "f").select(
+    prints = prints.join(roots, F.col("f") == F.col("node"), "left").select("f", "least", "_n", F.coalesce("root", "f").alias("root"))
+    prints = checkpointed(prints)
+    sizes = prints.agg(F.count("*"), F.sum("_n")).first()
+    named = checkpointed(prints.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("_n")))
+    prints = checkpointed(joined_evenly(prints.withColumnRenamed("_n", "rows"), named, "root", sizes[0]).select("f", "component_id", F.col("rows").alias("_n")))
+    return joined_evenly(rows, prints, "f", sizes[1] or 0).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id"
     )

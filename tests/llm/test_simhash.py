@@ -83,3 +83,22 @@ def test_very_long_text():
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert simhash.BITS == 64
+
+
+@pytest.mark.parametrize("rows", [0, 10_000])
+def test_heavy_keys_change_nothing(spark, monkeypatch, rows):
+    from siltline.llm import common
+    from siltline.llm.components import components
+    from siltline.llm.sharding import shards
+
+    monkeypatch.setattr(common, "HEAVY_ROWS", rows)
+    monkeypatch.setattr(common, "HEAVY_PART", 4)
+    star = spark.createDataFrame([(1, k) for k in range(2, 60)] + [(100 + k, 101 + k) for k in range(20)] + [(59, 100), (7, 7)], "a long, b long")
+    assert {tuple(r) for r in components(star).collect()} == {(k, 1) for k in [*range(1, 60), *range(100, 121)]}
+    texts = ["same words here"] * 30 + [f"other {k} words {k * k}" for k in range(20)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs).collect()}
+    assert len(got) == 52 and {got[k] for k in range(30)} == {0} and got[50] == got[51] == 50
+    placed = shards(docs, bins=3).collect()
+    assert len(placed) == 52 and len({r["shard"] for r in placed if r["doc_id"] < 30}) == 1
+    assert all(sorted(r["slot"] for r in placed if r["shard"] == b) == list(range(sum(r["shard"] == b for r in placed))) for b in range(3))
