@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -19,9 +19,13 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
+from siltline.llm.common import in_chunks
+
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes, about, in a generation of a worker's two memories, and of the longest string kept there. Bounds memory, never results.
-MEMORY_BYTES, LONGEST = 20 << 20, 1 << 12
+MEMORY_BYTES, LONGEST = 28 << 20, 1 << 12
+#: Text encoded at once, in bytes.
+PART_BYTES = 4 << 20
 
 #: Characters whose case mapping and normal form are the same in every library:
 #: Latin, without those that change length or compose.
@@ -142,6 +146,12 @@ class ChunkEncoder:
         return np.diff(ends[offsets - offsets[0]])
 
 
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts by the bytes of its second column; a longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+    return (batch.slice(lo, hi - lo) for lo, hi in in_chunks(sizes, PART_BYTES))
+
+
 _encoders: dict[str, ChunkEncoder] = {}
 
 

@@ -52,7 +52,7 @@ def pack(
         encoder = bpe.encoder(bpe.vocabulary_path(vocabulary), whole.value)
         part, last = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
         seen: Counter[int] = Counter()
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in bpe.parts(whole_batch)):
             ids, begin = encoder.encode(pc.fill_null(batch.column(1), ""))
             rows, starts, lengths, crcs, totals, place = [], [], [], [], [], []
             for row in range(len(batch)):

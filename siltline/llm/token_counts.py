@@ -36,7 +36,7 @@ def token_counts(
     @freeing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder(bpe.vocabulary_path(vocabulary), whole.value)
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in bpe.parts(whole_batch)):
             texts = pc.fill_null(batch.column(1), "")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(encoder.count(texts))],
