@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline.llm import embedding_dedup
+from siltline.llm.best_fit import pack_whole
 from siltline.llm.decontamination import contamination
 from siltline.llm.language_id import language_ids
 from siltline.llm.license_scan import license_scan
@@ -82,10 +83,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_ids(_documents(spark, sf_dir))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_whole(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_suffix_dedup, op3_quality, op4_embedding_dedup, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination, op10_language_id)
+        for f in (
+            op1_token_counts, op2_suffix_dedup, op3_quality, op4_embedding_dedup, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination,
+            op10_language_id, op11_best_fit_packing,
+        )
     }
 
 
