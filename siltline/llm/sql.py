@@ -97,3 +97,24 @@ LINKS_SQL = """WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, CA
  reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
  root AS (SELECT reach.a AS r, min(vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY reach.a)
  SELECT vec_id, (SELECT count(*) FROM link WHERE a = e.r) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM e JOIN root USING (r)"""
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5, size: int = 64) -> str:
+    """Each round as two common tables: the nearest centroids and the next ones."""
+    parts = [
+        f"e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"v AS MATERIALIZED (SELECT r, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x FROM e, range(1, {size + 1}) t(i))",
+        f"s AS (SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id), r) - 1 AS k FROM e QUALIFY k < {k})",
+        "c0 AS MATERIALIZED (SELECT k, i, x AS y FROM s JOIN v USING (r))",
+    ]
+    for n in range(rounds + 1):
+        parts.append(f"a{n} AS MATERIALIZED (SELECT r, min(m) % {k} AS k, min(m) // {k} AS d FROM (SELECT r, k, CAST(sum((x - y) * (x - y)) AS BIGINT) * {k} + k AS m FROM v JOIN c{n} USING (i) GROUP BY r, k) GROUP BY r)")
+        if n < rounds:
+            mean = f"SELECT k, i, CAST(sum(x) AS BIGINT) AS t, count(*) AS n FROM v JOIN a{n} USING (r) GROUP BY k, i"
+            parts.append(f"c{n + 1} AS MATERIALIZED (SELECT k, i, coalesce((t - ((t % n) + n) % n) // n, y) AS y FROM c{n} LEFT JOIN ({mean}) USING (k, i))")
+    parts.append(f"h AS (SELECT k, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k)")
+    out = "SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256"
+    return f"WITH {', '.join(parts)} {out} FROM e JOIN a{rounds} USING (r) JOIN h USING (k)"
+
+
+CLUSTERS_SQL = _clusters_sql()
