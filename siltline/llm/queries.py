@@ -11,13 +11,14 @@ from siltline.llm import embedding_dedup
 from siltline.llm.best_fit import pack_whole
 from siltline.llm.centroids import clusters
 from siltline.llm.decontamination import contamination
+from siltline.llm.divergence import source_divergence
 from siltline.llm.language_id import language_ids
 from siltline.llm.license_scan import license_scan
 from siltline.llm.packing import pack
 from siltline.llm.quality import quality_scores
 from siltline.llm.sharding import shards
 from siltline.llm.simhash import near_duplicates
-from siltline.llm.sql import CLUSTERS_SQL, LINKS_SQL, REPEATS_SQL, SIMHASH_SQL
+from siltline.llm.sql import CLUSTERS_SQL, DIVERGENCE_SQL, LINKS_SQL, REPEATS_SQL, SIMHASH_SQL
 from siltline.llm.suffix_dedup import remove_repeats
 from siltline.llm.token_counts import token_counts
 
@@ -92,12 +93,16 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_token_counts, op2_suffix_dedup, op3_quality, op4_embedding_dedup, op5_license_scan, op6_sharding, op7_simhash, op8_packing, op9_decontamination,
-            op10_language_id, op11_best_fit_packing, op12_centroid_clustering,
+            op10_language_id, op11_best_fit_packing, op12_centroid_clustering, op13_source_divergence,
         )
     }
 
@@ -113,4 +118,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_simhash": SIMHASH_SQL,
         "op9_decontamination": DECONTAMINATION_SQL,
         "op12_centroid_clustering": CLUSTERS_SQL,
+        "op13_source_divergence": DIVERGENCE_SQL,
     }

@@ -118,3 +118,17 @@ def _clusters_sql(k: int = 40, rounds: int = 5, size: int = 64) -> str:
 
 
 CLUSTERS_SQL = _clusters_sql()
+
+
+DIVERGENCE_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+ t AS MATERIALIZED (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+ k AS MATERIALIZED (SELECT lang, term, CAST(sum(n) AS HUGEINT) AS n FROM t GROUP BY ALL HAVING sum(docs) >= 10),
+ v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY ALL),
+ g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+ c AS (SELECT g.lang, g.source, k.term, k.n AS whole, CAST(coalesce(t.n, 0) AS HUGEINT) AS n FROM g JOIN k USING (lang) LEFT JOIN t USING (lang, source, term)),
+ p AS MATERIALIZED (SELECT c.lang, c.source, term, c.n, 1 + (1000000000 * (c.n + 2)) // (sum(c.n) OVER (PARTITION BY c.lang, c.source) + 2 * v.v) AS p, 1 + (1000000000 * (whole + 2)) // (v.n + 2 * v.v) AS q FROM c JOIN v USING (lang)),
+ f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+ o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q)
+ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o QUALIFY part = 'pair' OR rank <= 10"""
