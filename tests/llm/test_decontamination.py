@@ -115,3 +115,38 @@ def test_longest_matches_equal_brute_force(spark, monkeypatch):
             monkeypatch.setattr(decontamination, "PIECE_WORDS", 7)
         got = {x["doc_id"]: (x["longest_match"], x["match_item"], x["match_start"], x["match_item_start"]) for x in contamination(d, b).collect()}
         assert got == want
+
+
+def test_repeated_words_stay_within_memory(spark):
+    """A text of one word against items of that word: matches are found without spelling out places times places."""
+    import resource
+
+    import pyarrow as pa
+
+    from siltline.llm import decontamination
+
+    items = [("1", 1, 0, "x " * 10_000), ("2", 2, 0, "x " * 9_000 + "y"), ("3", 3, 0, "x x x")]
+    probe = decontamination.build_probe(items, 13)
+    batch = pa.record_batch([pa.array([0, 1, 2]), pa.array(["x " * 500_000, "z x x x z", "x " * 40 + "y"])], ["id", "t"])
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = [(held, best, int(hits[b : b + n].sum())) for _, _, size, begin, hits, held, best in decontamination._chunks(batch, probe, 13) for held, best, b, n in zip(held, best, begin, size, strict=True)]
+    assert found == [(["1", "2", "3"], (10_000, 0, "1", 0), 500_000), (["3"], (3, 1, "3", 0), 3), (["1", "2", "3"], (41, 0, "2", 8_960), 41)]
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 500
+
+
+def test_repeated_words_equal_brute_force(spark, monkeypatch):
+    from siltline.llm import decontamination
+
+    r = random.Random(11)
+    text = lambda n, of: " ".join(r.choice(of) for _ in range(n))
+    items = [(k, text(r.choice([13, 14, 20, 33]), "xy")) for k in range(6)] + [(7, "x " * 40), (8, "x " * 17 + "y"), (9, "y x"), (7, "x " * 15), (10, "")]
+    docs = [(0, "x " * 60), (1, "x " * 15), (2, "x y"), (3, "x " * 30 + "y " + "x " * 30)] + [(10 + k, text(r.randint(0, 90), "xxy")) for k in range(25)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for rounds in (False, True):
+        if rounds:
+            monkeypatch.setattr(decontamination, "ROUND_WORDS", 60)
+            monkeypatch.setattr(decontamination, "PIECE_WORDS", 7)
+        monkeypatch.setattr(decontamination, "_BLOCK", 5)
+        rows = {x["doc_id"]: x for x in contamination(d, b).collect()}
+        assert {k: (x["longest_match"], x["match_item"], x["match_start"], x["match_item_start"]) for k, x in rows.items()} == {k: longest(t, items) for k, t in docs}
+        assert sorted((x["doc_id"], x["n_words"], x["n_hit"], x["n_items"], x["items_sha256"], x["contaminated"]) for x in rows.values()) == brute(docs, items)
