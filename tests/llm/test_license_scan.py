@@ -1,7 +1,7 @@
 import random
 import re
 
-from siltline.llm.license_scan import BASE, TEMPLATES, license_scan
+from siltline.llm.license_scan import BASE, TEMPLATES, WHOLE, Index, license_scan
 
 
 def words(text):
@@ -124,3 +124,38 @@ def test_every_three_notices(spark):
     docs = spark.createDataFrame([(k, " and ".join(TEMPLATES[n][0][0] for n in x)) for k, x in enumerate(rows)], "doc_id long, text string")
     got = {x["doc_id"]: set(x["labels"].split(",")) for x in license_scan(docs).collect()}
     assert all(set(x) <= got[k] for k, x in enumerate(rows))
+
+
+def test_whole_licences(spark):
+    """Whole licences with their titles, names and small changes; half a licence has no label of a whole one."""
+    r, rows = random.Random(9), []
+    for name, [(text, keys)] in sorted(WHOLE.items()):
+        v = text.split()
+        held = text
+        for key in keys:  # key phrases stay as they are
+            held = held.replace(key, key.replace(" ", "_"))
+        rows.append((name, True, "Copyright (c) 2020 Some One\n" + text.upper() + " tail"))
+        rows.append((name, True, " ".join(w if r.random() < 0.97 else w + " also" for w in held.split()).replace("_", " ")))
+        rows.append((name, False, " ".join(v[: len(v) // 2])))
+    docs = spark.createDataFrame([(k, t) for k, (_, _, t) in enumerate(rows)], "doc_id long, text string")
+    got = {x["doc_id"]: x["labels"].split(",") for x in license_scan(docs).collect()}
+    for k, (name, there, _) in enumerate(rows):
+        assert (name in got[k]) == there, (k, name)
+
+
+def test_votes_come_from_places():
+    """Words of a template in another order, or far apart, give no start; in order they give one that holds the match's."""
+    index = Index({"x": [("a b c d e f g h i j", [])]}, {})
+    index.rarest({})
+    chosen = sorted(k for own in index.postings.values() for _, k in own)
+    assert len(chosen) == 10 - index.least[0] + index.votes[0] == 4
+    assert index.starts(0, [(0, [100]), (1, [500]), (2, [900])]) == []
+    assert index.starts(0, [(0, [120]), (1, [103]), (2, [90])]) == []
+    [(lo, hi)] = index.starts(0, [(0, [100]), (1, [101]), (3, [104])])
+    assert lo <= 100 <= hi and hi - lo < 12
+
+
+def test_text_of_licence_words_only(spark):
+    docs = spark.createDataFrame([(1, "license " * 100_000), (2, "the software license mit " * 20_000)], "doc_id long, text string")
+    got = {x["doc_id"]: (x["n_words"], x["labels"]) for x in license_scan(docs).collect()}
+    assert got == {1: (100_000, ""), 2: (80_000, "")}
