@@ -69,7 +69,7 @@ def snr_db(x: Column, spans: Column, rate: float, least: int = 100) -> Column:
     power = lambda part: F.aggregate(part, F.lit(0.0), lambda t, e: t + e["v"] * e["v"]) / F.size(part)
     speech, noise = F.filter(numbered, lambda e: e["s"]), F.filter(numbered, lambda e: ~e["s"])
     enough = (F.size(speech) >= least) & (F.size(noise) >= least)
-    return F.when(enough, F.when(power(noise) <= EPS, F.lit(60.0)).otherwise(10 * F.log10(F.greatest(power(speech), F.lit(EPS)) / power(noise))))
+    return F.when(enough, F.when(power(noise) <= EPS, F.lit(60.0)).otherwise(10 * F.log10((power(speech) + EPS) / (power(noise) + EPS))))
 
 
 def correlation(x: Column, y: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltline.functions.expr import hours, number
 from siltline.operators.gates import Quality, decide_quality
 from siltline.schema import ALIVE, KEEP, LOW_QUALITY, REJECTED
-from siltline.shared import ranked
+from siltline.shared import running_sum
 
 # Percentiles of the calibration report; measures and the side that fails.
 PERCENTILES = (1, 5, 10, 25, 50, 75, 90, 99)
@@ -58,13 +58,19 @@ def long_scores(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _quantiles(scores: DataFrame, shares: Sequence[float]) -> DataFrame:
-    """(metric, n, qs): the exact interpolated quantiles of (metric, value) rows, by their ranks: no task gets all values of a measure."""
-    held = ranked(scores, "metric", "value", out="_rank")
-    sizes = held.groupBy("metric").agg(F.count("*").alias("n"), F.min("_rank").alias("_first"))
+    """(metric, n, qs): the exact interpolated quantiles of (metric, value) rows.
+
+    Equal values are counted before anything is sorted, so a value that most rows have is one row, and
+    ranks are running sums of the counts: no task gets all values of a measure, nor all rows of a value.
+    """
+    counts = scores.groupBy("metric", "value").agg(F.count("*").alias("_n"))
+    held = running_sum(counts, "metric", "value", value="_n", out="_to").withColumn("_from", F.col("_to") - F.col("_n") + 1)
+    sizes = held.groupBy("metric").agg(F.sum("_n").alias("n"), F.min("_from").alias("_first"))
     place = F.posexplode(F.array(*(F.lit(float(s)) for s in shares)))
     asked = sizes.select("metric", "n", "_first", place.alias("k", "share")).withColumn("_x", (F.col("n") - 1) * F.col("share"))
     asked = asked.select("metric", "n", "k", (F.col("_x") - F.floor("_x")).alias("_w"), F.explode(F.array(F.floor("_x"), F.ceil("_x"))).alias("_y"), (F.col("_first") + F.col("_y")).alias("_rank"))
-    found = held.join(F.broadcast(asked.distinct()), ["metric", "_rank"])  # two rows for each measure and share
+    within = F.expr("h.metric = a.metric AND a._rank BETWEEN h._from AND h._to")
+    found = held.alias("h").join(F.broadcast(asked.distinct()).alias("a"), within).select("a.*", "h.value")  # two rows for each measure and share
     either = found.groupBy("metric", "n", "k").agg((F.min("value") + (F.max("value") - F.min("value")) * F.max("_w")).alias("q"))
     return either.groupBy("metric", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "q"))), lambda x: x["q"]).alias("qs"))
 

@@ -45,7 +45,7 @@ def measures(x: np.ndarray, rate: int, spans_of: Spans = audio.energy_spans) ->
     }
     if min(inside.sum(), (~inside).sum()) >= 100:
         noise = (x[~inside] ** 2).mean()
-        out["snr_db"] = 60.0 if noise <= audio.EPS else 10 * np.log10(max((x[inside] ** 2).mean(), audio.EPS) / noise)
+        out["snr_db"] = 60.0 if noise <= audio.EPS else 10 * np.log10(((x[inside] ** 2).mean() + audio.EPS) / (noise + audio.EPS))
     return {k: (float(v) if isinstance(v, np.floating) else v) for k, v in out.items()}
 
 
