@@ -45,10 +45,12 @@ class Materialize:
         return placed | ({REJECTED: self.rejected} if self.keep_rejected else {})
 
 
+# Names and defaults of a source's settings, but for path.
 @dataclass(frozen=True)
 class Source:
-    """A dataset to ingest: where it is, how it is laid out and how much of it is wanted (0: all)."""
+    """A dataset to ingest: where it is (a path, or its repo_id under a root), how it is laid out and how much of it is wanted (0: all)."""
 
+    path: str = ""
     repo_id: str = ""
     name: str = ""
     revision: str = "main"
@@ -64,7 +66,10 @@ class Source:
 
     @property
     def slug(self) -> str:
-        return re.sub(r"[^\w.\-]", "_", self.name or self.repo_id.rsplit("/", 1)[-1])
+        return re.sub(r"[^\w.\-]", "_", self.name or (self.repo_id or self.path).rstrip("/").rsplit("/", 1)[-1])
+
+    def folder(self, root: str = "") -> str:
+        return self.path or "/".join(filter(None, (root.rstrip("/"), self.repo_id)))
 
 
 def source_of(entry: str | Mapping[str, Any]) -> Source:

@@ -91,7 +91,14 @@ def _summary(target: float, n_unit: int):
             return (*unit, part, number, len(d), d[:head].tolist(), runs[:head].tolist(), [ends[k] for k in last[:head].tolist()])
 
         first = final = None
-        for unit, part, held in _segments(batches, n_unit):
+        kinds = []
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kinds[:] = [f.type for f in batch.schema][:n_unit]
+                yield batch
+
+        for unit, part, held in _segments(noted(), n_unit):
             if first is None:
                 first = said(unit, part, held, 0)
             else:
@@ -100,7 +107,7 @@ def _summary(target: float, n_unit: int):
         found = [x for x in (first, final and said(*final)) if x]
         names = [*(f"u{k}" for k in range(n_unit)), "part", "number", "n", "head", "runs", "left"]
         if found:
-            kinds = [None] * n_unit + [pa.int64()] * 3 + [pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
+            kinds += [pa.int64()] * 3 + [pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*found, strict=True), kinds, strict=True)], names)
 
     return rows

@@ -25,7 +25,7 @@ def split(df: DataFrame, seed: int, fraction: float, cap: int = 0, key: str = "u
     shuffled = ranked(df.withColumn("_order", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key)))), "_order", key, out="place").drop("_order")
     if cap > 0:
         shuffled = shuffled.where(F.col("place") <= cap)
-    n = df.count() if cap <= 0 else min(cap, df.count())
+    n = shuffled.count()  # of what ranked has kept
     n_val = int(n * fraction) if n >= LEAST_FOR_VALIDATION else 0
     return shuffled.withColumn("part", F.when(F.col("place") <= n_val, "val").otherwise("train"))
 
@@ -52,16 +52,19 @@ def bucketed(df: DataFrame, buckets: Mapping[str, str] = BUCKETS) -> DataFrame:
     return df.where(F.col("stage") == "materialize").withColumn("bucket", bucket(F.col("status"), buckets)).where("bucket is not null")
 
 
-def write_metadata(df: DataFrame, folder: str, extension: str = "wav", buckets: Mapping[str, str] = BUCKETS) -> None:
+def write_metadata(df: DataFrame, folder: str, extension: str = "wav", buckets: Mapping[str, str] = BUCKETS, source: str | None = None) -> None:
     """CSV files by uid of materialized records: <folder>/by_source for each bucket and source, <folder>/combined for each bucket.
 
     The file column is relative to the bucket's and source's folder, or to the bucket's. Rows are
-    dealt out by ranges, so that no bucket or source meets in one task. Reruns replace what they write.
+    dealt out by ranges, so that no bucket or source meets in one task. Reruns replace what they write; with a
+    source named, only its files and the combined ones.
     """
     kept = bucketed(df, buckets).withColumn("source_key", F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")))
     rows = metadata_rows(kept, extension, extra=("bucket", "source_key"))
     whole = rows.withColumn("file", F.concat_ws("/", "source_key", "file")).drop("source_key")
     for name, out, keys in (("by_source", rows, ["bucket", "source_key"]), ("combined", whole, ["bucket"])):
+        if source is not None and name == "by_source":
+            out = out.where(F.col("source_key") == (source or "unknown"))
         out = out.repartitionByRange(*keys, "uid").sortWithinPartitions(*keys, "uid")
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).option("header", True).option("escape", '"').csv(f"{folder}/{name}")
 

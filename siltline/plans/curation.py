@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -17,7 +20,7 @@ from siltline.operators.batches import greedy_batches
 from siltline.operators.manifest import alive, pending_for, upsert
 from siltline.operators.measure import encode_clips, measure_clips, trim_clips
 from siltline.operators.separation import Separator, separated, unchanged
-from siltline.schema import MANIFEST, METRICS, REJECTED, STAGES, stage_ordinal
+from siltline.schema import KEEP, MANIFEST, METRICS, REJECTED, STAGES, stage_ordinal
 from siltline.shared import checkpointed, remove
 from siltline.sources.manifest_files import read_table, write_table
 
@@ -129,6 +132,12 @@ class Curation:
         """Runs one stage over what is pending for it (force: over all live records); returns the changed records."""
         if name not in self.settings.stages or name not in self.stages:
             raise ValueError(f"no such stage: {name}")
+        changed = self._through(name, source, shard, force)
+        if name == "materialize":
+            self.write_metadata(source)
+        return changed
+
+    def _through(self, name: str, source: str | None = None, shard: int | None = None, force: bool = False) -> DataFrame:
         rows = self._placed(source, shard) if name == "materialize" else self._pending(name, source, shard, force)
         return self._update(self.stages[name](self, rows))
 
@@ -142,6 +151,59 @@ class Curation:
             self.stage(name, source, shard)
         return self.stats()
 
+    def cleanup_unit(self, source: str, shard: int) -> None:
+        """Removes the clips that stages have kept of one unit."""
+        remove(self.spark, f"{self.folder}-audio/source={source}/shard={shard}")
+
+    def units(self, sources: Iterable[str] = (), shards: Iterable[int] = ()) -> list[tuple[str, int]]:
+        """(source, shard) of the units that have something ahead, in the order of plan()."""
+        ahead = self.plan()
+        for column, wanted in (("source", tuple(sources)), ("shard", tuple(shards))):
+            ahead = ahead.where(F.col(column).isin(*wanted)) if wanted else ahead
+        return list(dict.fromkeys((r["source"], r["shard"]) for r in ahead.select("source", "shard").collect()))  # a few rows for each unit
+
+    def run_units(self, sources: Iterable[str] = (), shards: Iterable[int] = (), at_once: int = 4) -> DataFrame:
+        """All stages of each unit that has something ahead, each unit by itself: one that fails leaves the others alone.
+
+        Up to at_once units run side by side, each in a scheduler pool of its own (fair, where the session is set so), and
+        write their own partitions. Returns source, shard, state ('done' or 'failed'), stage (the last that began), error,
+        seen, rejected, kept, failed (records that should be placed and could not) and seconds; the same rows are added to
+        <folder>-runs. What a stage has finished stays, so a run after a failure goes on with that stage of that
+        unit, and takes no other unit up again. Metadata files are written once, when all units are through.
+        """
+        said = f"{self.folder}-runs"
+
+        def unit(own: tuple[str, int]) -> Row:
+            source, shard = own
+            began, name, error = time.time(), "", None
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{source}-{shard}")
+            try:
+                for name in self.settings.stages:
+                    self._through(name, source, shard)
+            except Exception as e:  # noqa: BLE001  one bad unit is a row, not the end of the run
+                error = f"{type(e).__name__}: {str(e).strip().splitlines()[0] if str(e).strip() else ''}"[:500]
+            finally:
+                self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            return Row(source=source, shard=shard, state="done" if error is None else "failed", stage=name, error=error, seconds=time.time() - began)
+
+        todo = self.units(sources, shards)
+        with ThreadPoolExecutor(max(1, at_once)) as pool:
+            rows = list(pool.map(inheritable_thread_target(self.spark)(unit), todo))
+        found = self.spark.createDataFrame(rows, "source string, shard int, state string, stage string, error string, seconds double")
+        to_place = F.col("status").isin(*self.settings.materialize.buckets()) & (F.col("stage") != "materialize") if "materialize" in self.settings.stages else F.lit(False)
+        counts = self.manifest().groupBy("source", "shard").agg(
+            F.count("*").alias("seen"), F.count(F.when(F.col("status") == REJECTED, 1)).alias("rejected"), F.count(F.when(F.col("status") == KEEP, 1)).alias("kept"),
+            F.count(F.when(to_place, 1)).alias("_left"),
+        )
+        failed = F.when(F.col("state") == "done", F.col("_left")).otherwise(F.lit(0)).alias("failed")
+        out = F.broadcast(found).join(counts, ["source", "shard"])  # a row for each unit that ran
+        out = checkpointed(out.select("source", "shard", "state", "stage", "error", "seen", "rejected", "kept", failed, "seconds"))
+        if rows:
+            if "materialize" in self.settings.stages:
+                self.write_metadata()
+            out.withColumn("at", F.current_timestamp()).write.mode("append").parquet(said)
+        return out
+
     def _measured(self, rows: DataFrame, failed: str) -> DataFrame:
         """rows with measures in _m and unusable; failed names what a clip is on which measuring fails."""
         found = measure_clips(self.audio().join(rows.select("uid"), "uid", "left_semi"), spans_of=self.spans_of, decode=self.decode)
@@ -187,9 +249,10 @@ class Curation:
         return flat(rows if shard is None else rows.where(F.col("shard") == shard))
 
     def _materialize(self, rows: DataFrame) -> DataFrame:
-        """Clips at the final rate as one table, <folder>-out/clips (bucket, uid, content, by source and shard), and metadata files beside it.
+        """Clips at the final rate as one table, <folder>-out/clips (bucket, uid, content, by source and shard); write_metadata() puts files beside it.
 
-        Records that are there in their bucket already are left alone; one without audio stays as it is.
+        Records that are there in their bucket already are left alone; one without audio, or whose audio can't be read, stays
+        as it is and counts as failed in the outcome of its unit.
         """
         m, out = self.settings.materialize, f"{self.folder}-out"
         if not m.enabled:
@@ -207,10 +270,14 @@ class Curation:
         except AnalysisException:
             pass  # the first time
         checkpointed(new).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(f"{out}/clips")
-        whole = upsert(flat(self.manifest()).select(done.columns), done, "uid")
-        prepare.write_metadata(whole, f"{out}/metadata", buckets={s: b for s, b in m.buckets().items() if s != REJECTED})
         return done
 
+    def write_metadata(self, source: str | None = None) -> None:
+        """Writes the metadata files of what is materialized: of all sources, or those of one source and the combined ones."""
+        m, rows = self.settings.materialize, flat(self.manifest())
+        if m.enabled:
+            prepare.write_metadata(rows, f"{self.folder}-out/metadata", buckets={s: b for s, b in m.buckets().items() if s != REJECTED}, source=source)
+
     def _quality(self, rows: DataFrame) -> DataFrame:
         out = self._measured(rows, "quality_failed").withColumns({c: F.col(f"_m.{c}") for c in ("rms_dbfs", "peak_dbfs", "clipping_ratio", "dc_offset", "bandwidth_hz", "lufs")}).drop("_m")
         for scorer in self.scorers:
@@ -223,11 +290,14 @@ class Curation:
         return good.unionByName(gates.gate(bad, [(r, F.col("unusable") == r) for r in ("empty_audio", "corrupt_audio", "quality_failed")], "quality"))
 
     def rescore(self, dry_run: bool = False, source: str | None = None) -> DataFrame:
-        """Decides scored records (of one source) anew; returns the transitions counted. Any changed reason is written, unless dry_run; stages stay."""
+        """Decides scored records (of one source) anew; returns the transitions counted. Records whose status or reasons change are written, unless dry_run; stages stay."""
         rows = flat(self.manifest())
         counted = checkpointed(analytics.transitions(rows, self.settings.quality, source))
         if not dry_run:
-            self._update(analytics.relabelled(rows, self.settings.quality, source).drop("before"))
+            old = F.struct(F.col("status").alias("s"), F.array_sort("reasons").alias("r"), F.col("quality_failures").alias("q"))
+            anew = analytics.relabelled(rows.withColumn("_old", old), self.settings.quality, source)
+            now = F.struct(F.col("status").alias("s"), F.array_sort("reasons").alias("r"), F.col("quality_failures").alias("q"))
+            self._update(anew.where(~F.col("_old").eqNullSafe(now)).drop("before", "_old"))
         return counted
 
     def calibrate(self, keep: float = 0.7) -> dict[str, DataFrame]:

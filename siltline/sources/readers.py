@@ -19,14 +19,18 @@ TEXT_COLUMNS = ("sentence", "text", "transcription", "transcript", "normalized_t
 OPINIONS = {"mos_pred": "nisqa_mos", "noi_pred": "nisqa_noi", "dis_pred": "nisqa_dis", "col_pred": "nisqa_col", "loud_pred": "nisqa_loud"}
 
 
+#: Bytes in which a header is looked for.
+HEADER_BYTES = 1 << 16
+
+
 def audio_parquet(spark: SparkSession, path: str, column: str = "audio") -> DataFrame:
-    """path, name, content, text of rows whose audio has bytes; a name that is missing is the file's with the row's place."""
+    """path, place (in the file), name, content, text of rows whose audio has bytes; a name that is missing is the file's with the row's place."""
     raw = spark.read.parquet(path)
     text = next((c for c in TEXT_COLUMNS if c in raw.columns), None)
     audio = F.col(column)
     fallback = F.concat(stem(F.col("_metadata.file_path")), F.lit("_"), F.col("_metadata.row_index").cast("string"), F.lit(".wav"))
     rows = raw.select(
-        F.col("_metadata.file_path").alias("path"), F.coalesce(F.nullif(audio["path"], F.lit("")), fallback).alias("name"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("place"), F.coalesce(F.nullif(audio["path"], F.lit("")), fallback).alias("name"),
         audio["bytes"].alias("content"), (F.coalesce(F.col(text).cast("string"), F.lit("")) if text else F.lit("")).alias("text"),
     )
     return rows.where(F.octet_length("content") > 0)
@@ -69,7 +73,10 @@ def metadata_files(spark: SparkSession, path: str, listing: DataFrame | None = N
 
 
 def scanned_files(spark: SparkSession, path: str) -> DataFrame:
-    """Training candidates of a folder without metadata: WAV headers give durations, the parent folder is the source."""
+    """Training candidates of a folder without metadata: headers give durations, a file's folder is its source ('unknown' right under path).
+
+    A file whose header can't be read is no candidate. Only the first bytes of a file go through Python.
+    """
     from siltline.functions.audio import header
 
     @F.pandas_udf("double")
@@ -79,12 +86,16 @@ def scanned_files(spark: SparkSession, path: str) -> DataFrame:
             for data in part:
                 try:
                     out.append(header(data)[0])
-                except Exception:  # noqa: BLE001  any unreadable header: the duration is not known
-                    out.append(0.0)
-            yield pd.Series(out)
+                except Exception:  # noqa: BLE001  any unreadable header
+                    out.append(None)
+            yield pd.Series(out, dtype="float64")
 
     files = loose_files(spark, path, ("wav",))
-    return files.select("path", stem(F.col("path")).alias("uid"), F.element_at(F.split("path", "/"), -2).alias("source"), seconds("content").alias("duration"), F.lit("").alias("text"))
+    root = path.rstrip("/").partition("://")[2] or path.rstrip("/")
+    below = F.substring_index(F.col("path"), f"{root}/", -1)
+    source = F.when(F.instr(below, "/") > 0, F.element_at(F.split("path", "/"), -2)).otherwise("unknown")
+    rows = files.select("path", stem(F.col("path")).alias("uid"), source.alias("source"), seconds(F.substring("content", 1, HEADER_BYTES)).alias("duration"), F.lit("").alias("text"))
+    return rows.where("duration is not null and not isnan(duration)")
 
 
 def candidates(spark: SparkSession, clean: str, low_quality: str | None = None) -> DataFrame:
@@ -135,7 +146,7 @@ def work_units(listing: DataFrame, source: str, kind: str, shards: list[int] | N
 
 
 def ingested(members: DataFrame, source: str, known: DataFrame, sidecar: DataFrame | None = None, budget: int = 0, limit: int = 0) -> DataFrame:
-    """New records of members (path, name, content, perhaps shard and text), each uid once and none that is known.
+    """New records of members (path, name, perhaps shard, text and others, which stay), each uid once and none that is known.
 
     The text is the member's own, else the sidecar's, else ''. budget bounds the records of
     each shard, limit those of the source, those that known already holds included; 0 is no bound.
@@ -143,7 +154,8 @@ def ingested(members: DataFrame, source: str, known: DataFrame, sidecar: DataFra
     has = set(members.columns)
     own = F.col("text") if "text" in has else F.lit("")
     shard = F.coalesce(F.col("shard"), F.lit(-1)) if "shard" in has else F.lit(-1)
-    rows = members.select(uid(F.lit(source), F.col("name")).alias("uid"), F.lit(source).alias("source"), shard.cast("int").alias("shard"), "path", F.col("name").alias("source_name"), stem(F.col("name")).alias("stem"), own.alias("text"), "content")
+    more = [c for c in members.columns if c not in {"uid", "source", "shard", "path", "name", "source_name", "stem", "text"}]
+    rows = members.select(uid(F.lit(source), F.col("name")).alias("uid"), F.lit(source).alias("source"), shard.cast("int").alias("shard"), "path", F.col("name").alias("source_name"), stem(F.col("name")).alias("stem"), own.alias("text"), *more)
     if sidecar is not None:
         rows = rows.join(sidecar, "stem", "left").withColumn("text", text_or(F.col("text"), F.col("sentence"))).drop("sentence")
     fresh = ingest_once(rows.drop("stem"), known, "uid", "path", "source_name")
