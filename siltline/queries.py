@@ -15,14 +15,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltline import config
 from siltline.functions import audio, expr, scores, signal
-from siltline.operators import analytics, batches, gates, manifest, prepare
+from siltline.operators import analytics, batches, gates, intervals, manifest, prepare
 from siltline.operators.measure import measure_clips
-from siltline.plans import curation
+from siltline.plans import curation, fetching
 from siltline.schema import KEEP
 from siltline.shared import ranked, shared_folder
 from siltline.sources import readers
-from siltline.sources.manifest_files import read_json, write_json, write_table
+from siltline.sources.manifest_files import read_json, read_table, write_json, write_table
+from siltline.sources.tars import tar_index, write_tars
 from siltline.streaming import ingest
 
 RATE = 1000.0
@@ -433,7 +435,7 @@ _CANDIDATES = DECIDED + """, dropped AS (SELECT uid, source, duration, text, dns
 
 def candidates(spark, d):
     df = decided(spark, d)
-    sources = tuple(f"src{k}" for k in range(64) if k != 1)
+    sources = tuple(r["source"] for r in df.select("source").where("source <> 'src1'").distinct().collect())  # a setting: the names asked for
     return gates.drop_reason(df, gates.Candidates(sources, 2.0, 20.0, 2.5, 3.0))
 
 
@@ -555,7 +557,7 @@ def sig_trim(spark, d):
 
 
 @query(f"""WITH {WAVES}, m AS (SELECT vec_id, x[5:20] AS s, list_concat(x[1:4], x[21:]) AS q FROM waves)
- SELECT vec_id, round(10 * log10((list_sum(list_transform(s, lambda v: v * v)) / len(s)) / (list_sum(list_transform(q, lambda v: v * v)) / len(q))), 6) AS v FROM m""")
+ SELECT vec_id, round(10 * log10((list_sum(list_transform(s, lambda v: v * v)) / len(s) + 1e-10) / (list_sum(list_transform(q, lambda v: v * v)) / len(q) + 1e-10)), 6) AS v FROM m""")
 def sig_mask_snr(spark, d):
     spans = F.array(F.array(F.lit(0.004), F.lit(0.012)), F.array(F.lit(0.010), F.lit(0.020)))
     return waves(spark, d).select("vec_id", F.round(signal.snr_db(F.col("x"), spans, RATE, least=10), 6).alias("v"))
@@ -607,6 +609,47 @@ def vad_trim_applied(spark, d):
     return out.select("uid", F.array_join("reasons", ",").alias("reason"), "status", *(F.round(x, 6).alias(x) for x in ("duration", "trim_start", "trim_end")), F.round(last, 6).alias("last_end"))
 
 
+# ---- intervals ----------------------------------------------------------------------------
+
+_EVENTS = """p AS (SELECT event_id, user_id, CAST(epoch_us(ts) AS DOUBLE) / 1e6 AS at FROM events),
+ s AS (SELECT user_id, CAST(epoch_us(ts) AS DOUBLE) / 1e6 AS a, CAST(epoch_us(ts) AS DOUBLE) / 1e6 + 3600.0e0 * (1 + event_id % 7) AS b FROM events WHERE event_type = 'purchase')"""
+
+
+def _stays(spark, d):
+    """Events as points of their user, and a stay of some hours from each purchase."""
+    e = table(spark, d, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
+    hours = 3600.0 * (1 + F.col("event_id") % 7)
+    return e.select("event_id", "user_id", "at"), e.where("event_type = 'purchase'").select("user_id", F.col("at").alias("start"), (F.col("at") + hours).alias("end"))
+
+
+@query(f"WITH {_EVENTS} SELECT p.event_id, count(s.user_id) AS covers FROM p LEFT JOIN s ON s.user_id = p.user_id AND p.at >= s.a AND p.at < s.b GROUP BY p.event_id")
+def points_in_intervals(spark, d):
+    points, stays = _stays(spark, d)
+    return intervals.covered(points, stays, ["user_id"]).select("event_id", "covers")
+
+
+@query(f"""WITH {_EVENTS}, m AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM s),
+ g AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS k FROM m)
+ SELECT user_id, round(min(a), 3) AS "start", round(max(b), 3) AS "end" FROM g GROUP BY user_id, k""")
+def merged_intervals(spark, d):
+    stays = intervals.merged(_stays(spark, d)[1], ["user_id"])
+    return stays.select("user_id", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
+
+
+@query("""WITH x AS (SELECT vec_id, i - 1 AS at, CAST(embedding[i] AS DOUBLE) AS v FROM embeddings, range(1, 65) t(i)),
+ s AS (SELECT vec_id, 3.0e0 + vec_id % 5 AS a, 12.0e0 + vec_id % 9 AS b FROM embeddings UNION ALL SELECT vec_id, 10.0e0, 20.5e0 FROM embeddings WHERE vec_id % 3 > 0),
+ c AS (SELECT vec_id, v, EXISTS (SELECT 1 FROM s WHERE s.vec_id = x.vec_id AND x.at >= s.a AND x.at < s.b) AS inside FROM x),
+ g AS (SELECT vec_id, count(*) FILTER (inside) AS n_inside, count(*) FILTER (NOT inside) AS n_outside, avg(v * v) FILTER (inside) AS p, avg(v * v) FILTER (NOT inside) AS q FROM c GROUP BY vec_id)
+ SELECT vec_id, n_inside, n_outside, round(CASE WHEN n_inside >= 12 AND n_outside >= 12 THEN CASE WHEN q <= 1e-10 THEN 60.0e0 ELSE 10 * log10((p + 1e-10) / (q + 1e-10)) END END, 6) AS snr_db FROM g""")
+def span_power(spark, d):
+    """Samples of every vector as rows, joined with spans of which some overlap."""
+    e = table(spark, d, "embeddings")
+    samples = e.select("vec_id", F.posexplode("embedding").alias("at", "value"))
+    spans = e.select("vec_id", (3.0 + F.col("vec_id") % 5).alias("start"), (12.0 + F.col("vec_id") % 9).alias("end"))
+    spans = spans.unionAll(e.where("vec_id % 3 > 0").select("vec_id", F.lit(10.0), F.lit(20.5)))
+    return intervals.power_inside(samples, spans, ["vec_id"], least=12).select("vec_id", "n_inside", "n_outside", F.round("snr_db", 6).alias("snr_db"))
+
+
 # ---- scores, bytes, files and streams ------------------------------------------------------
 
 _RAW = {"sig": "2.5e0 + 4 * x[1]", "bak": "3.0e0 + 4 * x[2]", "ovrl": "2.0e0 + 4 * x[3]"}
@@ -667,15 +710,13 @@ def transcript_files(spark, d):
     """Tab-separated transcripts without quoting, written and read again; the last line of a key counts."""
     folder = _folder(spark, "transcripts")
     key = F.concat(F.lit("x/"), F.col("doc_id").cast("string"), F.lit(".mp3"))
-    first = table(spark, d, "documents").select(F.lit(0).alias("k"), key.alias("name"), F.concat(F.lit('"'), "source").alias("said"))
-    lines = first.unionByName(first.where(F.col("name").rlike("[0-9]")).withColumns({"k": F.lit(1), "said": F.lit("later")}).where(F.regexp_extract("name", r"(\d+)", 1).cast("long") % 3 == 0))
-    text = lines.repartition(1, F.lit(0)).sortWithinPartitions("k", "name").select(F.concat_ws("\t", "name", "said").alias("value"))
-    head = spark.createDataFrame([("file_name\tsentence",)], "value string")
-    text.write.text(folder)
-    read = spark.read.text(folder)
-    whole = head.unionAll(read.unionAll(spark.createDataFrame([("\tnobody",)], "value string"))).coalesce(1)
-    whole.write.text(f"{folder}-all")
-    return readers.transcripts(spark, f"{folder}-all")
+    first = table(spark, d, "documents").select("doc_id", key.alias("file_name"), F.concat(F.lit('"'), "source").alias("sentence"))
+    later = first.where("doc_id % 3 = 0").withColumn("sentence", F.lit("later"))
+    later = later.unionAll(first.sparkSession.createDataFrame([(0, "", "nobody")], first.schema))
+    for part, lines in (("0", first), ("1", later)):  # files count in the order of their names
+        out = lines.drop("doc_id").write.option("sep", "\t").option("header", True)
+        out.option("quote", "").option("emptyValue", "").csv(f"{folder}/{part}")
+    return readers.transcripts(spark, f"{folder}/*")
 
 
 @query("""SELECT concat('c', doc_id, '.wav') AS name, source AS text, strlen(text) AS n FROM documents WHERE length(text) > 0""")
@@ -698,6 +739,74 @@ def opinion_files(spark, d):
     return readers.opinion_file(spark, folder)
 
 
+def _tarred(spark, d):
+    """Documents' texts as members of tar shards of 256 documents each."""
+    folder = _folder(spark, "tars")
+    docs = table(spark, d, "documents")
+    members = docs.select(F.floor(F.col("doc_id") / 256).alias("shard"), F.format_string("c%d.wav", "doc_id").alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    write_tars(members, f"{folder}/sets/spoken", "part")
+    return docs, folder
+
+
+@query("SELECT CAST(doc_id // 256 AS INTEGER) AS shard, concat('c', doc_id, '.wav') AS name, CAST(coalesce(strlen(text), 0) AS BIGINT) AS size FROM documents")
+def tar_headers(spark, d):
+    """Members of tar shards from their headers; no payload is read."""
+    _, folder = _tarred(spark, d)
+    files = readers.listing(spark, folder, "*.tar")
+    return tar_index(files).select("shard", "name", "size")
+
+
+_FETCHED = """f AS (SELECT concat('spoken__c', doc_id) AS uid, 'spoken' AS source, CAST(doc_id // 256 AS INTEGER) AS shard, CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS text, coalesce(strlen(text), 0) AS n, 0 AS step FROM documents
+ UNION ALL SELECT concat('rows__c', doc_id), 'rows', -1, source, strlen(text), 1 FROM documents WHERE doc_id % 3 = 0 AND length(text) > 0)"""
+
+
+def _fetched(spark, d, times):
+    """Tar shards with a sidecar, and Parquet rows, as sources in YAML: the Parquet source at first, then both. Returns the folder and the counts of each fetch."""
+    docs, folder = _tarred(spark, d)
+    side = docs.where("doc_id % 2 = 0").select(F.format_string("x/c%d.mp3", "doc_id").alias("file_name"), F.col("lang").alias("sentence"))
+    side.write.option("sep", "\t").option("header", True).option("quote", "").csv(f"{folder}/sets/spoken/text.tsv")
+    audio_ = F.struct(F.format_string("c%d.wav", "doc_id").alias("path"), F.col("text").cast("binary").alias("bytes"))
+    docs.where("doc_id % 3 = 0").select(audio_.alias("audio"), F.col("source").alias("sentence")).write.parquet(f"{folder}/sets/rows")
+    settings = config.load("sources:\n  - {repo_id: sets/spoken, metadata_file: text.tsv}\n  - sets/rows@v1\n  - {repo_id: sets/gone, enabled: false}")
+    out = f"{folder}/manifest"
+    return out, [fetching.fetch(spark, settings, out, folder, only).withColumn("step", F.lit(k)) for k, only in enumerate((["rows"], (), ())[:times])]
+
+
+@query(f"WITH {_FETCHED} SELECT uid, source, shard, text, CAST(n AS BIGINT) AS n, 'fetch' AS stage FROM f")
+def fetched_records(spark, d):
+    """Records and clips of what the settings name, each taken once in two fetches."""
+    folder, _ = _fetched(spark, d, 2)
+    clips_ = fetching.fetched_clips(spark, folder).select("uid", F.octet_length("content").cast("long").alias("n"))
+    return read_table(spark, folder).join(clips_, "uid").select("uid", "source", "shard", "text", "n", "stage")
+
+
+@query(f"""WITH {_FETCHED}, c AS (SELECT source, shard, count(*) AS n FROM f GROUP BY 1, 2)
+ SELECT CAST(k AS INTEGER) AS step, source, shard, n AS seen, CASE WHEN (source = 'rows' AND k = 0) OR (source = 'spoken' AND k = 1) THEN n ELSE 0 END AS added FROM c, range(3) t(k) WHERE source = 'rows' OR k > 0""")
+def fetch_counts(spark, d):
+    """What each of three fetches has seen and added; the last adds nothing."""
+    _, steps = _fetched(spark, d, 3)
+    return steps[0].unionAll(steps[1]).unionAll(steps[2]).select("step", "source", "shard", "seen", "added")
+
+
+@query("""SELECT concat('u', doc_id % 5) AS source, CAST(-1 AS INTEGER) AS shard, CASE WHEN doc_id % 5 = 3 THEN 'failed' ELSE 'done' END AS state, CASE WHEN doc_id % 5 = 3 THEN 'RuntimeError: no model' END AS error, count(*) AS seen,
+ count(*) FILTER (doc_id % 5 <> 3 AND n_chars >= 1500) AS kept, count(*) FILTER (doc_id % 5 <> 3 AND n_chars < 500) AS rejected FROM documents GROUP BY doc_id % 5""")
+def unit_outcomes(spark, d):
+    """Five units run side by side over the manifest table; a stage raises for one of them and the others finish."""
+
+    def decide(run, rows):
+        if rows.where("source = 'u3'").limit(1).count():
+            raise RuntimeError("no model")
+        status = F.when(F.col("duration") < 1, "rejected").when(F.col("duration") < 3, "low_quality").otherwise("keep")
+        return rows.withColumns({"stage": F.lit("quality"), "status": status})
+
+    folder = _folder(spark, "units")
+    docs = table(spark, d, "documents").withColumns({"source": F.concat(F.lit("u"), F.col("doc_id") % 5), "shard": F.lit(-1)})
+    rows = docs.select(F.concat_ws("__", "source", "doc_id").alias("uid"), "source", "shard", (F.col("n_chars") / 500.0).alias("duration"), F.lit("pending").alias("status"), F.lit("vad").alias("stage"), F.array().cast("array<string>").alias("reasons"))
+    write_table(curation.nested(rows), folder)
+    run = curation.Curation(spark, folder, rows.select("uid", F.lit(b"").alias("content")), config.load("stages: [quality]"), stages={"quality": decide})
+    return run.run_units().select("source", "shard", "state", "error", "seen", "kept", "rejected")
+
+
 @query(f"""WITH {RECORDS} SELECT r.uid, r.source, CAST(printf('%.3f', r.duration) AS DOUBLE) AS duration, d.text FROM records r JOIN documents d USING (doc_id) WHERE r.status IN ('keep', 'low_quality')""")
 def metadata_files(spark, d):
     """Metadata files of all buckets and sources, written and read again as candidates."""
