@@ -77,3 +77,16 @@ def test_equals_brute_force(spark):
         best = max(sorted(total), key=total.get)
         want[k, best, round(1 / sum(math.exp(t - total[best]) for t in total.values()), 4)] += 1
     assert got == want
+
+
+def test_many_languages_in_rounds(spark, monkeypatch):
+    """Languages beyond one matrix are predicted too, with the shares of one matrix of all."""
+    from siltline.llm import language_id
+
+    rows = [(10 * n + k, f"w{chr(97 + n)}{chr(100 + n)} " * (3 + k) + "ab", f"l{n:02d}") for n in range(11) for k in range(6)] + [(900, None, "l00"), (901, "..", None), (902, "wdg ab", None), (902, "wdg ab", None), (None, "ab", None)]
+    docs = spark.createDataFrame([(*x, 1) for x in rows], "doc_id long, text string, lang string, r int").repartition(3)
+    take = lambda: sorted((str(x["doc_id"]), x["held_out"], x["lang_pred"], round(x["score"], 5)) for x in language_ids(docs).collect())
+    whole = take()
+    monkeypatch.setattr(language_id, "LANGUAGES", 4)
+    assert take() == whole
+    assert {x[2] for x in whole} == {"und", *(f"l{n:02d}" for n in range(11))}
