@@ -122,26 +122,41 @@ def forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 
 
 
+#: Fingerprints of whole groups that are joined at once; a larger group stands alone.
+_JOINED = 1 << 18
+
+
 def _links(most: int):
-    """Over rows of group g and fingerprint f, all of a group in one task: links that join what each group's tries join."""
+    """Over rows of group g and fingerprint f, sorted so: links that join what each group's tries join. Groups pass one after another."""
 
-    @freeing
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        g, f = table["g"].to_numpy(), table["f"].to_numpy().view(np.uint64)
-        order = np.lexsort((f, g))
+    def joined(g: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((f, g))  # tries hold fingerprints as unsigned numbers
         g, f = g[order], f[order]
         begin = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
         end = np.append(begin[1:], len(g))
-        root = forest(len(f), trie_pairs(f, begin, end, most))
+        more = end - begin > 1
+        root = forest(len(f), trie_pairs(f, begin[more], end[more], most))
         moved = np.flatnonzero(root != np.arange(len(f)))
         for k in range(0, len(moved), 50_000):
             m = moved[k : k + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(f[root[m]].view(np.int64)), pa.array(f[m].view(np.int64))], ["a", "b"])
 
+    @freeing
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups, prints, held = [], [], 0
+        for batch in batches:
+            g, f = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            groups.append(g)
+            prints.append(f)
+            held += len(g)
+            if held >= _JOINED and g[0] != g[-1]:  # all but the last group are whole
+                g, f = np.concatenate(groups), np.concatenate(prints)
+                cut = int(np.flatnonzero(g != g[-1])[-1]) + 1
+                yield from joined(g[:cut], f[:cut])
+                groups, prints, held = [g[cut:].copy()], [f[cut:].copy()], len(g) - cut
+        if held:
+            yield from joined(np.concatenate(groups), np.concatenate(prints))
+
     return rows
 
 
@@ -168,7 +183,7 @@ def fingerprint_links(prints: DataFrame, most: int, hot: int = HOT) -> DataFrame
         parts = [sum(1 << b for b in rest[len(rest) * j // bands : len(rest) * (j + 1) // bands]) for j in range(bands)]
         again.append(F.when(F.col("k") == k, F.array(*(group(bands + k * bands + j, value(m), value(p)) for j, p in enumerate(parts)))))
     large = met.join(sizes, "g", "left_semi").select(F.explode(F.coalesce(*again)).alias("g"), "f")
-    return cool.unionAll(large).repartition("g").mapInArrow(_links(most), "a long, b long")
+    return cool.unionAll(large).repartition("g").sortWithinPartitions("g").mapInArrow(_links(most), "a long, b long")
 
 
 def near_duplicates(

@@ -102,3 +102,38 @@ def test_heavy_keys_change_nothing(spark, monkeypatch, rows):
     placed = shards(docs, bins=3).collect()
     assert len(placed) == 52 and len({r["shard"] for r in placed if r["doc_id"] < 30}) == 1
     assert all(sorted(r["slot"] for r in placed if r["shard"] == b) == list(range(sum(r["shard"] == b for r in placed))) for b in range(3))
+
+
+def test_groups_pass_one_after_another(spark, monkeypatch):
+    """However few fingerprints are joined at once, groups stay whole: components are those of all pairs."""
+    from siltline.llm import simhash
+    from siltline.llm.components import components
+
+    r = np.random.default_rng(12)
+    prints = r.integers(0, 1 << 63, 300, dtype=np.uint64)
+    near = np.concatenate([prints, *(prints[:100] ^ (np.uint64(1) << r.integers(0, 63, 100).astype(np.uint64)) for _ in range(3))])
+    near = np.unique(near)
+    df = spark.createDataFrame([(int(x),) for x in near.view(np.int64)], "f long").repartition(3)
+    got = []
+    for most in (1 << 18, 1):
+        monkeypatch.setattr(simhash, "_JOINED", most)
+        got.append(sorted(map(tuple, components(simhash.fingerprint_links(df, 3, hot=50)).collect())))
+    root = {int(x): int(x) for x in near.view(np.int64)}
+    for a in range(len(near)):
+        for b in np.flatnonzero(np.bitwise_count(near ^ near[a]) <= 3).tolist():
+            x, y = int(near.view(np.int64)[a]), int(near.view(np.int64)[b])
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            root[max(x, y)] = min(x, y)
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    sizes = {}
+    for x in root:
+        sizes.setdefault(top(x), []).append(x)
+    assert got[0] == got[1] == sorted((x, k) for k, own in sizes.items() if len(own) > 1 for x in own)
