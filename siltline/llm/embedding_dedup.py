@@ -25,6 +25,8 @@ TRAIN_ROWS, PROBE_ROWS, TARGET = 16_384, 512, 0.995
 LINKED, PROBE_VALUES = 200, 1 << 19
 #: Vectors of one cell held at once, and visitors met by one task.
 MEMBERS, VISITORS = 1024, 65_536
+#: Cells whose distances to some vectors are sorted at once, over all these vectors.
+CELLS = 1 << 22
 
 
 def halves(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,13 +71,14 @@ class Grid:
         ok = (a + 1) * (b + 1) <= most
         a, b = a[ok], b[ok]
         out = np.empty((len(vectors), most), np.int64)
-        for lo in range(0, len(vectors), 512):
-            part = halves(vectors[lo : lo + 512])
+        step = max(1, min(512, CELLS // len(a)))
+        for lo in range(0, len(vectors), step):
+            part = halves(vectors[lo : lo + step])
             d = [distances(x, c) for x, c in zip(part, self.books, strict=True)]
             order = [x.argsort(1, kind="stable") for x in d]
             d = [np.take_along_axis(x, o, 1) for x, o in zip(d, order, strict=True)]
             near = (d[0][:, a] + d[1][:, b]).argsort(1, kind="stable")[:, :most]
-            out[lo : lo + 512] = np.take_along_axis(order[0], a[near], 1) * self.k + np.take_along_axis(order[1], b[near], 1)
+            out[lo : lo + step] = np.take_along_axis(order[0], a[near], 1) * self.k + np.take_along_axis(order[1], b[near], 1)
         return out
 
 
