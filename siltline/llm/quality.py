@@ -156,7 +156,9 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int, size: int, longest: in
     texts = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
     texts = texts.join(F.broadcast(chosen), "id").groupBy("id").agg(F.max("y").alias("y"), F.min("text").alias("text"))  # rows at most
     before = Window.orderBy(order, "id").rowsBetween(Window.unboundedPreceding, 0)
-    return texts.withColumn("upto", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(before)).where(F.col("upto") <= size).select("y", "text")
+    sizes = texts.select("id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))  # so no text goes through the window's task
+    kept = sizes.withColumn("upto", F.sum("size").over(before)).where(F.col("upto") <= size).select("id")
+    return texts.join(F.broadcast(kept), "id").select("y", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int) -> Attention | None:
