@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,3 +48,19 @@ def window_count(samples: Column) -> Column:
     count = F.greatest((F.floor(tiled / RATE) - WINDOW).cast("int") + 1, F.lit(1))
     # the sum before it is cut to a whole number is floored: below zero only where one window is left anyway
     return F.when(samples > 0, count).otherwise(0)
+
+
+def windows(x: np.ndarray, rate: int = RATE, window: float = WINDOW, hop: int = HOP) -> np.ndarray:
+    """The overlapping windows of a signal, as rows of a view: window seconds each, hop seconds apart, counted as window_count does.
+
+    A shorter signal is repeated until it fills a window; an empty one, or one with samples that are no finite
+    numbers, has none. Windows that would reach beyond the end are left out.
+    """
+    size = int(window * rate)
+    if not len(x) or not np.isfinite(x).all():
+        return np.zeros((0, size), np.float32)
+    x = np.asarray(x, np.float32)
+    if len(x) < size:
+        x = np.tile(x, -(-size // len(x)))
+    count = max(int((len(x) // rate - window) / hop) + 1, 1)
+    return np.lib.stride_tricks.sliding_window_view(x, size)[:: hop * rate][:count]

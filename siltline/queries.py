@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siltline import config
 from siltline.functions import audio, expr, scores, signal
-from siltline.operators import analytics, batches, gates, intervals, manifest, prepare
+from siltline.operators import analytics, batches, gates, intervals, manifest, prepare, scorers
 from siltline.operators.measure import measure_clips
 from siltline.plans import curation, fetching
 from siltline.schema import KEEP
@@ -671,6 +671,30 @@ def scoring_windows(spark, d):
     return table(spark, d, "documents").select("doc_id", scores.window_count(F.col("n_chars") * 100).alias("windows"))
 
 
+_CUT = """cut AS (SELECT vec_id, n, list_transform(embedding[1 : n], lambda v: round_even(greatest(least(v::DOUBLE, 1.0e0), -1.0e0) * 32767, 0) / 32768) AS x
+ FROM (SELECT vec_id, embedding, vec_id % 65 AS n FROM embeddings)),
+ t AS (SELECT vec_id, CASE WHEN n < 36 THEN flatten(list_transform(range(CAST(ceil(36.0e0 / n) AS BIGINT)), lambda i: x)) ELSE x END AS x FROM cut WHERE n >= 2),
+ w AS (SELECT vec_id, x[4 * i + 1 : 4 * i + 36] AS y FROM (SELECT vec_id, x, unnest(range(greatest(CAST(trunc(len(x) // 4 - 9.01e0) AS BIGINT) + 1, 1))) AS i FROM t)),
+ m AS (SELECT vec_id, count(*) AS n_windows, avg(2.5e0 + 4 * list_avg(y)) AS sig, avg(3.0e0 + 4 * y[1]) AS bak, avg(2.0e0 + 4 * list_max(y)) AS ovrl FROM w WHERE len(y) = 36 GROUP BY vec_id)"""
+
+
+@query(f"""WITH {_CUT}, r AS (SELECT e.vec_id, coalesce(m.n_windows, 0) AS n_windows, m.sig, m.bak, m.ovrl FROM embeddings e LEFT JOIN m USING (vec_id))
+ SELECT vec_id, n_windows, {", ".join(f"CASE WHEN {_FINE} THEN round({h}, 4) END AS dnsmos_{k}" for k, h in _HORNER.items())} FROM r""")
+def window_scores(spark, d):
+    """The first samples of every vector as a clip of 4 samples a second, scored by the means over its overlapping windows of 9.01 s."""
+
+    @F.pandas_udf("binary")
+    def wav(x: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([audio.encode_wav(np.asarray(v, np.float64)[:k], 4) for v, k in zip(x, n, strict=True)])
+
+    def load():
+        return lambda y: np.stack([2.5 + 4 * y.astype(np.float64).mean(1), 3.0 + 4 * y[:, 0].astype(np.float64), 2.0 + 4 * y.max(1).astype(np.float64)], 1)
+
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("uid"), wav("embedding", F.col("vec_id") % 65).alias("content"))
+    found = scorers.window_scorer(load, rate=4)(e)
+    return found.select(F.col("uid").alias("vec_id"), "n_windows", *(F.round(c, 4).alias(c) for c in ("dnsmos_ovrl", "dnsmos_sig", "dnsmos_bak")))
+
+
 @query()
 def wav_measures(spark, d):
     """Every vector, repeated to 3,200 samples, as a WAV clip at 1,000 samples a second, measured from its bytes."""
