@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltline.llm.common import CHUNK_BYTES, freeing, in_chunks, mix64, tune, utf8, written
+from siltline.llm.common import CHUNK_BYTES, freeing, in_chunks, mix64, tune, utf8
 
 #: Bytes of an anchor.
 GRAM = 128
@@ -517,8 +517,8 @@ def remove_repeats(
     they are) and n_bytes, n_removed, n_spans (runs of removed bytes), kept_sha256 (hex, of the
     remaining bytes) and kept_text: what remains, without characters that were cut in half.
 
-    Rows are told apart by a number, not by their ids; they are kept with it in the shared folder, so that
-    a part that is made again has the same numbers. A null
+    Rows are told apart by a number given where texts are dealt out, not by their ids: docs must come in
+    the same order when a lost part is read again, as tables do; checkpoint what a shuffle has made. A null
     text counts as empty. Rows that repeat as a whole, or under one id or a null id, are
     rows of their own and lose what they share. Texts shorter than span keep
     everything. An empty table gives no rows. Very long texts are read in parts.
@@ -526,9 +526,9 @@ def remove_repeats(
     tune(docs.sparkSession)
     if not 1 <= gram <= span:
         raise ValueError("gram must be from 1 to span")
-    placed = written(docs.select(
+    placed = docs.select(
         F.monotonically_increasing_id().alias("r"), F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in (id_col, *carry))).alias("key"), F.col(text_col).cast("string").alias("t")
-    )).repartition("r")  # texts are dealt out once; all three readers below use that
+    ).repartition("r")  # texts are dealt out once; all three readers below use that
     spans = repeated_spans(placed, span, gram, hot).groupBy(F.col("r").alias("_r")).agg(F.collect_list(F.struct("at", "size")).alias("spans"))
     joined = placed.join(spans, F.col("r") == F.col("_r"), "left").select("key", "t", "spans")
     more = [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")] + [T.StructField(c, T.StringType()) for c in ("kept_sha256", "kept_text")]
