@@ -38,6 +38,7 @@ class Materialize:
     rejected: str = "rejected"
     keep_rejected: bool = False
     sample_rate: int = 22_050
+    format: str = "wav"
 
     def buckets(self) -> dict[str, str]:
         """The bucket of each status that is placed; what is pending has come through all stages that ran."""

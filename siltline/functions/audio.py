@@ -3,20 +3,49 @@
 from __future__ import annotations
 
 import io
+import struct
 import wave
 from collections.abc import Callable
 
 import numpy as np
 
+from siltline.functions.flac import decode_flac, encode_flac, flac_header
+
 EPS = 1e-10
 
 
+def _wave_format(data: bytes) -> tuple[int, int, int, int, bytes, int]:
+    """Format (1: whole numbers, 3: floats), channels, rate, bits, samples and their size in bytes of a WAV file, whose samples may be cut off."""
+    if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
+        raise ValueError("no WAV")
+    at, found = 12, None
+    while at + 8 <= len(data):
+        name, size = data[at : at + 4], int.from_bytes(data[at + 4 : at + 8], "little")
+        if name == b"fmt ":
+            if len(data) < at + 24 or (data[at + 8 : at + 10] == b"\xfe\xff" and len(data) < at + 34):
+                raise ValueError("a format that is cut off")
+            kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", data, at + 8)
+            if kind == 0xFFFE:  # the format proper stands further on
+                kind = struct.unpack_from("<H", data, at + 32)[0]
+            found = kind, channels, rate, bits
+        elif name == b"data":
+            if found is None or not found[1] or not found[2] or not found[3]:
+                raise ValueError("samples without a format")
+            return *found, data[at + 8 : at + 8 + size], size
+        at += 8 + size + size % 2
+    raise ValueError("no samples")
+
+
 def decode_wav(data: bytes, mono: bool = True) -> tuple[np.ndarray, int]:
-    """Samples from -1 to 1 (frames x channels, or the mean of the channels) and the rate of PCM WAV bytes."""
-    with wave.open(io.BytesIO(data)) as f:
-        width, channels, rate = f.getsampwidth(), f.getnchannels(), f.getframerate()
-        raw = f.readframes(f.getnframes())
-    if width == 1:
+    """Samples (frames x channels, or the mean of the channels) and the rate of WAV bytes: PCM, from -1 to 1, or floats as they are."""
+    kind, channels, rate, bits, raw, _ = _wave_format(bytes(data))
+    width = bits // 8
+    raw = raw[: len(raw) // (width * channels or 1) * width * channels]
+    if kind == 3 and width in (4, 8):
+        x = np.frombuffer(raw, f"<f{width}").astype(np.float64)
+    elif kind != 1:
+        raise ValueError(f"WAV of format {kind}")
+    elif width == 1:
         x = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
     elif width in (2, 4):
         x = np.frombuffer(raw, f"<i{width}") / float(1 << (8 * width - 1))
@@ -24,18 +53,26 @@ def decode_wav(data: bytes, mono: bool = True) -> tuple[np.ndarray, int]:
         b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
         x = (((b[:, 0] | b[:, 1] << 8 | b[:, 2] << 16) << 8) >> 8) / float(1 << 23)
     else:
-        raise ValueError(f"{8 * width}-bit samples")
+        raise ValueError(f"{bits}-bit samples")
     x = x.reshape(-1, channels)
     return (x.mean(1) if mono else x), rate
 
 
 def decoder(other: Callable[..., tuple[np.ndarray, int]]) -> Callable[..., tuple[np.ndarray, int]]:
-    """Decodes WAV bytes itself, as stages leave clips as WAV, and all else by other(data, mono)."""
-    return lambda data, mono=True: decode_wav(data, mono) if data[:4] == b"RIFF" else other(data, mono)
-
-
-def encode_wav(x: np.ndarray, rate: int) -> bytes:
-    """16-bit PCM WAV of samples or of frames x channels; what is beyond full scale is cut."""
+    """Decodes WAV and FLAC bytes itself, as stages leave clips as WAV, and all else by other(data, mono)."""
+    own = {b"RIFF": decode_wav, b"fLaC": decode_flac}
+    return lambda data, mono=True: own.get(bytes(data[:4]), other)(data, mono)
+
+
+def encode_wav(x: np.ndarray, rate: int, floats: bool = False) -> bytes:
+    """WAV of samples or of frames x channels: 16-bit PCM, where what is beyond full scale is cut, or 32-bit floats as they are."""
+    if floats:
+        x = np.asarray(x, "<f4")
+        channels = 1 if x.ndim == 1 else x.shape[1]
+        form = struct.pack("<HHIIHHH", 3, channels, rate, 4 * channels * rate, 4 * channels, 32, 0)
+        raw = x.tobytes()
+        body = b"WAVEfmt " + struct.pack("<I", len(form)) + form + b"fact" + struct.pack("<II", 4, len(x)) + b"data" + struct.pack("<I", len(raw)) + raw
+        return b"RIFF" + struct.pack("<I", len(body)) + body
     out = io.BytesIO()
     with wave.open(out, "wb") as f:
         f.setnchannels(1 if x.ndim == 1 else x.shape[1])
@@ -45,10 +82,17 @@ def encode_wav(x: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
+#: How clips are written, by extension.
+ENCODERS = {"wav": encode_wav, "flac": encode_flac}
+
+
 def header(data: bytes) -> tuple[float, int, int]:
-    """Seconds, rate and channels from a WAV header."""
-    with wave.open(io.BytesIO(data)) as f:
-        return f.getnframes() / f.getframerate(), f.getframerate(), f.getnchannels()
+    """Seconds, rate and channels from the header of WAV or FLAC bytes, of which the first are enough."""
+    if data[:4] == b"fLaC":
+        n, rate, channels, _ = flac_header(data)
+        return n / rate, rate, channels
+    _, channels, rate, bits, _, size = _wave_format(bytes(data))
+    return size // (channels * bits // 8) / rate, rate, channels
 
 
 def resampled(x: np.ndarray, rate: int, to: int) -> np.ndarray:

@@ -95,8 +95,9 @@ def trim_clips(clips: DataFrame, decode: Decoder = audio.decode_wav) -> DataFram
     return clips.select("uid", "content", "source", "shard", "trim_start", "trim_end").mapInArrow(rows, "uid string, content binary, source string, shard int")
 
 
-def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav) -> DataFrame:
-    """uid, content, duration and sample_rate of clips as 16-bit mono WAV at a rate; clips that can't be read are left out."""
+def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav, kind: str = "wav") -> DataFrame:
+    """uid, content, duration and sample_rate of clips as 16-bit mono WAV (or FLAC, as kind says) at a rate; clips that can't be read are left out."""
+    encode = audio.ENCODERS[kind]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,7 +111,7 @@ def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav
                         continue
                     x = audio.resampled(x, own, rate)
                     keep.append(row)
-                    out.append(audio.encode_wav(x, rate))
+                    out.append(encode(x, rate))
                     seconds.append(len(x) / rate)
                 columns = [part.column(0).take(pa.array(keep, pa.int64())), pa.array(out, pa.binary()), pa.array(seconds, pa.float64()), pa.array([rate] * len(out), pa.int32())]
                 yield pa.RecordBatch.from_arrays(columns, ["uid", "content", "duration", "sample_rate"])

@@ -257,9 +257,9 @@ class Curation:
         m, out = self.settings.materialize, f"{self.folder}-out"
         if not m.enabled:
             return rows.limit(0)
-        where = F.concat_ws("/", F.lit(out), bucket(F.col("status"), m.buckets()), F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")), F.concat("uid", F.lit(".wav")))
+        where = F.concat_ws("/", F.lit(out), bucket(F.col("status"), m.buckets()), F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")), F.concat("uid", F.lit(f".{m.format}")))
         todo = rows.withColumn("_path", where).where((F.col("stage") != "materialize") | (F.col("path") != F.col("_path")))
-        made = checkpointed(encode_clips(self.audio().join(todo.select("uid"), "uid", "left_semi"), m.sample_rate, self.decode))
+        made = checkpointed(encode_clips(self.audio().join(todo.select("uid"), "uid", "left_semi"), m.sample_rate, self.decode, m.format))
         done = todo.join(made.drop("content").withColumnsRenamed({"duration": "_d", "sample_rate": "_r"}), "uid")
         done = checkpointed(done.withColumns({"path": F.col("_path"), "duration": F.col("_d"), "sample_rate": F.col("_r"), "stage": F.lit("materialize")}).drop("_path", "_d", "_r"))
         new = made.select("uid", "content").join(done.select("uid", "source", "shard", bucket(F.col("status"), m.buckets()).alias("bucket"), "path"), "uid")
@@ -276,7 +276,7 @@ class Curation:
         """Writes the metadata files of what is materialized: of all sources, or those of one source and the combined ones."""
         m, rows = self.settings.materialize, flat(self.manifest())
         if m.enabled:
-            prepare.write_metadata(rows, f"{self.folder}-out/metadata", buckets={s: b for s, b in m.buckets().items() if s != REJECTED}, source=source)
+            prepare.write_metadata(rows, f"{self.folder}-out/metadata", m.format, buckets={s: b for s, b in m.buckets().items() if s != REJECTED}, source=source)
 
     def _quality(self, rows: DataFrame) -> DataFrame:
         out = self._measured(rows, "quality_failed").withColumns({c: F.col(f"_m.{c}") for c in ("rms_dbfs", "peak_dbfs", "clipping_ratio", "dc_offset", "bandwidth_hz", "lufs")}).drop("_m")

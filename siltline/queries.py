@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltline import config
-from siltline.functions import audio, expr, scores, signal
+from siltline.functions import audio, expr, flac, scores, signal
 from siltline.operators import analytics, batches, gates, intervals, manifest, prepare, scorers
 from siltline.operators.measure import measure_clips
 from siltline.plans import curation, fetching
@@ -725,6 +725,25 @@ def stream_ingest(spark, d):
     return spark.read.parquet(f"{folder}/table").groupBy("source").agg(F.count("*").alias("n"))
 
 
+@query("""SELECT vec_id, CAST(n AS BIGINT) AS n, round(CASE WHEN n > 0 THEN list_sum(list_transform(range(1, n + 1), lambda i: i * q[i])) ELSE 0 END, 6) AS weighted, round(n / 8000.0e0, 6) AS seconds
+ FROM (SELECT vec_id, vec_id % 65 AS n, list_transform(embedding, lambda v: round_even(greatest(least(v::DOUBLE, 1.0e0), -1.0e0) * 32767, 0) / 32768) AS q FROM embeddings)""")
+def flac_round_trip(spark, d):
+    """The first samples of every vector as lossless FLAC, its header read and its samples decoded again."""
+    kinds = "n long, weighted double, seconds double"
+
+    @F.pandas_udf(kinds)
+    def coded(x: pd.Series, n: pd.Series) -> pd.DataFrame:
+        rows = []
+        for v, k in zip(x, n, strict=True):
+            data = flac.encode_flac(np.asarray(v, np.float64)[:k], 8000)
+            back, _ = flac.decode_flac(data)
+            rows.append((len(back), float((np.arange(1, len(back) + 1) * back).sum()), audio.header(data[:64])[0]))
+        return pd.DataFrame(rows, columns=["n", "weighted", "seconds"])
+
+    found = table(spark, d, "embeddings").select("vec_id", coded("embedding", F.col("vec_id") % 65).alias("c"))
+    return found.select("vec_id", "c.n", F.round("c.weighted", 6).alias("weighted"), F.round("c.seconds", 6).alias("seconds"))
+
+
 def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -75,7 +75,7 @@ def metadata_files(spark: SparkSession, path: str, listing: DataFrame | None = N
 def scanned_files(spark: SparkSession, path: str) -> DataFrame:
     """Training candidates of a folder without metadata: headers give durations, a file's folder is its source ('unknown' right under path).
 
-    A file whose header can't be read is no candidate. Only the first bytes of a file go through Python.
+    A file whose header can't be read is no candidate; WAV and FLAC headers can. Only the first bytes of a file go through Python.
     """
     from siltline.functions.audio import header
 
@@ -90,7 +90,7 @@ def scanned_files(spark: SparkSession, path: str) -> DataFrame:
                     out.append(None)
             yield pd.Series(out, dtype="float64")
 
-    files = loose_files(spark, path, ("wav",))
+    files = loose_files(spark, path)
     root = path.rstrip("/").partition("://")[2] or path.rstrip("/")
     below = F.substring_index(F.col("path"), f"{root}/", -1)
     source = F.when(F.instr(below, "/") > 0, F.element_at(F.split("path", "/"), -2)).otherwise("unknown")
@@ -102,7 +102,7 @@ def candidates(spark: SparkSession, clean: str, low_quality: str | None = None)
     """Training candidates of the clean folder and, if named, the low-quality one; a folder that is missing has none.
 
     A folder's metadata files (<source>/metadata.csv) name its candidates, those whose files are
-    there; without such files its WAV files do.
+    there; without such files its audio files do.
     """
     out = None
     for root in filter(None, (clean, low_quality)):
