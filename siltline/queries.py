@@ -24,7 +24,7 @@ from siltline.schema import KEEP
 from siltline.shared import ranked, shared_folder
 from siltline.sources import readers
 from siltline.sources.manifest_files import read_json, read_table, write_json, write_table
-from siltline.sources.tars import tar_index, write_tars
+from siltline.sources.tars import stream_tars, tar_index, write_tars
 from siltline.streaming import ingest
 
 RATE = 1000.0
@@ -799,6 +799,21 @@ def tar_headers(spark, d):
     return tar_index(files).select("shard", "name", "size")
 
 
+@query("""SELECT CAST(k AS INTEGER) AS run, CAST(doc_id // 256 AS INTEGER) AS shard, count(*) AS members, CAST(sum(coalesce(strlen(text), 0)) AS BIGINT) AS bytes
+ FROM (SELECT doc_id, text, CASE WHEN doc_id // 256 % 2 = 0 THEN 0 ELSE 1 END AS k FROM documents) GROUP BY 1, 2""")
+def tar_stream(spark, d):
+    """Tar shards as a stream in two runs: the even ones, then those that have come since."""
+    folder = _folder(spark, "tar-stream")
+    docs = table(spark, d, "documents")
+    members = docs.select(F.floor(F.col("doc_id") / 256).alias("shard"), F.format_string("c%d.wav", "doc_id").alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    for run in (0, 1):
+        write_tars(members.where(F.col("shard") % 2 == run), f"{folder}/shards", "part")
+        rows = stream_tars(spark, f"{folder}/shards").select("shard", "name", F.octet_length("content").alias("n"), F.lit(run).alias("run"))
+        ingest.ingest_stream(rows, f"{folder}/table", f"{folder}/checkpoint", "name", "shard").awaitTermination()
+    found = spark.read.parquet(f"{folder}/table")
+    return found.groupBy("run", "shard").agg(F.count("*").alias("members"), F.sum("n").cast("long").alias("bytes"))
+
+
 _FETCHED = """f AS (SELECT concat('spoken__c', doc_id) AS uid, 'spoken' AS source, CAST(doc_id // 256 AS INTEGER) AS shard, CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS text, coalesce(strlen(text), 0) AS n, 0 AS step FROM documents
  UNION ALL SELECT concat('rows__c', doc_id), 'rows', -1, source, strlen(text), 1 FROM documents WHERE doc_id % 3 = 0 AND length(text) > 0)"""
 

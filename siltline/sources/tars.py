@@ -14,7 +14,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from siltline.functions.expr import shard_number
 from siltline.shared import checkpointed, shared_folder
@@ -67,6 +67,26 @@ class TarReader(DataSourceReader):
                     yield partition.path, partition.shard, name, tar.extractfile(member).read()
 
 
+class TarStream(DataSourceStreamReader):
+    """New shards of a folder as a stream: an offset names the shards seen so far, so each is read in one batch, once."""
+
+    def __init__(self, options: dict):
+        self.shards = TarReader(options)
+
+    def initialOffset(self) -> dict:
+        return {"seen": []}
+
+    def latestOffset(self) -> dict:
+        return {"seen": [p.path for p in self.shards.partitions()]}
+
+    def partitions(self, start: dict, end: dict) -> list[TarShard]:
+        seen, now = set(start["seen"]), set(end["seen"])
+        return [p for p in self.shards.partitions() if p.path in now and p.path not in seen]
+
+    def read(self, partition: TarShard) -> Iterator[tuple]:
+        return self.shards.read(partition)
+
+
 class TarShards(DataSource):
     """Options: path (a folder or one tar), shards ('1,2'), extensions ('wav,mp3') and limit_per_shard (0: all)."""
 
@@ -80,6 +100,9 @@ class TarShards(DataSource):
     def reader(self, schema) -> TarReader:
         return TarReader(self.options)
 
+    def streamReader(self, schema) -> TarStream:
+        return TarStream(self.options)
+
 
 def read_tars(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """The members of tar shards: path, shard, name, content."""
@@ -87,6 +110,12 @@ def read_tars(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.read.format("tar_shards").options(path=path, **options).load()
 
 
+def stream_tars(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """The members of tar shards as a stream: a folder's shards at first, then those that have come since. A shard must be whole when it gets its name."""
+    spark.dataSource.register(TarShards)
+    return spark.readStream.format("tar_shards").options(path=path, **options).load()
+
+
 #: Bytes of members that one task reads, about; a larger member stands alone.
 SPLIT_BYTES = 64 << 20
 #: Bytes of members that are handed on at once.

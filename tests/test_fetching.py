@@ -182,3 +182,23 @@ def test_units_are_placed_and_failures_counted(spark, root, tmp_path):
     assert got == {1: ("done", 2, 0), 2: ("done", 2, 1)}
     assert {r["uid"] for r in spark.read.parquet(f"{folder}-out/clips").collect()} == {"tones__t1", "tones__u1", "tones__t2"}
     assert spark.read.option("header", True).csv(f"{folder}-out/metadata/by_source").count() == 3
+
+
+def test_shards_as_a_stream(spark, tmp_path):
+    """Each run reads the shards that have come since the one before, and a run without any reads none."""
+    from siltline.sources.tars import stream_tars
+    from siltline.streaming.ingest import ingest_stream
+
+    (tmp_path / "in").mkdir()
+    target, state = str(tmp_path / "table"), str(tmp_path / "state")
+
+    def take():
+        rows = stream_tars(spark, str(tmp_path / "in")).select("name", "shard", F.octet_length("content").alias("n"))
+        ingest_stream(rows, target, state, "name", "shard").awaitTermination()
+        return sorted((r["shard"], r["name"], r["n"]) for r in spark.read.parquet(target).collect())
+
+    (tmp_path / "in" / "s_1.tar").write_bytes(tar_of([("a.wav", b"1"), ("b.wav", b"22"), ("no.txt", b"x")]))
+    assert take() == take() == [(1, "a.wav", 1), (1, "b.wav", 2)]
+    (tmp_path / "in" / "s_0.tar").write_bytes(tar_of([("b.wav", b"again"), ("c.wav", b"333")]))
+    (tmp_path / "in" / "s_1.tar").write_bytes(b"gone bad, and not read again")
+    assert take() == [(0, "c.wav", 3), (1, "a.wav", 1), (1, "b.wav", 2)]
