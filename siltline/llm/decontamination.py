@@ -439,7 +439,7 @@ def contamination(
     What a text holds in memory grows with its own words only, however often they stand in items.
     A null or empty text has no words and no hits; items without words never match;
     items of one id count once; a null item_id is the id None. Repeated rows and null ids are rows like any other; an
-    empty table on either side is defined. Other columns are not read.
+    empty table on either side is defined. Very long texts are searched whole. Other columns are not read.
     """
     tune(docs.sparkSession)
     spark = docs.sparkSession

@@ -277,7 +277,8 @@ def near_duplicates(
     Vectors that are null, empty, zero, or that hold a null or non-finite component link
     with nothing and keep themselves. Rows that repeat an id and vector are vectors of
     their own. Null ids never name a component unless it holds nothing else. An empty
-    table gives no rows; other columns are not read.
+    table gives no rows; other columns are not read. Cells equally near are visited in the order of
+    their codewords' distances, then of their numbers; a cosine of exactly least links.
     """
     spark = vectors.sparkSession
     tune(spark)

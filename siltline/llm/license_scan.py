@@ -266,7 +266,8 @@ def license_scan(
     1 for a base phrase; else 0).
 
     Null and empty texts have no words and no labels. Repeated rows count each; null
-    ids, very long texts and empty tables are handled like any other.
+    ids, very long texts (read whole) and empty tables are handled like any other. Words equally rare
+    count in the order of the template; other columns are not read.
     """
     tune(docs.sparkSession)
     index = Index(templates or TEMPLATES | WHOLE, base or BASE)

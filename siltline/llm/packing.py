@@ -39,7 +39,8 @@ def pack(
     little-endian unsigned 32-bit numbers), doc_tokens, sequence_id, offset (always 0).
 
     A null or empty text is end_id alone. Repeated rows and null ids are packed like
-    any others; very long texts give more pieces; other columns are not read.
+    any others; very long texts give more pieces; an empty table gives no rows; pieces of
+    equal length are numbered in the order of the tasks that read them; other columns are not read.
     """
     if most & (most - 1):
         raise ValueError("most must be a power of two")

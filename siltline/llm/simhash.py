@@ -198,7 +198,8 @@ def near_duplicates(
     Null, empty and blank texts have fingerprint zero and link like any other. Rows
     of equal text, or equal ids, share fingerprint and component; a null id is in its
     component but never names one unless it holds nothing else (then null).
-    An empty table gives no rows; other columns are not read.
+    Very long texts are hashed whole, a few thousand shingles at a time. Of links that tie, all
+    count. An empty table gives no rows; other columns are not read.
     """
     tune(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()

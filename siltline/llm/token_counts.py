@@ -27,7 +27,8 @@ def token_counts(
     as one; only the rest is merged.
 
     Null and empty texts have no bytes and no tokens. Repeated rows, null ids and
-    very long texts are counted like any other; other columns are not read.
+    very long texts are counted like any other; an empty table gives no rows; other
+    columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     tune(spark)
