@@ -17,11 +17,12 @@ from siltline.functions.expr import bucket
 from siltline.functions.signal import span_stats, trim_bounds
 from siltline.operators import analytics, gates, prepare
 from siltline.operators.batches import greedy_batches
-from siltline.operators.manifest import alive, pending_for, upsert
+from siltline.operators.manifest import alive, last_write_wins, pending_for, upsert
 from siltline.operators.measure import encode_clips, measure_clips, trim_clips
 from siltline.operators.separation import Separator, separated, unchanged
 from siltline.schema import KEEP, MANIFEST, METRICS, REJECTED, STAGES, stage_ordinal
 from siltline.shared import checkpointed, remove
+from siltline.sources.files import write_files
 from siltline.sources.manifest_files import read_table, write_table
 
 #: Rows of (uid, content) in, rows of uid and any of the measures in the schema out.
@@ -278,6 +279,22 @@ class Curation:
         if m.enabled:
             prepare.write_metadata(rows, f"{self.folder}-out/metadata", m.format, buckets={s: b for s, b in m.buckets().items() if s != REJECTED}, source=source)
 
+    def place(self, folder: str, source: str | None = None) -> DataFrame:
+        """Writes materialized clips (of one source) as files <folder>/<bucket>/<source>/<uid>.<format>; returns bucket, source, files and bytes.
+
+        Clips whose record has left their bucket since are not written.
+        """
+        m = self.settings.materialize
+        rows = flat(self.manifest()).where("stage = 'materialize'")
+        rows = rows if source is None else rows.where(F.col("source") == source)
+        wanted = rows.select("uid", "source", "shard", bucket(F.col("status"), m.buckets()).alias("bucket"))
+        made = self.spark.read.parquet(f"{self.folder}-out/clips").select("uid", "source", "shard", "bucket", "content")
+        clips = made.join(wanted, ["uid", "source", "shard", "bucket"], "left_semi")
+        path = F.concat_ws("/", "bucket", F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")), F.concat("uid", F.lit(f".{m.format}")))
+        done = write_files(clips.select(path.alias("path"), "content"), folder)
+        parts = F.split("path", "/")
+        return done.groupBy(parts[0].alias("bucket"), parts[1].alias("source")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
     def _quality(self, rows: DataFrame) -> DataFrame:
         out = self._measured(rows, "quality_failed").withColumns({c: F.col(f"_m.{c}") for c in ("rms_dbfs", "peak_dbfs", "clipping_ratio", "dc_offset", "bandwidth_hz", "lufs")}).drop("_m")
         for scorer in self.scorers:
@@ -310,7 +327,9 @@ class Curation:
         }
 
     def stats(self) -> DataFrame:
-        return analytics.summary(self.manifest())
+        """The summary of the manifest, with one row for each uid, the furthest stage's, whatever has been appended since it was compacted."""
+        rows = self.manifest().select("uid", "source", "stage", "status", "duration")
+        return analytics.summary(last_write_wins(rows.withColumn("_at", stage_ordinal(F.col("stage"))), "uid", "_at"))
 
     def training_set(self) -> DataFrame:
         """Kept records that pass the training filters, in a repeatable order, with part 'val' or 'train'."""

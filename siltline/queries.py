@@ -23,7 +23,8 @@ from siltline.plans import curation, fetching
 from siltline.schema import KEEP
 from siltline.shared import ranked, shared_folder
 from siltline.sources import readers
-from siltline.sources.manifest_files import read_json, read_table, write_json, write_table
+from siltline.sources.files import write_files
+from siltline.sources.manifest_files import compact, read_json, read_table, write_json, write_table
 from siltline.sources.tars import stream_tars, tar_index, write_tars
 from siltline.streaming import ingest
 
@@ -881,6 +882,146 @@ def wav_levels(spark, d):
     return wav_measures(spark, d).select("vec_id", *(F.round(c, 6).alias(c) for c in ("duration", "rms_dbfs", "peak_dbfs", "dc_offset", "clipping_ratio")))
 
 
+# ---- files, tables and runs ---------------------------------------------------------------
+
+
+@query("""SELECT concat('part_', lpad(CAST(shard AS VARCHAR), 3, '0'), '.tar') AS name, CAST(10240 * ceil((sum(512 + 512 * ceil(n / 512.0e0)) + 1024) / 10240) AS BIGINT) AS size
+ FROM (SELECT doc_id // 256 AS shard, coalesce(strlen(text), 0) AS n FROM documents) GROUP BY shard""")
+def source_listing(spark, d):
+    """Names and sizes of tar shards: blocks of 512 bytes for each header and payload, in records of 10,240."""
+    _, folder = _tarred(spark, d)
+    return readers.listing(spark, f"{folder}/sets").select(F.regexp_extract("path", "[^/]*$", 0).alias("name"), "size")
+
+
+@query("""SELECT 'spoken' AS source, 'tar' AS layout, CAST(doc_id // 256 AS INTEGER) AS shard, CAST(1 AS BIGINT) AS files, true AS present FROM documents WHERE doc_id // 256 < 3 GROUP BY doc_id // 256
+ UNION ALL SELECT 'spoken', 'tar', 999, 0, false UNION ALL SELECT 'whole_set', 'tar', CAST(doc_id // 256 AS INTEGER), 1, true FROM documents GROUP BY doc_id // 256""")
+def fetch_units(spark, d):
+    """The work units of the sources that are asked for: some shards of one, of which one is missing, and all of another."""
+    _, folder = _tarred(spark, d)
+    text = f"sources:\n  - {{repo_id: sets/spoken, shards: [0, 1, 2, 999]}}\n  - {{path: {folder}/sets/spoken, name: whole set}}\n  - {{repo_id: sets/gone, enabled: false}}\n  - sets/other"
+    plan = fetching.fetch_plan(spark, config.load(text), folder, ["spoken", "whole_set"])
+    return plan.select("source", "layout", "shard", "files", "present")
+
+
+@query("""SELECT concat('spoken__c', doc_id) AS uid, CAST(shard AS INTEGER) AS shard FROM (SELECT doc_id, doc_id // 256 AS shard, row_number() OVER (PARTITION BY doc_id // 256 ORDER BY concat('c', doc_id)) AS k FROM documents) WHERE k <= 40""")
+def limited_fetch(spark, d):
+    """Forty records of each shard, in two fetches: the second goes on after the twenty-five of the first."""
+    _, folder = _tarred(spark, d)
+    for most in (25, 40):
+        fetching.fetch(spark, config.load(f"sources: [{{repo_id: sets/spoken, limit_per_shard: {most}}}]"), f"{folder}/manifest", folder)
+    return read_table(spark, f"{folder}/manifest").select("uid", "shard")
+
+
+_FILES = "files AS (SELECT page_id, concat('b', page_id % 3) AS folder, coalesce(strlen(html), 0) AS n FROM pages)"
+
+
+def _placed_pages(spark, d):
+    folder = _folder(spark, "files")
+    name = F.when(F.col("page_id") % 5 == 0, F.format_string("p%d.txt", "page_id")).otherwise(F.format_string("p%d.OGG", "page_id"))
+    path = F.concat_ws("/", F.concat(F.lit("b"), F.col("page_id") % 3), name)
+    return folder, write_files(table(spark, d, "pages").select(path.alias("path"), F.col("html").alias("content")), folder)
+
+
+@query(f"WITH {_FILES} SELECT concat(folder, '/p', page_id, CASE WHEN page_id % 5 = 0 THEN '.txt' ELSE '.OGG' END) AS path, n AS bytes FROM files")
+def placed_files(spark, d):
+    """Pages as files of three folders."""
+    return _placed_pages(spark, d)[1]
+
+
+@query(f"WITH {_FILES} SELECT folder, concat('p', page_id, '.OGG') AS name, CAST(n AS BIGINT) AS n FROM files WHERE page_id % 5 > 0")
+def loose_records(spark, d):
+    """The audio files of a folder and below, by their extensions in either case."""
+    folder, _ = _placed_pages(spark, d)
+    found = readers.loose_files(spark, folder)
+    return found.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "name", F.octet_length("content").cast("long").alias("n"))
+
+
+@query("""SELECT concat('v', vec_id) AS uid, CASE WHEN vec_id % 4 = 0 THEN 'unknown' ELSE concat('s', vec_id % 4) END AS source, round((1 + vec_id % 64) / 100.0e0, 6) AS duration FROM embeddings WHERE vec_id % 7 > 0""")
+def scanned_candidates(spark, d):
+    """Training candidates of a folder without metadata: durations from WAV and FLAC headers, sources from folders; broken files are none."""
+
+    @F.pandas_udf("binary")
+    def coded(x: pd.Series, k: pd.Series) -> pd.Series:
+        out = []
+        for v, n in zip(x, k, strict=True):
+            samples = np.asarray(v, np.float64)[: 1 + n % 64]
+            out.append(b"no header" if n % 7 == 0 else flac.encode_flac(samples, 100) if n % 2 else audio.encode_wav(samples, 100))
+        return pd.Series(out)
+
+    folder, v = _folder(spark, "scanned"), F.col("vec_id")
+    name = F.concat(F.lit("v"), v, F.when(v % 2 == 1, ".flac").otherwise(".wav"))
+    path = F.when(v % 4 == 0, name).otherwise(F.concat_ws("/", F.concat(F.lit("s"), v % 4), name))
+    write_files(table(spark, d, "embeddings").select(path.alias("path"), coded("embedding", "vec_id").alias("content")), folder)
+    return readers.candidates(spark, folder, f"{folder}/none").select("uid", "source", F.round("duration", 6).alias("duration"))
+
+
+@query(f"""WITH {RECORDS} SELECT uid, CASE WHEN doc_id % 3 = 0 THEN 'materialize' ELSE stage END AS stage, source, shard FROM records""")
+def compacted_table(spark, d):
+    """The manifest table with a later stage appended for a third of its records, compacted to one row each."""
+    folder = _folder(spark, "compact")
+    rows = records(spark, d).withColumn("stage", F.when(F.col("status") == "rejected", "prefilter").otherwise("quality"))
+    later = rows.where("doc_id % 3 = 0").withColumn("stage", F.lit("materialize"))
+    write_table(curation.nested(rows.unionByName(later).drop("doc_id")), folder)
+    compact(spark, folder)
+    return read_table(spark, folder).select("uid", "stage", "source", "shard")
+
+
+@query(f"""WITH {RECORDS}, n AS (SELECT * REPLACE (CASE WHEN doc_id % 3 = 0 THEN 'materialize' ELSE stage END AS stage) FROM records)
+ SELECT CASE WHEN grouping(source) = 0 THEN 'source' WHEN grouping(stage) = 0 THEN 'stage' WHEN grouping(status) = 0 THEN 'status' ELSE 'all' END AS axis,
+ coalesce(source, stage, status, '') AS value, count(*) AS n, {_HOURS.replace("status = 'keep'", "kept")} AS keep_hours
+ FROM (SELECT *, status = 'keep' AS kept FROM n) GROUP BY GROUPING SETS ((), (source), (stage), (status))""")
+def table_stats(spark, d):
+    """The summary of a manifest table to which later stages have been appended and that is not compacted yet."""
+    folder = _folder(spark, "stats")
+    rows = records(spark, d)
+    later = rows.where("doc_id % 3 = 0").withColumn("stage", F.lit("materialize"))
+    write_table(curation.nested(rows.unionByName(later).drop("doc_id")), folder)
+    return curation.Curation(spark, folder, rows.select("uid", F.lit(b"").alias("content"))).stats()
+
+
+@query(f"""WITH {DECIDED} SELECT uid, row_number() OVER (ORDER BY uid) AS place FROM decided WHERE status = 'keep'""")
+def metadata_order(spark, d):
+    """The combined metadata file of a bucket, read again in the order of its files and lines: that of uids."""
+    folder = _folder(spark, "metadata-order")
+    kept = decided(spark, d).where("status = 'keep'").withColumn("stage", F.lit("materialize"))
+    prepare.write_metadata(kept, folder)
+    lines = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{folder}/combined/bucket=clean")
+    lines = lines.select("uid", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    return ranked(lines, "file", "line", out="place").select("uid", F.col("place").cast("long").alias("place"))
+
+
+@query(f"""WITH {_CANDIDATES}, capped AS (SELECT uid, place, least(total, 100) AS n FROM placed WHERE place <= 100)
+ SELECT uid, place, CASE WHEN n >= 50 AND place <= trunc(n * 0.1e0) THEN 'val' ELSE 'train' END AS part FROM capped""")
+def capped_split(spark, d):
+    """A training set of a hundred files at most: the first of the repeatable order."""
+    stay = candidates(spark, d).where("drop_reason IS NULL").select("uid", "source", "duration")
+    return prepare.split(stay, seed=7, fraction=0.1, cap=100).select("uid", "place", "part")
+
+
+@query("""SELECT vec_id, CASE vec_id % 5 WHEN 0 THEN 'empty_audio' WHEN 1 THEN 'corrupt_audio' WHEN 2 THEN 'corrupt_audio' WHEN 3 THEN 'empty_audio' ELSE 'fine' END AS unusable FROM embeddings""")
+def unusable_signals(spark, d):
+    """Empty, missing and non-finite signals by name."""
+    k, x = F.col("vec_id") % 5, F.col("embedding")
+    odd = F.when(k == 0, F.slice(x, 1, 0)).when(k == 1, F.concat(x, F.array(F.lit(float("nan")).cast("float")))).when(k == 2, F.concat(F.array(F.lit(float("-inf")).cast("float")), x)).when(k == 4, x)
+    return table(spark, d, "embeddings").select("vec_id", F.coalesce(signal.unusable(odd), F.lit("fine")).alias("unusable"))
+
+
+@query(f"""WITH {RECORDS} SELECT source, CASE WHEN status = 'low_quality' THEN 'low_quality' ELSE 'clean' END AS bucket, count(*) AS files, CAST(sum(44 + 2 * (1 + doc_id % 50)) AS BIGINT) AS bytes FROM records WHERE status IN ('keep', 'low_quality') GROUP BY 1, 2""")
+def placed_clips(spark, d):
+    """Kept and low-quality records through the last stage: their clips encoded into the table by unit, then placed as files by bucket and source."""
+
+    @F.pandas_udf("binary")
+    def wav(k: pd.Series) -> pd.Series:
+        return k.map(lambda n: audio.encode_wav(np.zeros(1 + n % 50), 22_050))
+
+    folder = _folder(spark, "placed")
+    rows = records(spark, d)
+    write_table(curation.nested(rows.drop("doc_id")), folder)
+    run = curation.Curation(spark, folder, rows.select("uid", wav("doc_id").alias("content")), config.load("stages: [materialize]"))
+    run.stage("materialize")
+    return run.place(f"{folder}-files").select("source", "bucket", "files", "bytes")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 
