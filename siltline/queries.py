@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siltline import config
 from siltline.functions import audio, expr, flac, scores, signal
-from siltline.operators import analytics, batches, gates, intervals, manifest, prepare, scorers
+from siltline.operators import analytics, batches, gates, intervals, manifest, prepare, scorers, separation
 from siltline.operators.measure import measure_clips
 from siltline.plans import curation, fetching
 from siltline.schema import KEEP
@@ -1022,6 +1022,69 @@ def placed_clips(spark, d):
     return run.place(f"{folder}-files").select("source", "bucket", "files", "bytes")
 
 
+_QUANTIZED = "list_transform(embedding, lambda v: round_even(greatest(least(v::DOUBLE, 1.0e0), -1.0e0) * 32767, 0))"
+
+
+def _wavs(spark, d, key, times=1, bad=None):
+    """Every vector as a WAV clip at 1,000 samples a second, repeated times (a column) times; bytes that are no clip where bad holds."""
+
+    @F.pandas_udf("binary")
+    def wav(x: pd.Series, n: pd.Series, broken: pd.Series) -> pd.Series:
+        return pd.Series([b"no clip" if b else audio.encode_wav(np.tile(np.asarray(v, np.float64), k), int(RATE)) for v, k, b in zip(x, n, broken, strict=True)])
+
+    e = table(spark, d, "embeddings")
+    times = F.lit(times) if isinstance(times, int) else times
+    return e.select(key.alias("uid"), "vec_id", wav("embedding", times, F.lit(False) if bad is None else bad).alias("content"))
+
+
+@query(f"""SELECT concat('c', vec_id) AS uid, CASE WHEN vec_id % 11 = 0 THEN 'unreadable' ELSE '' END AS reason, CASE WHEN vec_id % 11 = 0 THEN 0 ELSE len(r) END AS n,
+ round(CASE WHEN vec_id % 11 = 0 THEN 0 ELSE list_sum(list_transform(range(1, len(r) + 1), lambda i: i * r[i])) / 32768 END, 6) AS weighted
+ FROM (SELECT vec_id, list_transform({_QUANTIZED}, lambda q: round_even(-q / 65536 * 32767, 0)) AS r FROM embeddings)""")
+def separated_clips(spark, d):
+    """Clips packed into batches, brought to one level and joined, halved and turned over in one call for each batch, and cut again at their own level."""
+    c = _wavs(spark, d, F.format_string("c%d", "vec_id"), bad=F.col("vec_id") % 11 == 0)
+    placed = batches.greedy_batches(c.withColumns({"unit": F.col("vec_id") % 5, "duration": F.lit(0.064)}), ["unit"], "uid", 1.0)
+    found = separation.separated(placed.join(c.select("uid", "content"), "uid"), lambda x, rate: -x / 2, ["unit", "batch"], int(RATE), 0.05)
+
+    @F.pandas_udf("n long, weighted double")
+    def heard(content: pd.Series) -> pd.DataFrame:
+        x = [audio.decode_wav(v)[0] if v is not None else np.zeros(0) for v in content]
+        return pd.DataFrame({"n": [len(v) for v in x], "weighted": [float((np.arange(1, len(v) + 1) * v).sum()) for v in x]})
+
+    out = found.select("uid", F.coalesce("reason", F.lit("")).alias("reason"), heard("content").alias("h"))
+    return out.select("uid", "reason", F.col("h.n").alias("n"), F.round("h.weighted", 6).alias("weighted"))
+
+
+@query(f"""SELECT concat('c', vec_id) AS uid, CASE WHEN vec_id % 3 = 0 OR vec_id % 7 = 0 THEN -1 ELSE round(list_sum(list_transform(q, lambda v: abs(v))) / len(q) / 32768, 6) END AS loud,
+ CASE WHEN vec_id % 3 = 0 OR vec_id % 7 = 0 THEN -1 ELSE 640.0e0 END AS samples FROM (SELECT vec_id, {_QUANTIZED} AS q FROM embeddings)""")
+def model_scores(spark, d):
+    """A model loaded once for each task, over clips of which some are too short and some can't be read."""
+    times = F.when(F.col("vec_id") % 3 == 0, 2).otherwise(10)
+    c = _wavs(spark, d, F.format_string("c%d", "vec_id"), times, F.col("vec_id") % 7 == 0)
+    score = scorers.model_scorer(lambda: lambda x: {"loud": float(np.abs(x).mean()), "samples": float(len(x))}, ["loud", "samples"], rate=int(RATE))
+    known = lambda x: F.when(F.isnan(x), -1.0).otherwise(F.round(x, 6)).alias(x)
+    return score(c).select("uid", known("loud"), known("samples"))
+
+
+@query("""WITH f AS (SELECT vec_id, i, embedding[i] > 0 AS loud FROM embeddings, range(1, 33) t(i)),
+ r AS (SELECT vec_id, min(i) - 1 AS a, max(i) AS b FROM (SELECT vec_id, i, i - row_number() OVER (PARTITION BY vec_id ORDER BY i) AS g FROM f WHERE loud) GROUP BY vec_id, g),
+ m AS (SELECT vec_id, min(a) AS a, max(b) AS b FROM (SELECT *, sum(new) OVER (PARTITION BY vec_id ORDER BY a ROWS UNBOUNDED PRECEDING) AS k FROM
+ (SELECT *, CASE WHEN a - lag(b) OVER (PARTITION BY vec_id ORDER BY a) <= 2 THEN 0 ELSE 1 END AS new FROM r)) GROUP BY vec_id, k HAVING max(b) - min(a) > 2),
+ e AS (SELECT vec_id, a * 0.12e0 AS a, least(b * 0.12e0 + 0.1e0, coalesce((b + lead(a) OVER w) * 0.06e0, 3.84e0)) AS b FROM m WINDOW w AS (PARTITION BY vec_id ORDER BY a)),
+ p AS (SELECT vec_id, greatest(a - 0.1e0, coalesce(lag(b) OVER (PARTITION BY vec_id ORDER BY a), 0.0e0)) AS a, b FROM e)
+ SELECT v.vec_id, count(p.a) AS spans, round(coalesce(sum(p.b - p.a), 0.0e0), 6) AS seconds, round(min(p.a), 6) AS first_start, round(max(p.b), 6) AS last_end FROM embeddings v LEFT JOIN p USING (vec_id) GROUP BY v.vec_id""")
+def speech_spans(spark, d):
+    """Spans of clips that are loud or silent in stretches of 0.12 s, by the energy of frames: gaps closed, short spans dropped, the others padded."""
+
+    @F.pandas_udf("binary")
+    def wav(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: audio.encode_wav(np.repeat(np.where(np.asarray(v[:32]) > 0, 0.5, 0.0), 120), int(RATE)))
+
+    found = measure_clips(table(spark, d, "embeddings").select("vec_id", wav("embedding").alias("content")), "vec_id")
+    stats = signal.span_stats(F.coalesce("spans", F.array().cast("array<array<double>>")), F.col("duration"))
+    return found.select("vec_id", stats["num_speech_segments"].cast("long").alias("spans"), F.round(stats["speech_seconds"], 6).alias("seconds"), F.round(stats["first_start"], 6).alias("first_start"), F.round(stats["last_end"], 6).alias("last_end"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_queries)
 
