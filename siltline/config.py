@@ -39,6 +39,8 @@ class Materialize:
     keep_rejected: bool = False
     sample_rate: int = 22_050
     format: str = "wav"
+    mono: bool = True
+    mode: str = "copy"
 
     def buckets(self) -> dict[str, str]:
         """The bucket of each status that is placed; what is pending has come through all stages that ran."""

@@ -95,8 +95,8 @@ def trim_clips(clips: DataFrame, decode: Decoder = audio.decode_wav) -> DataFram
     return clips.select("uid", "content", "source", "shard", "trim_start", "trim_end").mapInArrow(rows, "uid string, content binary, source string, shard int")
 
 
-def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav, kind: str = "wav") -> DataFrame:
-    """uid, content, duration and sample_rate of clips as 16-bit mono WAV (or FLAC, as kind says) at a rate; clips that can't be read are left out."""
+def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav, kind: str = "wav", mono: bool = True) -> DataFrame:
+    """uid, content, duration and sample_rate of clips as 16-bit WAV (or FLAC, as kind says) at a rate, of the mean channel or of all; clips that can't be read are left out."""
     encode = audio.ENCODERS[kind]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,10 +106,10 @@ def encode_clips(clips: DataFrame, rate: int, decode: Decoder = audio.decode_wav
                 keep, out, seconds = [], [], []
                 for row, data in enumerate(part.column(1).to_pylist()):
                     try:
-                        x, own = decode(data)
+                        x, own = decode(data) if mono else decode(data, mono=False)
                     except Exception:  # noqa: BLE001  the record is left as it is
                         continue
-                    x = audio.resampled(x, own, rate)
+                    x = audio.resampled(x, own, rate) if x.ndim == 1 else np.stack([audio.resampled(c, own, rate) for c in x.T], 1)
                     keep.append(row)
                     out.append(encode(x, rate))
                     seconds.append(len(x) / rate)

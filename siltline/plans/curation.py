@@ -170,7 +170,8 @@ class Curation:
         write their own partitions. Returns source, shard, state ('done' or 'failed'), stage (the last that began), error,
         seen, rejected, kept, failed (records that should be placed and could not) and seconds; the same rows are added to
         <folder>-runs. What a stage has finished stays, so a run after a failure goes on with that stage of that
-        unit, and takes no other unit up again. Metadata files are written once, when all units are through.
+        unit, and takes no other unit up again. Metadata files are written once, when all units are through. With
+        materialize.mode 'move' a unit that is through gives up the clips that its stages have kept.
         """
         said = f"{self.folder}-runs"
 
@@ -181,6 +182,8 @@ class Curation:
             try:
                 for name in self.settings.stages:
                     self._through(name, source, shard)
+                if self.settings.materialize.mode == "move":
+                    self.cleanup_unit(source, shard)
             except Exception as e:  # noqa: BLE001  one bad unit is a row, not the end of the run
                 error = f"{type(e).__name__}: {str(e).strip().splitlines()[0] if str(e).strip() else ''}"[:500]
             finally:
@@ -260,7 +263,7 @@ class Curation:
             return rows.limit(0)
         where = F.concat_ws("/", F.lit(out), bucket(F.col("status"), m.buckets()), F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")), F.concat("uid", F.lit(f".{m.format}")))
         todo = rows.withColumn("_path", where).where((F.col("stage") != "materialize") | (F.col("path") != F.col("_path")))
-        made = checkpointed(encode_clips(self.audio().join(todo.select("uid"), "uid", "left_semi"), m.sample_rate, self.decode, m.format))
+        made = checkpointed(encode_clips(self.audio().join(todo.select("uid"), "uid", "left_semi"), m.sample_rate, self.decode, m.format, m.mono))
         done = todo.join(made.drop("content").withColumnsRenamed({"duration": "_d", "sample_rate": "_r"}), "uid")
         done = checkpointed(done.withColumns({"path": F.col("_path"), "duration": F.col("_d"), "sample_rate": F.col("_r"), "stage": F.lit("materialize")}).drop("_path", "_d", "_r"))
         new = made.select("uid", "content").join(done.select("uid", "source", "shard", bucket(F.col("status"), m.buckets()).alias("bucket"), "path"), "uid")

@@ -202,3 +202,27 @@ def test_shards_as_a_stream(spark, tmp_path):
     (tmp_path / "in" / "s_0.tar").write_bytes(tar_of([("b.wav", b"again"), ("c.wav", b"333")]))
     (tmp_path / "in" / "s_1.tar").write_bytes(b"gone bad, and not read again")
     assert take() == [(0, "c.wav", 3), (1, "a.wav", 1), (1, "b.wav", 2)]
+
+
+def test_a_unit_gives_up_its_working_clips(spark, tmp_path):
+    """With mode move, what stages have kept of a unit goes when the unit is through; what failed keeps its own."""
+    import numpy as np
+
+    from siltline.functions import audio
+    from siltline.plans.curation import Curation, nested
+
+    clip = audio.encode_wav(0.2 * np.sin(np.arange(24_000) / 4), 16_000)
+    rows = spark.createDataFrame([("a", "s", 1), ("b", "s", 2)], "uid string, source string, shard int").withColumns({"status": F.lit("pending"), "stage": F.lit("prefilter"), "reasons": F.array().cast("array<string>")})
+    folder = str(tmp_path / "m")
+    write_table(nested(rows), folder)
+
+    def fails(run, records):
+        if records.where("shard = 2").limit(1).count():
+            raise RuntimeError("no")
+        return records.withColumn("stage", F.lit("quality"))
+
+    s = config.load("stages: [separate, quality, materialize]\nmaterialize: {mode: move}")
+    run = Curation(spark, folder, rows.select("uid", F.lit(clip).alias("content")), s, stages={"quality": fails})
+    assert {(r["shard"], r["state"]) for r in run.run_units().collect()} == {(1, "done"), (2, "failed")}
+    assert [r["uid"] for r in run._worked().collect()] == ["b"]
+    assert [r["uid"] for r in spark.read.parquet(f"{folder}-out/clips").collect()] == ["a"]

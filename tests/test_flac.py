@@ -100,3 +100,16 @@ def test_clips_as_flac(spark):
     assert made["uid"] == "a" and (audio.decoder(audio.decode_wav)(made["content"])[0] == pcm(audio.decode_wav(audio.encode_wav(tone, 16_000))[0])).all()
     again = spark.createDataFrame([("a", made["content"])], "uid string, content binary")
     assert abs(measure_clips(again, decode=audio.decoder(audio.decode_wav)).first()["duration"] - 1.0) < 1e-9
+
+
+def test_all_channels_stay(spark):
+    from siltline.operators.measure import encode_clips
+
+    two = np.stack([0.4 * np.sin(np.arange(8000) / 7), 0.2 * np.cos(np.arange(8000) / 5)], 1)
+    df = spark.createDataFrame([("a", bytearray(audio.encode_wav(two, 8000)))], "uid string, content binary")
+    for kind in ("wav", "flac"):
+        (made,) = encode_clips(df, 8000, kind=kind, mono=False).collect()
+        x, rate = audio.decoder(audio.decode_wav)(made["content"], False)
+        assert rate == 8000 and x.shape == (8000, 2) and np.abs(x - two).max() < 1e-4 and made["duration"] == 1.0
+        (half,) = encode_clips(df, 4000, kind=kind, mono=False).collect()
+        assert audio.header(half["content"]) == (1.0, 4000, 2)
