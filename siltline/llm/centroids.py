@@ -112,11 +112,11 @@ _STATE = ["v", "cluster", "distance", "near", "low", "sums"]
 _STATE_DDL = "v binary, cluster int, distance long, near binary, low binary, sums array<long>"
 
 
-def _round(state_of, first: bool):
+def _round(state_of, first: bool, last: bool):
     """One round over rows (id, vector) or (id, v, cluster, near, low): each with its cluster and bounds, then for each cluster one row with sums.
 
     sums holds the vectors of a cluster in this task, their distances' sum, the most bounds looked
-    behind, and the sum of each component.
+    behind, and the sum of each component. The last round keeps no state but clusters and distances.
     """
 
     @freeing
@@ -143,7 +143,8 @@ def _round(state_of, first: bool):
             total[some, 0] += np.diff(np.append(at, len(v)))
             total[some, 1] += np.add.reduceat(own[order], at)
             total[some, 3:] += np.add.reduceat(v[order], at)
-            columns = [batch.column(0), _binaries(v.astype(np.int32)), pa.array(bounds.cluster), pa.array(own), _binaries(bounds.near), _binaries(bounds.low)]
+            state = [pa.nulls(len(v), pa.binary())] * 3 if last else [_binaries(v.astype(np.int32)), _binaries(bounds.near), _binaries(bounds.low)]
+            columns = [batch.column(0), state[0], pa.array(bounds.cluster), pa.array(own), *state[1:]]
             yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(v), pa.list_(pa.int64()))], ["id", *_STATE])
         total[:, 2] = used
         some = np.flatnonzero(total[:, 0])
@@ -222,7 +223,7 @@ def clusters(
     for n in range(rounds + 1 if k else 0):
         shared = spark.sparkContext.broadcast((c, move, held, scale))
         source = rows if state is None else state.where("sums IS NULL").select("id", "v", "cluster", "near", "low")
-        step = source.mapInArrow(_round(shared, state is None), with_fields(fields, _STATE_DDL))
+        step = source.mapInArrow(_round(shared, state is None, n == rounds), with_fields(fields, _STATE_DDL))
         step.write.parquet(f"{folder}/{n}")
         state = spark.read.schema(step.schema).parquet(f"{folder}/{n}")
         shared.destroy()
