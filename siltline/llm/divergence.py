@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -12,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltline.llm import bpe
-from siltline.llm.common import LOWER, checkpointed, freeing, tune, written
-from siltline.shared import ranked
+from siltline.llm.common import LOWER, checkpointed, freeing, shared_folder, tune
+from siltline.shared import ranked, remove
 
 #: Leaves and bytes of terms after which a task's tries are handed on and begun anew. Bounds memory, never results.
 LEAVES, TRIE_BYTES = 1 << 17, 16 << 20
@@ -149,6 +151,13 @@ def _count(leaves: int, most_bytes: int):
     @freeing
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries: dict[str, Trie] = {}
+        gc.disable()  # tries hold no cycles, and looking for some in them takes long; freeing looks again when the task ends
+        try:
+            yield from counted(batches, tries)
+        finally:
+            gc.enable()
+
+    def counted(batches: Iterator[pa.RecordBatch], tries: dict[str, Trie]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(1)], ["lang", "text", "group"])
             for part in bpe.parts(some):
@@ -170,7 +179,10 @@ def _count(leaves: int, most_bytes: int):
                         continue
                     trie = tries.setdefault(lang, Trie())
                     which, back = np.unique(own[:, 0], return_inverse=True)
-                    leaf = np.fromiter(map(trie.leaf, found.dictionary.take(pa.array(which)).to_pylist()), np.int64, len(which))
+                    words = found.dictionary.take(pa.array(which))
+                    order = pc.array_sort_indices(words)  # neighbours share most of their way through the trie
+                    leaf = np.empty(len(which), np.int64)
+                    leaf[order.to_numpy()] = np.fromiter(map(trie.leaf, words.take(order).to_pylist()), np.int64, len(which))
                     trie.add(leaf[back], own[:, 1], own[:, 2], own[:, 3])
                 if sum(t.leaves for t in tries.values()) >= leaves or sum(t.bytes for t in tries.values()) >= most_bytes:
                     yield from handed(tries)
@@ -342,9 +354,16 @@ def source_divergence(
     groups = checkpointed(groups)
     n_groups = groups.count()
     named = rows.join(F.broadcast(groups) if n_groups <= FEW_GROUPS else groups, ["lang", "source"])
-    counted = written(named.select("lang", "group", "text").mapInArrow(_count(leaves, TRIE_BYTES), _LEAF_DDL))
+    folder = f"{shared_folder(spark)}/divergence-{uuid.uuid4().hex}"
+
+    def table(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+    counted = table(named.select("lang", "group", "text").mapInArrow(_count(leaves, TRIE_BYTES), _LEAF_DDL), "leaves")
     dealt = counted.repartitionByRange("lang", "term").sortWithinPartitions("lang", "term")
-    kept = written(dealt.mapInArrow(_merge(least), _LEAF_DDL))
+    kept = table(dealt.mapInArrow(_merge(least), _LEAF_DDL), "kept")
+    remove(spark, f"{folder}/leaves")
     totals = kept.select("sources", "places").mapInArrow(_totals, "group long, total long").groupBy("group").agg(F.sum("total").alias("total"))
     terms_of = kept.groupBy("lang").agg(F.count("*").alias("n_terms"))
     known = groups.join(totals, "group", "left").join(terms_of, "lang", "left").fillna(0, ["total", "n_terms"])
@@ -378,6 +397,7 @@ def source_divergence(
             parts.append(checkpointed(part) if blocks > 1 else part)
     names = groups.select("lang", "source", "group")
     found = checkpointed(reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], "group long, other long, term binary, value long"))
+    remove(spark, folder)
     sums = found.where("other IS NOT NULL").groupBy("group", "other").agg(F.sum("value").alias("value"))
     others = names.select("lang", F.col("source").alias("item"), F.col("group").alias("other"))
     pairs = names.join(others, "lang").where("group != other").join(sums, ["group", "other"], "left")

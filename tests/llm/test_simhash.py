@@ -137,3 +137,11 @@ def test_groups_pass_one_after_another(spark, monkeypatch):
     for x in root:
         sizes.setdefault(top(x), []).append(x)
     assert got[0] == got[1] == sorted((x, k) for k, own in sizes.items() if len(own) > 1 for x in own)
+
+
+def test_columns_of_any_name(spark):
+    """Other columns, called as the operator calls its own, change nothing."""
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "quite other words here now"), (4, None), (5, "")]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    extra = spark.createDataFrame([(*x, 0, 0, 0, 0, 0, 0, "x", "y") for x in rows], "doc_id long, text string, f long, g long, node long, root long, least long, _n long, t string, component_id string")
+    assert sorted(map(tuple, near_duplicates(extra).collect())) == sorted(map(tuple, near_duplicates(plain).collect()))

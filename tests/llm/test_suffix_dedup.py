@@ -142,3 +142,14 @@ def test_every_branch_compares_bytes(monkeypatch, hot, collide):
 
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    """Other columns, called as the operator calls its own, change nothing, carried ones neither."""
+    passage = "".join(chr(97 + k * k % 23) for k in range(500))
+    rows = [(1, "x" + passage), (2, passage + "y"), (3, "short"), (4, None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    extra = spark.createDataFrame([(*x, 7, "k", "t", 1, b"d", "s") for x in rows], "doc_id long, text string, r long, key string, t string, g long, data binary, spans string")
+    take = lambda df, **more: sorted((x["key"]["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in remove_repeats(df, **more).collect())
+    assert take(extra, carry=("r", "key", "t", "g", "data", "spans")) == take(extra) == take(plain)
+    assert sum(x[2] for x in take(plain)) == 1000
