@@ -103,6 +103,7 @@ class Settings:
     materialize: Materialize = field(default_factory=Materialize)
     sources: tuple[Source, ...] = ()
     stages: tuple[str, ...] = ("prefilter", "separate", "vad", "quality", "materialize")
+    shards_per_folder: int = 1  # of tables by source and shard: more where shards hold few records
 
 
 def overlaid(settings: Any, values: Mapping[str, Any]) -> Any:

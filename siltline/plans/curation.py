@@ -23,7 +23,7 @@ from siltline.operators.separation import Separator, separated, unchanged
 from siltline.schema import KEEP, MANIFEST, METRICS, REJECTED, STAGES, stage_ordinal
 from siltline.shared import checkpointed, remove
 from siltline.sources.files import write_files
-from siltline.sources.manifest_files import read_table, write_table
+from siltline.sources.manifest_files import folder_number, read_table, write_table, write_units
 
 #: Rows of (uid, content) in, rows of uid and any of the measures in the schema out.
 Scorer = Callable[[DataFrame], DataFrame]
@@ -94,8 +94,7 @@ class Curation:
         done = self._worked()
         if done is not None:
             new = upsert(done.join(F.broadcast(units), ["source", "shard"], "left_semi").select(new.columns), new, "uid")  # a row for each unit
-        new = checkpointed(new)
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(f"{self.folder}-audio")
+        write_units(checkpointed(new), f"{self.folder}-audio", self.settings.shards_per_folder)
 
     def audio(self) -> DataFrame:
         """(uid, content) of each clip: as the stages have left it, else as it came."""
@@ -111,7 +110,7 @@ class Curation:
         changed = checkpointed(nested(changed))
         units = changed.select("source", "shard").distinct()
         touched = self.manifest().join(F.broadcast(units), ["source", "shard"], "left_semi")  # a row for each unit
-        write_table(upsert(touched.select(changed.columns), changed, "uid"), self.folder)
+        write_table(upsert(touched.select(changed.columns), changed, "uid"), self.folder, self.settings.shards_per_folder)
         return changed
 
     def _pending(self, stage: str, source: str | None, shard: int | None, force: bool) -> DataFrame:
@@ -154,7 +153,18 @@ class Curation:
 
     def cleanup_unit(self, source: str, shard: int) -> None:
         """Removes the clips that stages have kept of one unit."""
-        remove(self.spark, f"{self.folder}-audio/source={source}/shard={shard}")
+        per = self.settings.shards_per_folder
+        if per <= 1:
+            return remove(self.spark, f"{self.folder}-audio/source={source}/shard={shard}")
+        done = self._worked()
+        if done is None:
+            return None
+        own = done.where((F.col("source") == source) & (F.col("shards") == folder_number(F.lit(shard), per)))
+        rest = checkpointed(own.where(F.col("shard") != shard))  # of the units that share the folder
+        remove(self.spark, f"{self.folder}-audio/source={source}/shards={shard // per}")
+        if not rest.isEmpty():
+            write_units(rest.drop("shards"), f"{self.folder}-audio", per)
+        return None
 
     def units(self, sources: Iterable[str] = (), shards: Iterable[int] = ()) -> list[tuple[str, int]]:
         """(source, shard) of the units that have something ahead, in the order of plan()."""
@@ -167,7 +177,8 @@ class Curation:
         """All stages of each unit that has something ahead, each unit by itself: one that fails leaves the others alone.
 
         Up to at_once units run side by side, each in a scheduler pool of its own (fair, where the session is set so), and
-        write their own partitions. Returns source, shard, state ('done' or 'failed'), stage (the last that began), error,
+        write their own partitions; where folders hold several shards, one unit runs after another, as each may replace
+        files that others read. Returns source, shard, state ('done' or 'failed'), stage (the last that began), error,
         seen, rejected, kept, failed (records that should be placed and could not) and seconds; the same rows are added to
         <folder>-runs. What a stage has finished stays, so a run after a failure goes on with that stage of that
         unit, and takes no other unit up again. Metadata files are written once, when all units are through. With
@@ -191,7 +202,7 @@ class Curation:
             return Row(source=source, shard=shard, state="done" if error is None else "failed", stage=name, error=error, seconds=time.time() - began)
 
         todo = self.units(sources, shards)
-        with ThreadPoolExecutor(max(1, at_once)) as pool:
+        with ThreadPoolExecutor(max(1, at_once) if self.settings.shards_per_folder <= 1 else 1) as pool:
             rows = list(pool.map(inheritable_thread_target(self.spark)(unit), todo))
         found = self.spark.createDataFrame(rows, "source string, shard int, state string, stage string, error string, seconds double")
         to_place = F.col("status").isin(*self.settings.materialize.buckets()) & (F.col("stage") != "materialize") if "materialize" in self.settings.stages else F.lit(False)
@@ -273,7 +284,7 @@ class Curation:
             new = upsert(old.select(new.columns), new, "uid")
         except AnalysisException:
             pass  # the first time
-        checkpointed(new).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard").parquet(f"{out}/clips")
+        write_units(checkpointed(new), f"{out}/clips", self.settings.shards_per_folder)
         return done
 
     def write_metadata(self, source: str | None = None) -> None:
