@@ -13,7 +13,7 @@ from siltline.operators.manifest import upsert
 from siltline.plans.curation import nested
 from siltline.shared import checkpointed
 from siltline.sources import readers
-from siltline.sources.manifest_files import read_table, write_table
+from siltline.sources.manifest_files import folder_number, read_table, write_table
 from siltline.sources.tars import AUDIO, tar_index, tar_payloads
 
 _TAR, _PARQUET = r"(?i)\.tar(\.(gz|bz2|xz))?$", r"(?i)\.parquet$"
@@ -88,7 +88,7 @@ def fetch(spark: SparkSession, settings: Settings, folder: str, root: str = "",
     the same clips again in place of the first. A fetch that is run again adds nothing. A source's sidecar
     (metadata_file, in its folder) gives the texts that members lack.
     """
-    folder, counts = folder.rstrip("/"), None
+    folder, counts, per = folder.rstrip("/"), None, settings.shards_per_folder
     for source in active_sources(settings.sources, only):
         layout, index, members = _named(spark, source, root)
         index = checkpointed(index.where(F.col("name").rlike(_AUDIO)))
@@ -107,15 +107,16 @@ def fetch(spark: SparkSession, settings: Settings, folder: str, root: str = "",
         if not fresh.isEmpty():
             keys = fresh.select("uid", "source", "shard", "path", "place", *(c for c in ("member", "offset", "size") if c in fresh.columns))
             clips = tar_payloads(keys) if layout == "tar" else members.select("path", "place", "content").join(keys, ["path", "place"])
-            clips = clips.select("uid", "content", "source", "shard", F.lit(step).alias("fetched"))
-            clips.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "shard", "fetched").parquet(f"{folder}-clips")
+            unit = F.col("shard") if per <= 1 else folder_number(F.col("shard"), per).alias("shards")
+            clips = clips.select("uid", "content", "source", unit, F.lit(step).alias("fetched"))  # dealt out by tars and places already
+            clips.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*clips.columns[2:]).parquet(f"{folder}-clips")
             records = nested(fresh)
             try:
                 units = records.select("source", "shard").distinct()
                 old = read_table(spark, folder).join(F.broadcast(units), ["source", "shard"], "left_semi")  # a row for each unit
-                write_table(upsert(old.select(records.columns), records, "uid"), folder)
+                write_table(upsert(old.select(records.columns), records, "uid"), folder, per)
             except AnalysisException:
-                write_table(records, folder)
+                write_table(records, folder, per)
         counts = seen if counts is None else counts.unionAll(seen)
     return spark.createDataFrame([], "source string, shard int, seen long, added long") if counts is None else checkpointed(counts)
 
