@@ -129,7 +129,7 @@ def _seekable(path: str) -> bool:
 def tar_index(shards: DataFrame) -> DataFrame:
     """path, shard, name, member, offset and size of the files in tar shards (path): their headers are read, and no payload.
 
-    A task goes through one shard. offset is null for a compressed shard, whose bytes can't be found without
+    A task goes through whole shards, several where there are many. offset is null for a compressed shard, whose bytes can't be found without
     reading all before them.
     """
 
@@ -149,7 +149,8 @@ def tar_index(shards: DataFrame) -> DataFrame:
                 yield _rows(rows)
 
     names = shards.select("path").distinct()
-    dealt = names.repartition(max(1, min(names.count(), 10_000)), "path")  # a row for each shard
+    tasks = min(names.count(), 8 * names.sparkSession.sparkContext.defaultParallelism)  # a task for each of many small shards would cost more than their headers
+    dealt = names.repartition(max(1, tasks), "path")  # a row for each shard
     out = dealt.mapInArrow(headers, "path string, name string, member string, offset long, size long")
     return out.select("path", shard_number(F.col("path")).alias("shard"), "name", "member", "offset", "size")
 
