@@ -107,11 +107,10 @@ def candidates(spark: SparkSession, clean: str, low_quality: str | None = None)
     out = None
     for root in filter(None, (clean, low_quality)):
         try:
-            files = listing(spark, root)
-            if files.where(F.col("path").rlike(r"/[^/]+/metadata\.csv$")).isEmpty():
+            if listing(spark, root, "metadata.csv").where(F.col("path").rlike(r"/[^/]+/metadata\.csv$")).isEmpty():  # the clips' names meet no task
                 found = scanned_files(spark, root)
             else:
-                found = metadata_files(spark, f"{root.rstrip('/')}/*/metadata.csv", files)
+                found = metadata_files(spark, f"{root.rstrip('/')}/*/metadata.csv", listing(spark, root))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -70,3 +70,26 @@ def test_units_of_one_folder_run_and_are_cleaned_up(spark, tmp_path):
     made = spark.read.parquet(f"{folder}-out/clips")
     assert made.count() == made.select("uid").distinct().count() == 9 and "shards" in made.columns
     assert sum(r["files"] for r in run.place(str(tmp_path / "files")).collect()) == 9
+
+
+def test_many_small_shards_share_tasks(spark, tmp_path):
+    """An index of many tars is in a bounded number of tasks, and whole."""
+    from siltline.sources.tars import tar_index, write_tars
+
+    members = spark.range(120).select(F.col("id").cast("int").alias("shard"), F.format_string("m%d.wav", "id").alias("name"), F.lit(b"x").alias("content"))
+    index = tar_index(write_tars(members, str(tmp_path / "t")).select("path"))
+    assert index.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism < 120
+    assert sorted(r["shard"] for r in index.collect()) == list(range(120))
+
+
+def test_no_task_looks_for_metadata_among_clips(spark, tmp_path):
+    """A folder without metadata is listed for metadata files alone before its clips are scanned."""
+    from siltline.sources import readers
+
+    (tmp_path / "c" / "s").mkdir(parents=True)
+    (tmp_path / "c" / "s" / "a.wav").write_bytes(b"no clip")
+    patterns, real = [], readers.listing
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(readers, "listing", lambda s, p, pattern="*": patterns.append(pattern) or real(s, p, pattern))
+        assert readers.candidates(spark, str(tmp_path / "c"), str(tmp_path / "none")).count() == 0
+    assert set(patterns) == {"metadata.csv"}
