@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -153,3 +154,50 @@ def test_columns_of_any_name(spark):
     take = lambda df, **more: sorted((x["key"]["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in remove_repeats(df, **more).collect())
     assert take(extra, carry=("r", "key", "t", "g", "data", "spans")) == take(extra) == take(plain)
     assert sum(x[2] for x in take(plain)) == 1000
+
+
+def brute_words(texts, span, words):
+    """What is left of each text, without repeated strings of span bytes and passages of words that repeat."""
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[s : s + span] for d in data for s in range(len(d) - span + 1))
+    places = [[m.span() for m in re.finditer(rb"[^\x09-\x0D\x20]+", d)] for d in data]
+    said = [[d[a:b] for a, b in p] for d, p in zip(data, places, strict=True)]
+    met = Counter(tuple(w[k : k + words]) for w in said for k in range(len(w) - words + 1))
+    out = []
+    for d, p, w in zip(data, places, said, strict=True):
+        gone = bytearray(len(d))
+        for k in range(len(d) - span + 1):
+            if seen[d[k : k + span]] > 1:
+                gone[k : k + span] = b"\1" * span
+        hit = {j for k in range(len(w) - words + 1) if met[tuple(w[k : k + words])] > 1 for j in range(k, k + words)}
+        for j in hit:  # with what is between words that both go
+            a, b = p[j][0], p[j + 1][0] if j + 1 in hit else p[j][1]
+            gone[a:b] = b"\1" * (b - a)
+        out.append(bytes(c for c, g in zip(d, gone, strict=True) if not g).decode("utf-8", "ignore"))
+    return out
+
+
+@pytest.mark.parametrize("words,hot,chunk", [(5, 2000, 1 << 20), (9, 2, 1 << 20), (7, 1, 100), (1, 2000, 100)])
+def test_passages_of_words_equal_brute_force(spark, monkeypatch, words, hot, chunk):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk)
+    r = random.Random(words)
+    texts = ["\n".join((t or "").split(" ")) if k % 5 == 0 else t for k, t in enumerate(corpus(words))]
+    texts += ["a " * 50, " a\ta\n" * 40, "b " * (words - 1), "\u00a0x \x0bx " * 9, "c" * 700 + " d" * 3, " \t\n"]
+    texts += [" ".join(r.choice("xyz") for _ in range(40)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["key"]["doc_id"]: x["kept_text"] for x in remove_repeats(docs, span=60, gram=16, hot=hot, words=words).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_words(texts, 60, words)
+
+
+def test_planted_passages_of_over_50_words(spark):
+    """51 words in under 400 bytes go where words are asked for, 50 stay; bytes alone take neither."""
+    r = random.Random(3)
+    text = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 7))) for _ in range(n))
+    long, short = text(51), text(50)
+    own = [text(30) for _ in range(8)]
+    rows = [(1, f"{own[0]} {long} {own[1]}"), (2, f"{own[2]}\n{long}\n{own[3]}"), (3, f"{own[4]} {short} {own[5]}"), (4, f"{own[6]} {short}"), (5, own[7])]
+    assert len(long) < 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = lambda words: {x["key"]["doc_id"]: x["kept_text"] for x in remove_repeats(docs, words=words).collect()}
+    assert left(None) == dict(rows)
+    assert left(51) == {k: t.replace(long, "") for k, t in rows}
